@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,16 +18,17 @@ def with_date_parts(df: DataFrame, created_column: str) -> DataFrame:
     return df.withColumns(date_parts(F.col(created_column)))
 
 
-def write_by_date(df: DataFrame, root: str, created_column: str, batch_ts: str) -> None:
-    """Replace this batch's slice of a bronze table laid out by batch and calendar day.
+def write_by_date(df: DataFrame, root: str, created_column: str) -> None:
+    """Replace the slices of the batches in `df` of a table laid out by batch and calendar day.
+
+    The day parts come from the numeric creation time; rows without one land in the default folder.
 
     `rebalance` gathers a day's rows into few files, and the runtime re-planner splits a day
     that is too large for one task; a day holding a third of the batch stays parallel.
     """
     (
         with_date_parts(df, created_column)
-        .withColumn("batch_ts", F.lit(batch_ts))
-        .hint("rebalance", *DATE_COLUMNS)
+        .hint("rebalance", "batch_ts", *DATE_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_ts", *DATE_COLUMNS)
@@ -32,11 +36,10 @@ def write_by_date(df: DataFrame, root: str, created_column: str, batch_ts: str)
     )
 
 
-def write_batch(df: DataFrame, root: str, batch_ts: str) -> None:
-    """Replace this batch's slice of a bronze table without a calendar layout."""
+def write_batch(df: DataFrame, root: str) -> None:
+    """Replace the slices of the batches in `df` of a table without a calendar layout."""
     (
-        df.withColumn("batch_ts", F.lit(batch_ts))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_ts")
         .parquet(root)
@@ -44,10 +47,23 @@ def write_batch(df: DataFrame, root: str, batch_ts: str) -> None:
 
 
 def read_batches(spark: SparkSession, root: str, schema: StructType, dated: bool = False) -> DataFrame:
-    """All batches of a bronze table; batch and day columns come from the folder names."""
+    """All batches of a bronze table; batch and day columns come from the folder names.
+
+    A table without any file yet gives no rows, not an error.
+    """
     parts = "batch_ts STRING, YYYY INT, MM INT, DD INT" if dated else "batch_ts STRING"
     full = StructType(schema.fields + StructType.fromDDL(parts).fields)
-    return spark.read.schema(full).parquet(root)
+    return or_empty(lambda: spark.read.schema(full).parquet(root), spark, full)
+
+
+def or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: StructType) -> DataFrame:
+    """The table, or a typed empty one when its folder does not exist yet."""
+    try:
+        return read()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark, schema)
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mentidero.functions.casts import scalar_text
 from mentidero.schemas import raw_schema, raw_text_schema
+from mentidero.sources.lake import or_empty
+
+BATCH_IN_NAME = r"part-(\d{8}_\d{4})"
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: StructType, stream: bool = False) -> DataFrame:
@@ -28,6 +31,16 @@ def read_raw(spark: SparkSession, path: str | list[str], entity: str, stream: bo
     return read_ndjson(spark, path, raw_text_schema(entity), stream)
 
 
+def read_raw_batches(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Like `read_raw`, with `batch_ts`: from the batch folder, else from the file name."""
+    schema = raw_text_schema(entity)
+    dated = StructType([*schema.fields, StructField("batch_ts", StringType())])
+    raw = or_empty(lambda: read_ndjson(spark, root, schema), spark, dated)
+    if "batch_ts" in raw.columns:
+        return raw.withColumn("batch_ts", F.col("batch_ts").cast("string"))
+    return raw.withColumn("batch_ts", F.regexp_extract(F.col("_metadata.file_name"), BATCH_IN_NAME, 1))
+
+
 def read_raw_typed(spark: SparkSession, path: str | list[str], entity: str) -> DataFrame:
     return read_ndjson(spark, path, raw_schema(entity))
 

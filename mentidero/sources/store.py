@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from mentidero.functions.keys import key_bucket
 from mentidero.operators.upsert import insert_new, one_per_key, replace_rows, split_rejects
 from mentidero.schemas import STORE, store_schema
-from mentidero.sources.lake import empty
+from mentidero.sources.lake import empty, or_empty
 
 LIVE_SCHEMA = "kb INT, data_version BIGINT, version BIGINT"
 
@@ -94,9 +94,8 @@ class KeyedTable:
 
     def _live(self) -> list[tuple[int, int]]:
         """(bucket, data version) pairs of the newest published list; empty before the first."""
-        if not self._exists(f"{self.root}/live"):
-            return []
-        lists = self.spark.read.schema(LIVE_SCHEMA).json(f"{self.root}/live")
+        schema = StructType.fromDDL(LIVE_SCHEMA)
+        lists = or_empty(lambda: self.spark.read.schema(schema).json(f"{self.root}/live"), self.spark, schema)
         newest = lists.where(F.col("version") == lists.agg(F.max("version")).scalar())
         return [(r.kb, r.data_version) for r in newest.select("kb", "data_version").distinct().collect()]
 
@@ -110,10 +109,6 @@ class KeyedTable:
             .json(f"{self.root}/live/version={version}")
         )
 
-    def _exists(self, path: str) -> bool:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
 
 def store_table(spark: SparkSession, root: str, table: str, buckets: int = 64) -> KeyedTable:
     schema = store_schema(table)
