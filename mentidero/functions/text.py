@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # --- fixed values ------------------------------------------------------------------------------
-# What a Python `str` method counts as white space, as characters and as a regex class body.
+# What a Python `str` method counts as white space: as characters, and as a regex class body under
+# the (?U) flag, where \s is Unicode white space.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK = r"\s\x1c-\x1f"
 TOMBSTONES = ("[deleted]", "[removed]")
-URL_PATTERN = rf"http[^{WHITESPACE_CLASS}]+"
-NON_TEXT_PATTERN = r"[^a-zA-Z0-9?!.,'’ ]"
+URL_PATTERN = rf"(?U)http[^{BLANK}]+"
+# Signs kept in cleaned (already lower-case) text. Listed one by one: the JVM turns such a class into
+# a bit set, ranges into a chain of tests.
+KEPT_SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789?!.,'’"
 MIN_RAW_LENGTH = 2
 MIN_CLEAN_LENGTH = 3
 # --- end of fixed values -----------------------------------------------------------------------
@@ -30,7 +33,7 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC. Pure ASCII text is a fixed point, so only other texts cross to Python."""
-    foreign = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    foreign = F.when(F.octet_length(text) != F.length(text), text)
     return F.coalesce(_nfkc(foreign), text)
 
 
@@ -44,9 +47,10 @@ def is_tombstone(body: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Runs of non-blank characters; 0 for blank text, null for null."""
-    stripped = strip(text)
-    words = F.size(F.split(stripped, f"[{WHITESPACE_CLASS}]+"))
-    return F.when(stripped == "", F.lit(0)).when(text.isNotNull(), words)
+    pieces = F.size(F.split(text, f"(?U)[{BLANK}]+"))
+    # A blank at either end leaves an empty piece there.
+    ends = text.rlike(f"(?U)^[{BLANK}]").cast("int") + F.right(text, F.lit(1)).rlike(f"(?U)[{BLANK}]").cast("int")
+    return F.when(text == "", F.lit(0)).when(text.isNotNull(), pieces - ends)
 
 
 def text_features(text: Column) -> dict[str, Column]:
@@ -59,8 +63,6 @@ def text_features(text: Column) -> dict[str, Column]:
 
 
 def clean_text(text: Column) -> Column:
-    """Lower case, no URLs, only basic letters, digits and ?!.,'’, single spaces."""
-    lowered = F.lower(text)
-    no_urls = F.regexp_replace(lowered, URL_PATTERN, "")
-    plain = F.regexp_replace(no_urls, NON_TEXT_PATTERN, " ")
-    return F.trim(F.regexp_replace(plain, " +", " "))
+    """Lower case, no URLs, only basic letters, digits and ?!.,'’, single spaces between."""
+    no_urls = F.regexp_replace(F.lower(text), URL_PATTERN, "")
+    return F.trim(F.regexp_replace(no_urls, f"[^{KEPT_SIGNS}]+", " "))

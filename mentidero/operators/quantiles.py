@@ -14,7 +14,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 SMALL = 1_000_000  # values one task may hold
@@ -47,11 +47,6 @@ class Interval:
         return self.at_low(x) | self.inside(x) | self.at_high(x)
 
 
-def _values(df: DataFrame, column: str) -> DataFrame:
-    x = F.col(column).cast("double")
-    return df.select(x.alias("x")).where(x.isNotNull() & ~F.isnan(x))
-
-
 def _ranks(n: int, prob: float) -> tuple[int, int, float]:
     place = prob * (n - 1)
     low = math.floor(place)
@@ -69,74 +64,94 @@ def exact_quantiles(
     if fits:
         row = df.agg(*[F.percentile(clean[c], F.lit(list(wanted[c]))).alias(c) for c in fits]).first()
         out.update({c: list(row[c]) if row[c] else [None] * len(wanted[c]) for c in fits})
-    for c in wanted:
-        if c not in out:
-            out[c] = _search(_values(df, c), counts[c], wanted[c], small)
+    large = {c: (counts[c], wanted[c]) for c in wanted if c not in out}
+    if large:
+        out.update(_search(df.select(*[clean[c].alias(c) for c in large]), large, small))
     return {c: out[c] for c in wanted}
 
 
-def _search(values: DataFrame, n: int, probs: Sequence[float], small: int) -> list[float]:
-    places = [_ranks(n, p) for p in probs]
-    targets = sorted({r for low, high, _ in places for r in (low, high)})
+def _search(
+    values: DataFrame, wanted: Mapping[str, tuple[int, Sequence[float]]], small: int
+) -> dict[str, list[float]]:
+    places = {c: [_ranks(n, p) for p in probs] for c, (n, probs) in wanted.items()}
+    targets = {c: sorted({r for low, high, _ in ps for r in (low, high)}) for c, ps in places.items()}
     found = order_statistics(values, targets, small)
-    return [found[low] + (found[high] - found[low]) * part for low, high, part in places]
-
-
-def order_statistics(values: DataFrame, ranks: Sequence[int], small: int = SMALL) -> dict[int, float]:
-    """Values at zero-based ranks of the sorted column `x`."""
-    home = {r: Interval(None, None) for r in ranks}
-    found: dict[int, float] = {}
-    while home:
-        hits, home, distinct = _narrow(values, home)
-        found.update(hits)
-        if home and distinct <= small:
-            hits, home = _read_off(values, home)
-            found.update(hits)
+    return {
+        c: [found[c][low] + (found[c][high] - found[c][low]) * part for low, high, part in ps]
+        for c, ps in places.items()
+    }
+
+
+def order_statistics(
+    values: DataFrame, ranks: Mapping[str, Sequence[int]], small: int = SMALL
+) -> dict[str, dict[int, float]]:
+    """Values at zero-based ranks of sorted double columns (nulls left out). Each narrowing round is
+    one scan for all columns together."""
+    open_ranks = {c: {r: Interval(None, None) for r in rs} for c, rs in ranks.items()}
+    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    while any(open_ranks.values()):
+        rounds = {c: _Round(f"c{i}", F.col(c), home) for i, (c, home) in enumerate(open_ranks.items()) if home}
+        row = values.agg(*[part for r in rounds.values() for part in r.parts()]).first()
+        for c, this in rounds.items():
+            hits, home, distinct = this.read(row)
+            found[c].update(hits)
+            if home and distinct <= small:
+                hits, home = _read_off(values.select(F.col(c).alias("x")).where("x IS NOT NULL"), home)
+                found[c].update(hits)
+            open_ranks[c] = home
     return found
 
 
-def _narrow(
-    values: DataFrame, home: dict[int, Interval]
-) -> tuple[dict[int, float], dict[int, Interval], float]:
-    """One scan. Returns ranks that hit an end value, smaller intervals for the other ranks, and a
-    bound on the distinct values in them. The rows strictly inside shrink every round: repeated
-    values end up as interval ends, which are counted, not searched."""
-    x = F.col("x")
-    intervals = sorted(set(home.values()), key=lambda i: -math.inf if i.low is None else i.low)
-    grid = [i / GRID for i in range(GRID + 1)]
-    parts = []
-    for i, interval in enumerate(intervals):
-        parts += [
-            F.count_if(interval.below(x)).alias(f"below{i}"),
-            F.count_if(interval.at_low(x)).alias(f"low{i}"),
-            F.count_if(interval.inside(x)).alias(f"inside{i}"),
-            F.count_if(interval.at_high(x)).alias(f"high{i}"),
-            F.percentile_approx(F.when(interval.inside(x), x), grid, ACCURACY).alias(f"grid{i}"),
-        ]
-    row = values.agg(*parts).first()
-    found: dict[int, float] = {}
-    smaller: dict[int, Interval] = {}
-    bound: dict[Interval, float] = {}
-    for i, interval in enumerate(intervals):
-        low, inside, high, cells = (row[f"{name}{i}"] for name in ("low", "inside", "high", "grid"))
-        for rank in (r for r in home if home[r] == interval):
-            place = rank - row[f"below{i}"]
-            if 0 <= place < low:
-                found[rank] = interval.low
-            elif low + inside <= place < low + inside + high:
-                found[rank] = interval.high
-            elif low <= place < low + inside:
-                cell = (place - low) / max(inside - 1, 1) * GRID
-                first, last = max(math.floor(cell) - 1, 0), min(math.ceil(cell) + 1, GRID)
-                smaller[rank] = Interval(
-                    cells[first] if first > 0 else interval.low, cells[last] if last < GRID else interval.high
-                )
-                share = (last - first) / GRID + 4 / ACCURACY
-                bound[smaller[rank]] = min(inside, math.ceil(inside * share)) + 2
-            else:  # an approximate grid missed this rank: search the other side of the end it passed
-                smaller[rank] = Interval(None, interval.low) if place < 0 else Interval(interval.high, None)
-                bound[smaller[rank]] = math.inf
-    return found, smaller, sum(bound.values())
+class _Round:
+    """One column's share of a narrowing scan."""
+
+    def __init__(self, name: str, x: Column, home: dict[int, Interval]):
+        self.name, self.x, self.home = name, x, home
+        self.intervals = sorted(set(home.values()), key=lambda i: -math.inf if i.low is None else i.low)
+
+    def parts(self) -> list[Column]:
+        x, out = self.x, []
+        grid = [i / GRID for i in range(GRID + 1)]
+        for i, interval in enumerate(self.intervals):
+            measured = {
+                "below": F.count_if(interval.below(x)),
+                "low": F.count_if(interval.at_low(x)),
+                "inside": F.count_if(interval.inside(x) & x.isNotNull()),
+                "high": F.count_if(interval.at_high(x)),
+                "grid": F.percentile_approx(F.when(interval.inside(x), x), grid, ACCURACY),
+            }
+            out += [part.alias(f"{self.name}_{i}_{kind}") for kind, part in measured.items()]
+        return out
+
+    def read(self, row: Row) -> tuple[dict[int, float], dict[int, Interval], float]:
+        """Ranks that hit an end value, smaller intervals for the other ranks, and a bound on the
+        distinct values in them. The rows strictly inside shrink every round: repeated values end up
+        as interval ends, which are counted, not searched."""
+        found: dict[int, float] = {}
+        smaller: dict[int, Interval] = {}
+        bound: dict[Interval, float] = {}
+        for i, interval in enumerate(self.intervals):
+            below, low, inside, high, cells = (
+                row[f"{self.name}_{i}_{kind}"] for kind in ("below", "low", "inside", "high", "grid")
+            )
+            for rank in (r for r in self.home if self.home[r] == interval):
+                place = rank - below
+                if 0 <= place < low:
+                    found[rank] = interval.low
+                elif low + inside <= place < low + inside + high:
+                    found[rank] = interval.high
+                elif low <= place < low + inside:
+                    cell = (place - low) / max(inside - 1, 1) * GRID
+                    first, last = max(math.floor(cell) - 1, 0), min(math.ceil(cell) + 1, GRID)
+                    smaller[rank] = Interval(
+                        cells[first] if first > 0 else interval.low, cells[last] if last < GRID else interval.high
+                    )
+                    share = (last - first) / GRID + 4 / ACCURACY
+                    bound[smaller[rank]] = min(inside, math.ceil(inside * share)) + 2
+                else:  # the approximate grid missed this rank: search beyond the end it passed
+                    smaller[rank] = Interval(None, interval.low) if place < 0 else Interval(interval.high, None)
+                    bound[smaller[rank]] = math.inf
+        return found, smaller, sum(bound.values())
 
 
 def _merge(intervals: list[Interval]) -> list[Interval]:
@@ -204,7 +219,7 @@ def exact_quantiles_by(
     rows = []
     for r in hot:
         mine = values.where(F.col(group).eqNullSafe(F.lit(r[group]))).select("x")
-        rows.append((r[group], r["n"], _search(mine, r["n"], probs, small)))
+        rows.append((r[group], r["n"], _search(mine, {"x": (r["n"], probs)}, small)["x"]))
     if rows:
         out = out.unionByName(df.sparkSession.createDataFrame(rows, out.schema))
     return out

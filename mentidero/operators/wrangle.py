@@ -16,6 +16,7 @@ from mentidero.functions.text import (
     nfkc,
     text_features,
 )
+from mentidero.operators.once import compute_once
 from mentidero.operators.quantiles import exact_quantiles
 from mentidero.schemas import MODELLING
 
@@ -40,7 +41,7 @@ def flag_comments(df: DataFrame) -> DataFrame:
 def wrangle_features(comments: DataFrame, null_text: str | None = None) -> DataFrame:
     """Flags, NFKC text, length and punctuation features; texts of 2 characters or less go."""
     kept = drop_tombstones(flag_comments(comments), null_text)
-    normal = kept.withColumn("body", nfkc(F.col("body")))
+    normal = compute_once(kept, "body", nfkc(F.col("body")))
     return normal.withColumns(text_features(F.col("body"))).where(F.col("text_len") > MIN_RAW_LENGTH)
 
 
@@ -80,9 +81,11 @@ def winsorize(features: DataFrame, tails: Tails) -> DataFrame:
 
 def with_clean_text(df: DataFrame) -> DataFrame:
     """Add the cleaned text and drop rows where 3 characters or less are left."""
-    return df.withColumn("clean_text", clean_text(F.col("body"))).where(
-        F.length("clean_text") > MIN_CLEAN_LENGTH
-    )
+    return long_enough(compute_once(df, "clean_text", clean_text(F.col("body"))))
+
+
+def long_enough(df: DataFrame) -> DataFrame:
+    return df.where(F.length("clean_text") > MIN_CLEAN_LENGTH)
 
 
 def fit_median(df: DataFrame, column: str = "score_clipped") -> float | None:

@@ -3,31 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from mentidero.functions.text import MIN_CLEAN_LENGTH, clean_text
 from mentidero.operators import wrangle
+from mentidero.operators.once import compute_once
 from mentidero.operators.sampling import stratified_split
 from mentidero.sources.lake import materialize, write_splits
 
 
-def wrangle_training_set(comments: DataFrame, null_text: str | None = None, stage_root: str | None = None) -> DataFrame:
+def wrangle_training_set(comments: DataFrame, stage_root: str, null_text: str | None = None) -> DataFrame:
     """The labelled modelling set.
 
-    Order matters: tails are taken after the raw length rule and before the clean length rule, the
-    median after it. With `stage_root` the two stages that later scans repeat are written there.
+    The text is worked on once, in one narrow pass whose result is written without the raw body. The
+    tails (after the raw length rule, before the clean one) and the median (after it) then read two
+    numeric columns of that stage.
     """
     features = wrangle.wrangle_features(comments, null_text)
-    if stage_root:
-        features = materialize(features, f"{stage_root}/features")
-    cleaned = wrangle.with_clean_text(wrangle.winsorize(features, wrangle.fit_tails(features)))
-    if stage_root:
-        cleaned = materialize(cleaned, f"{stage_root}/cleaned")
-    return wrangle.model_columns(wrangle.label(cleaned, wrangle.fit_median(cleaned)))
+    texts = compute_once(features, "clean_text", clean_text(F.col("body"))).drop("body")
+    texts = texts.withColumn("clean_len", F.length("clean_text"))
+    stage = materialize(texts, f"{stage_root}/texts")
+    clipped = wrangle.winsorize(stage, wrangle.fit_tails(stage)).where(F.col("clean_len") > MIN_CLEAN_LENGTH)
+    return wrangle.model_columns(wrangle.label(clipped, wrangle.fit_median(clipped)))
 
 
 def build_training_set(comments: DataFrame, out_root: str, seed: int = 42, null_text: str | None = None) -> str:
     """Write the modelling set with its 70/15/15 split; returns the path of the split table."""
-    stage = f"{out_root}/stages"
-    modelling = materialize(wrangle_training_set(comments, null_text, stage), f"{stage}/modelling")
+    modelling = wrangle_training_set(comments, f"{out_root}/stages", null_text)
     path = f"{out_root}/splits"
     write_splits(stratified_split(modelling, "comment_id", "sentiment", seed), path)
     return path
