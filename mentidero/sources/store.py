@@ -52,9 +52,10 @@ class KeyedTable:
         if not touched:
             return
         present = self._load([e for e in live if e[0] in touched], keep_bucket=True)
-        new = insert_new(present, fresh, self.key)
-        self._write(new, version)
-        self._publish(live + [(kb, version) for kb in self._folders(version)], version)
+        self._write(insert_new(present, fresh, self.key), version)
+        added = self._folders(version)
+        if added:
+            self._publish(live + [(kb, version) for kb in added], version)
 
     def _prepare(self, incoming: DataFrame, order: list[str] | None) -> DataFrame:
         keyed, _ = split_rejects(incoming, self.key)
