@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
+from mentidero.functions.arrow import align
 from mentidero.functions.clock import artifact_stamp
 from mentidero.functions.keys import artifact_name
 
@@ -37,7 +38,7 @@ def embed_texts(df: DataFrame, text: str, make_encoder: Callable[[], Encoder], n
             vectors: list[np.ndarray] = []
             for start in range(0, len(known), batch_size):
                 vectors.extend(np.asarray(encoder(known.iloc[start : start + batch_size].tolist()), dtype="float32"))
-            yield pd.Series(vectors, index=known.index, dtype=object).reindex(texts.index)
+            yield align(vectors, texts)
 
     return df.withColumn(name, encode(F.col(text)))
 

@@ -1,0 +1,195 @@
+"""A binary network with one ReLU layer, trained with Adam and an L2 penalty.
+
+Rows are dealt over `workers` partitions. In an epoch every partition runs mini-batch Adam from the
+same weights, then Spark averages weights and Adam moments over the partitions by row count. One
+worker is plain sequential mini-batch Adam. What travels per epoch and worker is three copies of the
+weights, whose number depends on the layer sizes only, cut in chunks so that they are summed in
+parallel; the driver holds one averaged copy.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from mentidero.functions.arrow import align
+
+# --- fixed values: optimiser constants and stopping rule ---
+BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
+TOLERANCE, PATIENCE = 1e-4, 10
+# --- end of fixed values ---
+CHUNK = 16_384  # weights per shuffled row
+ROWS_PER_WORKER = 50_000  # below this a second worker is not worth its averaging
+MAX_WORKERS = 256
+
+
+@dataclass(frozen=True)
+class Network:
+    """Weights in one flat vector: hidden weights, hidden biases, output weights, output bias."""
+
+    width: int
+    hidden: int
+    theta: np.ndarray
+
+    def layers(self, flat: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        flat = self.theta if flat is None else flat
+        cut = self.width * self.hidden
+        return (
+            flat[:cut].reshape(self.width, self.hidden), flat[cut : cut + self.hidden],
+            flat[cut + self.hidden : -1], flat[-1:],
+        )
+
+    def positive(self, x: np.ndarray) -> np.ndarray:
+        w1, b1, w2, b2 = self.layers()
+        return _sigmoid(np.maximum(x @ w1 + b1, 0.0) @ w2 + b2[0])
+
+    def gradient(self, x: np.ndarray, y: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
+        """Mean log-loss gradient with the penalty spread over the batch, and the summed loss."""
+        w1, b1, w2, b2 = self.layers()
+        active = np.maximum(x @ w1 + b1, 0.0)
+        p = _sigmoid(active @ w2 + b2[0])
+        miss = (p - y) / len(y)
+        back = np.outer(miss, w2) * (active > 0)
+        shrink = alpha / len(y)
+        grad = np.concatenate([
+            (x.T @ back + shrink * w1).ravel(), back.sum(axis=0), active.T @ miss + shrink * w2, [miss.sum()],
+        ])
+        safe = np.clip(p, 1e-15, 1 - 1e-15)
+        loss = -float(np.sum(y * np.log(safe) + (1 - y) * np.log(1 - safe)))
+        return grad, loss + 0.5 * alpha * float(np.sum(w1 * w1) + np.sum(w2 * w2))
+
+    def score(self, df: DataFrame, vector: str = "scaled") -> DataFrame:
+        """Add `p_positive` and `prediction` (0/1). Arrow batches, no shuffle."""
+        net = self
+
+        @F.pandas_udf(DoubleType())
+        def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for vectors in batches:
+                known = vectors.dropna()
+                p = net.positive(np.stack(known.to_numpy())) if len(known) else []
+                yield align(p, vectors).astype("float64")
+
+        scored = df.withColumn("p_positive", probability(F.col(vector)))
+        return scored.withColumn("prediction", (F.col("p_positive") >= 0.5).cast("int"))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        row = (self.width, self.hidden, [float(t) for t in self.theta])
+        spark.createDataFrame([row], "width INT, hidden INT, theta ARRAY<DOUBLE>").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(path)
+
+
+def load_network(spark: SparkSession, path: str) -> Network:
+    row = spark.read.parquet(path).first()
+    return Network(row["width"], row["hidden"], np.array(row["theta"]))
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+
+
+def _start(width: int, hidden: int, seed: int) -> np.ndarray:
+    """Uniform weights within the bound that suits ReLU layers."""
+    rng = np.random.RandomState(seed)
+    inner, outer = math.sqrt(6.0 / (width + hidden)), math.sqrt(6.0 / (hidden + 1))
+    return np.concatenate([
+        rng.uniform(-inner, inner, width * hidden + hidden), rng.uniform(-outer, outer, hidden + 1),
+    ])
+
+
+def workers_for(rows: int) -> int:
+    return max(1, min(MAX_WORKERS, rows // ROWS_PER_WORKER))
+
+
+def fit_network(
+    train: DataFrame, width: int, hidden: int, alpha: float, rate: float, batch_size: int, max_iter: int,
+    seed: int = 42, workers: int | None = None, vector: str = "scaled", label: str = "label", key: str = "id",
+) -> Network:
+    """One Spark job per epoch over `train`, which should be persisted or written."""
+    spark = train.sparkSession
+    workers = workers or workers_for(train.count())
+    # Dealt by key hash: the same rows meet in the same order on every epoch and every retry.
+    dealt = train.repartition(workers, F.xxhash64(F.col(key))).sortWithinPartitions(F.xxhash64(F.col(key)))
+    dealt = dealt.select(F.col(vector).alias("x"), F.col(label).cast("double").alias("y")).persist()
+    theta = _start(width, hidden, seed)
+    state = np.concatenate([theta, np.zeros_like(theta), np.zeros_like(theta)])
+    steps, best, waited = 0, math.inf, 0
+    try:
+        for epoch in range(max_iter):
+            shared = spark.sparkContext.broadcast(state)
+            run = _local_epoch(shared, width, hidden, steps, alpha, rate, batch_size, seed + epoch)
+            parts = dealt.mapInPandas(run, "chunk INT, rows DOUBLE, steps BIGINT, loss DOUBLE, part ARRAY<DOUBLE>")
+            merged = (
+                parts.groupBy("chunk")
+                .agg(
+                    Summarizer.mean(array_to_vector("part"), F.col("rows")).alias("mean"),
+                    F.max("steps").alias("steps"),
+                    (F.sum("loss") / F.sum("rows")).alias("loss"),
+                )
+                .select("chunk", vector_to_array("mean").alias("mean"), "steps", "loss")
+                .orderBy("chunk")
+                .collect()
+            )
+            shared.destroy()
+            if not merged:  # no training rows
+                break
+            state = np.concatenate([np.array(r["mean"]) for r in merged])
+            steps, loss = merged[0]["steps"], merged[0]["loss"]
+            waited = 0 if loss < best - TOLERANCE else waited + 1
+            best = min(best, loss)
+            if waited > PATIENCE:
+                break
+    finally:
+        dealt.unpersist()
+    return Network(width, hidden, state[: len(theta)])
+
+
+def _local_epoch(shared, width, hidden, steps, alpha, rate, batch_size, seed):
+    """The pass of one partition over its rows; yields the new state in chunks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        theta, m, v = (a.copy() for a in np.split(shared.value, 3))
+        t, rows, loss = steps, 0, 0.0
+        rng = np.random.RandomState(seed)
+        for x, y in _mini_batches(batches, batch_size, rng):
+            grad, lost = Network(width, hidden, theta).gradient(x, y, alpha)
+            t, rows, loss = t + 1, rows + len(y), loss + lost
+            m += (1 - BETA1) * (grad - m)
+            v += (1 - BETA2) * (grad * grad - v)
+            theta -= rate * math.sqrt(1 - BETA2**t) / (1 - BETA1**t) * m / (np.sqrt(v) + EPSILON)
+        if rows:
+            state = np.concatenate([theta, m, v])
+            pieces = [state[i : i + CHUNK] for i in range(0, len(state), CHUNK)]
+            yield pd.DataFrame({
+                "chunk": range(len(pieces)), "rows": float(rows), "steps": t, "loss": loss, "part": pieces,
+            })
+
+    return run
+
+
+def _mini_batches(batches: Iterator[pd.DataFrame], size: int, rng) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shuffle within each Arrow batch and cut it to mini-batches; rests join the next batch."""
+    rest_x: np.ndarray | None = None
+    rest_y: np.ndarray | None = None
+    for frame in batches:
+        if not len(frame):
+            continue
+        order = rng.permutation(len(frame))
+        x, y = np.stack(frame["x"].to_numpy())[order].astype("float64"), frame["y"].to_numpy()[order]
+        if rest_x is not None:
+            x, y = np.concatenate([rest_x, x]), np.concatenate([rest_y, y])
+        whole = len(y) - len(y) % size
+        for i in range(0, whole, size):
+            yield x[i : i + size], y[i : i + size]
+        rest_x, rest_y = (x[whole:], y[whole:]) if whole < len(y) else (None, None)
+    if rest_x is not None:
+        yield rest_x, rest_y

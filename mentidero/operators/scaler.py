@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentidero.functions.vectors import as_doubles, standardize
@@ -44,6 +44,16 @@ class Scaler:
         return df.withColumn(name, standardize(as_doubles(F.col(vector)), self.mean, self.scale))
 
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, m, s) for i, (m, s) in enumerate(zip(self.mean, self.scale))]
+        spark.createDataFrame(rows, "dim INT, mean DOUBLE, scale DOUBLE").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_scaler(spark: SparkSession, path: str) -> Scaler:
+    rows = spark.read.parquet(path).orderBy("dim").collect()
+    return Scaler([r["mean"] for r in rows], [r["scale"] for r in rows])
+
+
 def fit_scaler(df: DataFrame, vector: str) -> Scaler:
     """Fit on training rows only. A constant dimension gets scale 1."""
     rows = scaler_stats(df, vector).orderBy("dim").collect()  # one row per dimension

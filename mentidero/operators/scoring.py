@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from mentidero.functions.arrow import align
 from mentidero.functions.labels import label_from_logits, label_from_probability
 from mentidero.functions.vectors import max_probability
 
@@ -35,8 +36,8 @@ def classifier_logits(make_model: Callable[[], LogitsFn]) -> Callable[[Column],
         model = make_model()
         for texts in batches:
             known = texts.dropna()
-            rows = list(np.asarray(model(known.tolist()), dtype="float64")) if len(known) else []
-            yield pd.Series(rows, index=known.index, dtype=object).reindex(texts.index)
+            rows = np.asarray(model(known.tolist()), dtype="float64") if len(known) else []
+            yield align(rows, texts)
 
     return logits
 

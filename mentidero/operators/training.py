@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from mentidero.functions.vectors import as_doubles
 from mentidero.operators.evaluate import binary_metrics, evaluate_by_split
+from mentidero.operators.network import Network, fit_network
 from mentidero.operators.scaler import Scaler, fit_scaler
 
 # --- fixed values: the search space ---
@@ -29,8 +30,7 @@ SEED = 42
 
 @dataclass(frozen=True)
 class Trial:
-    """One point of the search space. MLlib's network has no penalty term and its l-bfgs solver no
-    step size, so `alpha` and `rate` act on the linear baseline's penalty and the `gd` solver only."""
+    """One point of the search space."""
 
     hidden: int
     alpha: float
@@ -62,23 +62,34 @@ def training_columns(splits: DataFrame) -> DataFrame:
 
 
 def scaled_features(df: DataFrame, vector: str, train_split: str = "train") -> tuple[DataFrame, Scaler]:
-    """Standardise with statistics of the training rows only; add an ML vector column `features`."""
+    """Add `scaled`: standardised with statistics of the training rows only."""
     scaler = fit_scaler(df.where(F.col("split") == train_split), vector)
-    scaled = scaler.transform(df, vector, "_scaled")
-    return scaled.withColumn("features", array_to_vector(as_doubles(F.col("_scaled")))).drop("_scaled"), scaler
+    return scaler.transform(df, vector, "scaled"), scaler
 
 
-def fit_mlp(train: DataFrame, width: int, trial: Trial, solver: str = "l-bfgs", seed: int = SEED) -> PipelineModel:
-    """One hidden layer over `features`; gradients are summed across tasks in every iteration."""
+def fit_trial(train: DataFrame, width: int, trial: Trial, seed: int = SEED) -> Network:
+    """ReLU, Adam and L2: every field of the trial acts."""
+    return fit_network(
+        train, width, trial.hidden, trial.alpha, trial.rate, trial.batch_size, trial.max_iter, seed
+    )
+
+
+def with_features(df: DataFrame) -> DataFrame:
+    return df.withColumn("features", array_to_vector(as_doubles(F.col("scaled"))))
+
+
+def fit_mlp(train: DataFrame, width: int, trial: Trial, seed: int = SEED) -> PipelineModel:
+    """MLlib's network (sigmoid layer, l-bfgs, no penalty or step size) over `features`; gradients
+    are summed across tasks in every iteration."""
     mlp = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="label", layers=[width, trial.hidden, 2], maxIter=trial.max_iter,
-        blockSize=trial.batch_size, stepSize=trial.rate, solver=solver, seed=seed,
+        blockSize=trial.batch_size, seed=seed,
     )
     return Pipeline(stages=[mlp]).fit(train)
 
 
 def fit_linear(train: DataFrame, trial: Trial) -> PipelineModel:
-    """A deterministic baseline with the trial's penalty."""
+    """A deterministic baseline over `features`, with the trial's penalty."""
     linear = LogisticRegression(
         featuresCol="features", labelCol="label", regParam=trial.alpha, maxIter=trial.max_iter, standardization=False
     )
@@ -86,7 +97,7 @@ def fit_linear(train: DataFrame, trial: Trial) -> PipelineModel:
 
 
 def predict(model: Transformer, df: DataFrame) -> DataFrame:
-    """Add `prediction` (0/1) and `p_positive`."""
+    """Add `prediction` (0/1) and `p_positive` with an MLlib model."""
     out = model.transform(df).drop("rawPrediction")
     return out.withColumns(
         {"p_positive": vector_to_array("probability")[1], "prediction": F.col("prediction").cast("int")}
@@ -96,14 +107,14 @@ def predict(model: Transformer, df: DataFrame) -> DataFrame:
 def random_search(features: DataFrame, width: int, trials: list[Trial]) -> tuple[DataFrame, Trial]:
     """Fit every trial on train rows, score F1 on val rows; returns the trial table and the winner.
 
-    The driver holds the trial specifications and one number each; every fit and every score is a
+    The driver holds the trial specifications and one number each; every epoch and every score is a
     Spark job over the whole feature table, which should be persisted or written once.
     """
     train = features.where("split = 'train'")
     val = features.where("split = 'val'")
     rows = []
     for i, trial in enumerate(trials):
-        scored = binary_metrics(predict(fit_mlp(train, width, trial), val), "label", "prediction").first()
+        scored = binary_metrics(fit_trial(train, width, trial).score(val), "label", "prediction").first()
         rows.append((i, trial.hidden, trial.alpha, trial.rate, trial.batch_size, trial.max_iter,
                      scored["accuracy"], scored["f1"]))
     best = max(rows, key=lambda r: (r[-1] if r[-1] is not None else -1.0, -r[0]))
@@ -120,13 +131,3 @@ def model_results(predictions: DataFrame, run_id: str) -> DataFrame:
     return measured.select(
         "model_key", F.lit(run_id).alias("run_id"), "val_accuracy", "val_f1", "test_accuracy", "test_f1"
     )
-
-
-def save_model(model: PipelineModel, root: str, name: str, stamp: str) -> str:
-    path = f"{root}/{name}_{stamp}"
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

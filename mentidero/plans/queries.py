@@ -864,35 +864,48 @@ def polarity_bucket(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
-    e = si.table(spark, d, "embeddings").select("vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("label"))
-    split = sampling.stratified_split(e, "vec_id", "label")
+    """Vectors, a binary label and a split, scaled on the train rows and written once."""
+    e = si.table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("id"), "embedding", (F.col("label") >= 5).cast("int").alias("label")
+    )
+    split = sampling.stratified_split(e, "id", "label")
     features, fitted = training.scaled_features(split, "embedding")
-    return features, len(fitted.mean)
+    written = lake.materialize(features.drop("embedding"), scratch_dir(spark, "features"))
+    return written, len(fitted.mean)
 
 
 @query
-def mlp_train_score(spark: SparkSession, d: str) -> DataFrame:
-    """Scale, fit the network on train rows, score all rows."""
+def network_train_score(spark: SparkSession, d: str) -> DataFrame:
+    """Scale, fit the ReLU network with Adam on train rows, score all rows."""
     features, width = _features(spark, d)
-    features = features.persist()
     trial = training.Trial(hidden=128, alpha=3e-4, rate=1e-3, batch_size=256, max_iter=10)
+    model = training.fit_trial(features.where("split = 'train'"), width, trial)
+    return model.score(features).select("id", "split", "label", "prediction", "p_positive")
+
+
+@query
+def mlp_train_score(spark: SparkSession, d: str) -> DataFrame:
+    """The same with MLlib's network."""
+    features, width = _features(spark, d)
+    features = training.with_features(features)
+    trial = training.Trial(hidden=128, alpha=0.0, rate=0.0, batch_size=256, max_iter=10)
     model = training.fit_mlp(features.where("split = 'train'"), width, trial)
-    return training.predict(model, features).select("vec_id", "split", "label", "prediction", "p_positive")
+    return training.predict(model, features).select("id", "split", "label", "prediction", "p_positive")
 
 
 @query
 def linear_train_score(spark: SparkSession, d: str) -> DataFrame:
     features, _ = _features(spark, d)
-    features = features.persist()
+    features = training.with_features(features)
     trial = training.Trial(hidden=0, alpha=1e-2, rate=0.0, batch_size=0, max_iter=10)
     model = training.fit_linear(features.where("split = 'train'"), trial)
-    return training.predict(model, features).select("vec_id", "split", "label", "prediction", "p_positive")
+    return training.predict(model, features).select("id", "split", "label", "prediction", "p_positive")
 
 
 @query
 def hpo_random_search(spark: SparkSession, d: str) -> DataFrame:
     features, width = _features(spark, d)
-    table, _ = training.random_search(features.persist(), width, training.draw_trials(3))
+    table, _ = training.random_search(features, width, training.draw_trials(3))
     return table
 
 
