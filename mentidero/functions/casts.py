@@ -23,7 +23,9 @@ def _number_text(value: Column) -> Column:
 def lenient_int(value: Column) -> Column:
     """Integer, trimmed integer text, or a fraction cut towards zero."""
     text = _number_text(value)
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    # A failing text-to-integer cast is slow, so only whole numbers are tried.
+    whole = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    return F.coalesce(whole, text.try_cast("double").try_cast("bigint"))
 
 
 def lenient_float(value: Column) -> Column:

@@ -37,9 +37,11 @@ def read_bronze(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame
     return read_batches(spark, f"{bronze_root}/{entity}", bronze_schema(entity), entity in CREATED_COLUMN)
 
 
-def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, version: str) -> dict[str, str]:
+def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, version: str,
+                 buckets: int = 64) -> dict[str, str]:
     """All bronze batches to two dimensions and two facts, each in a new version folder, then into the
-    keyed store. A table that others need is written first and read back, so it is computed once."""
+    keyed store. A table that others need is written first and read back, so it is computed once.
+    `buckets` is the store's; a bucket should hold a few GB."""
     paths: dict[str, str] = {}
 
     def put(df: DataFrame, name: str) -> DataFrame:
@@ -54,10 +56,10 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, versio
     authors = put(silver.dim_author(posts, comments), "dim_author")
 
     store = f"{silver_root}/store"
-    store_table(spark, store, "subreddits").upsert(dim)
-    store_table(spark, store, "authors").insert_ignore(authors)
-    store_table(spark, store, "posts").upsert(posts)
-    store_table(spark, store, "comments").upsert(comments)
+    store_table(spark, store, "subreddits", buckets).upsert(dim)
+    store_table(spark, store, "authors", buckets).insert_ignore(authors)
+    store_table(spark, store, "posts", buckets).upsert(posts)
+    store_table(spark, store, "comments", buckets).upsert(comments)
     return paths
 
 
@@ -65,10 +67,11 @@ def _entity(df: DataFrame, entity: str) -> DataFrame:
     return df.select(*bronze_schema(entity).fieldNames())
 
 
-def run_medallion(spark: SparkSession, raw_root: str, out_root: str, batch_ts: str) -> dict[str, str]:
+def run_medallion(spark: SparkSession, raw_root: str, out_root: str, batch_ts: str,
+                  buckets: int = 64) -> dict[str, str]:
     """Landed NDJSON to silver. `batch_ts` names the silver version; all landed batches take part."""
     build_bronze(spark, raw_root, f"{out_root}/bronze")
-    return build_silver(spark, f"{out_root}/bronze", f"{out_root}/silver", batch_ts)
+    return build_silver(spark, f"{out_root}/bronze", f"{out_root}/silver", batch_ts, buckets)
 
 
 def first_posts(spark: SparkSession, raw_root: str) -> DataFrame:

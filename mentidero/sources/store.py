@@ -4,6 +4,7 @@ Readers see either the old or the new list."""
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from mentidero.operators.upsert import insert_new, one_per_key, replace_rows, sp
 from mentidero.schemas import STORE, store_schema
 from mentidero.sources.lake import empty, or_empty
 
+MERGE_AT = 16  # versions of a bucket
 LIVE_SCHEMA = "kb INT, data_version BIGINT, version BIGINT"
 
 
@@ -44,18 +46,24 @@ class KeyedTable:
         self._publish([e for e in live if e[0] not in touched] + [(kb, version) for kb in touched], version)
 
     def insert_ignore(self, incoming: DataFrame) -> None:
-        """Append rows whose key is not there yet; present rows stay untouched on disk."""
+        """Append rows whose key is not there yet; present rows stay untouched on disk, but for
+        buckets that gathered many small versions, which are merged into one."""
         fresh = self._prepare(incoming, None)
         live = self._live()
         version = 1 + max((v for _, v in live), default=0)
         touched = {r.kb for r in fresh.select("kb").distinct().collect()}
         if not touched:
             return
+        parts = Counter(kb for kb, _ in live)
+        crowded = {kb for kb in touched if parts[kb] >= MERGE_AT}
         present = self._load([e for e in live if e[0] in touched], keep_bucket=True)
-        self._write(insert_new(present, fresh, self.key), version)
+        new = insert_new(present, fresh, self.key)
+        if crowded:
+            new = new.unionByName(self._load([e for e in live if e[0] in crowded], keep_bucket=True))
+        self._write(new, version)
         added = self._folders(version)
         if added:
-            self._publish(live + [(kb, version) for kb in added], version)
+            self._publish([e for e in live if e[0] not in crowded] + [(kb, version) for kb in added], version)
 
     def _prepare(self, incoming: DataFrame, order: list[str] | None) -> DataFrame:
         keyed, _ = split_rejects(incoming, self.key)

@@ -40,9 +40,8 @@ def table_of(columns, rows):
     return [columns[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, fn, sql, sf_dir):
+def compare(con, df, sql):
     """None when equal, else what differs."""
-    df = fn(spark, sf_dir)
     left_cols, left = table_of(df.columns, df.collect())
     cur = con.execute(sql)
     right_cols, right = table_of([c[0] for c in cur.description], cur.fetchall())
@@ -74,7 +73,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in sqls:
-                result = compare(spark, con, fn, sqls[name], sf_dir) or "ok"
+                result = compare(con, fn(spark, sf_dir), sqls[name]) or "ok"
             else:
                 result = f"rows only: {fn(spark, sf_dir).count()}"
         except Exception as e:  # report and go on with the next query

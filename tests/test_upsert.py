@@ -89,6 +89,14 @@ def test_store_insert_only_appends(spark, store):
     assert values(store.read().where("k = 'k1'")) == [("k1", 1, "")]
 
 
+def test_store_merges_crowded_buckets(spark, store, monkeypatch):
+    monkeypatch.setattr("mentidero.sources.store.MERGE_AT", 2)
+    store.buckets = 1
+    for i in range(4):
+        store.insert_ignore(frame(spark, (f"k{i}", i, "")))
+    assert len(store._live()) == 2 and store.read().count() == 4
+
+
 def test_unpublished_version_is_invisible(spark, store):
     """What a run leaves behind when it dies between writing and publishing."""
     store.upsert(frame(spark, ("a", 1, "")))
