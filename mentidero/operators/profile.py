@@ -13,6 +13,7 @@ from mentidero.operators.quantiles import SMALL, exact_quantiles, exact_quantile
 
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
+LONG_VALUE = 64  # characters; longer values are counted by digest
 
 
 def _rows(columns: Sequence[Column]) -> Column:
@@ -75,24 +76,41 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, distinct values, most frequent value (smallest on a tie) and its count, per column.
+    """Count, distinct values, most frequent value and its count, per column.
 
-    Values of all columns go through one count; equal values are combined before the shuffle.
+    Long values are counted under their digest, so whole texts never move; ties go to the smallest
+    key (the value, or the digest of a long one). A second scan fetches the winning values.
     """
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    texts = {c: F.col(c).cast("string") for c in columns}
+    keys = {c: F.when(F.length(t) > LONG_VALUE, F.md5(t)).otherwise(t) for c, t in texts.items()}
     counted = (
-        texts.unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        df.select(*[k.alias(c) for c, k in keys.items()])
+        .unpivot([], list(columns), "column", "key")
+        .where(F.col("key").isNotNull())
+        .groupBy("column", "key")
         .agg(F.count("*").alias("n"))
     )
-    # Most frequent first, then the smallest value: the minimum of (-n, value).
-    top = F.min(F.struct((-F.col("n")).alias("neg"), "value"))
-    summary = counted.groupBy("column").agg(
-        F.sum("n").alias("count"), F.count("*").alias("unique"), top.alias("top_pair")
+    # Most frequent first, then the smallest key: the minimum of (-n, key).
+    top = F.min(F.struct((-F.col("n")).alias("neg"), "key")).alias("top")
+    rows = counted.groupBy("column").agg(F.sum("n").alias("n"), F.count("*").alias("keys"), top).collect()
+    found = {r["column"]: r for r in rows}  # one row per column
+    winners = df.agg(
+        *[F.min(F.when(keys[c] == F.lit(found[c]["top"]["key"]), texts[c])).alias(c) if c in found
+          else F.lit(None).cast("string").alias(c) for c in columns]
     )
-    return summary.select(
-        "column", "count", "unique", F.col("top_pair.value").alias("top"), (-F.col("top_pair.neg")).alias("freq")
+    return winners.select(
+        _rows(
+            [
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.lit(found[c]["n"] if c in found else 0).cast("bigint").alias("count"),
+                    F.lit(found[c]["keys"] if c in found else 0).cast("bigint").alias("unique"),
+                    F.col(c).alias("top"),
+                    F.lit(-found[c]["top"]["neg"] if c in found else None).cast("bigint").alias("freq"),
+                )
+                for c in columns
+            ]
+        )
     )
 
 

@@ -189,8 +189,9 @@ FROM x {by}"""
 def categorical(table: str, columns: dict[str, str]) -> str:
     long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {e} AS v FROM {table}" for c, e in columns.items())
     return f"""long AS ({long}),
-counted AS (SELECT "column", v, count(*) AS n FROM long WHERE v IS NOT NULL GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) AS place FROM counted)
+keyed AS (SELECT "column", v, CASE WHEN length(v) > 64 THEN md5(v) ELSE v END AS k FROM long WHERE v IS NOT NULL),
+counted AS (SELECT "column", k, any_value(v) AS v, count(*) AS n FROM keyed GROUP BY "column", k),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, k) AS place FROM counted)
 SELECT "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique", max(v) FILTER (WHERE place = 1) AS top,
        max(n) FILTER (WHERE place = 1) AS freq
 FROM ranked GROUP BY "column\""""

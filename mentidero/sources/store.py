@@ -35,11 +35,11 @@ class KeyedTable:
 
     def upsert(self, incoming: DataFrame, order: list[str] | None = None) -> None:
         """Replace whole rows by key (nulls too), insert the others. No rows: nothing happens."""
-        fresh = self._prepare(incoming, order)
-        live = self._live()
-        touched = {r.kb for r in fresh.select("kb").distinct().collect()}
+        touched = self._touched(incoming)
         if not touched:
             return
+        fresh = self._prepare(incoming, order)
+        live = self._live()
         version = 1 + max((v for _, v in live), default=0)
         current = self._load([e for e in live if e[0] in touched], keep_bucket=True)
         self._write(replace_rows(current, fresh, self.key), version)
@@ -48,12 +48,12 @@ class KeyedTable:
     def insert_ignore(self, incoming: DataFrame) -> None:
         """Append rows whose key is not there yet; present rows stay untouched on disk, but for
         buckets that gathered many small versions, which are merged into one."""
+        touched = self._touched(incoming)
+        if not touched:
+            return
         fresh = self._prepare(incoming, None)
         live = self._live()
         version = 1 + max((v for _, v in live), default=0)
-        touched = {r.kb for r in fresh.select("kb").distinct().collect()}
-        if not touched:
-            return
         parts = Counter(kb for kb, _ in live)
         crowded = {kb for kb in touched if parts[kb] >= MERGE_AT}
         present = self._load([e for e in live if e[0] in touched], keep_bucket=True)
@@ -65,6 +65,12 @@ class KeyedTable:
         if added:
             self._publish([e for e in live if e[0] not in crowded] + [(kb, version) for kb in added], version)
 
+    def _touched(self, incoming: DataFrame) -> set[int]:
+        """Buckets the batch falls into: at most `buckets` numbers."""
+        key = F.col(self.key).cast(self.schema[self.key].dataType)
+        kb = key_bucket(key, self.buckets).alias("kb")
+        return {r.kb for r in incoming.where(key.isNotNull()).select(kb).distinct().collect()}
+
     def _prepare(self, incoming: DataFrame, order: list[str] | None) -> DataFrame:
         keyed, _ = split_rejects(incoming, self.key)
         fields = set(self.schema.fieldNames())

@@ -51,7 +51,11 @@ def stream_upsert(rows: DataFrame, table: KeyedTable, checkpoint: str, order: li
     which changes nothing."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, order)
+        held = batch.persist()  # the upsert reads it more than once
+        try:
+            table.upsert(held, order)
+        finally:
+            held.unpersist()
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -54,6 +54,13 @@ def test_describe_categorical_breaks_ties_by_value(spark):
     assert got == {"s": (4, 2, "a", 2), "f": (3, 2, "true", 2)}
 
 
+def test_describe_categorical_counts_long_values_by_digest(spark):
+    long = ["x" * 100, "x" * 100, "y" * 65, "short"]
+    df = spark.createDataFrame([(t, None) for t in long], "t STRING, empty STRING")
+    got = {r["column"]: tuple(r)[1:] for r in profile.describe_categorical(df, ["t", "empty"]).collect()}
+    assert got == {"t": (4, 3, "x" * 100, 2), "empty": (0, 0, None, None)}
+
+
 def test_tombstones_and_null_bodies(spark):
     df = comments(spark)
     assert drop_tombstones(df).count() == 120
