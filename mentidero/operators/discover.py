@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # --- fixed values ---
 STRATEGIES = ("popular", "all_hot", "all_top_day")
@@ -106,7 +105,3 @@ def user_recent(posts: DataFrame, username: str, limit: int = 50) -> DataFrame:
             F.col("created_utc").alias("last_created_utc"),
         )
     )
-
-
-def listing_schema() -> StructType:
-    return StructType.fromDDL("position BIGINT, subreddit STRING, over18 BOOLEAN")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mentidero.functions.keys import normalize_key
 from mentidero.operators.joins import spread_join
 from mentidero.operators.upsert import one_per_key
-from mentidero.schemas import bronze_schema
+from mentidero.schemas import REFERENCES, bronze_schema, store_schema
 
 ORDER = ["batch_ts", "created_utc"]
 
@@ -72,6 +72,16 @@ def orphans(facts: DataFrame, parents: DataFrame, key: str, row_key: str) -> Dat
     return spread_join(named, parents.select(key).distinct(), key, row_key, "left_anti").select(*facts.columns)
 
 
+def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Orphan count per declared reference; `tables` are store tables by name."""
+    reports = []
+    for child, (key, parent) in REFERENCES.items():
+        row_key = store_schema(child).fieldNames()[0]
+        found = orphans(tables[child], tables[parent], key, row_key).agg(F.count("*").alias("orphans"))
+        reports.append(found.select(F.lit(child).alias("child"), F.lit(key).alias("reference"), "orphans"))
+    return reports[0].unionByName(reports[1])
+
+
 def first_per_group(df: DataFrame, group: str, position: str) -> DataFrame:
     """The row that comes first in scan order within each group."""
     rest = [c for c in df.columns if c not in (group, position)]

@@ -372,6 +372,11 @@ ORACLES: dict[str, str] = {
     "silver_posts": f"WITH {POSTS} SELECT post_id, upper(trim(replace(subreddit, chr(9), ''))) AS subreddit, author, score, num_comments, over_18 FROM posts",
     "orphan_comments": f"""WITH {COMMENTS} SELECT comment_id, post_id FROM comments c
         WHERE NOT EXISTS (SELECT 1 FROM events e WHERE CAST(e.event_id AS VARCHAR) = c.post_id)""",
+    "orphan_report": f"""WITH {COMMENTS}
+        SELECT 'posts' AS child, 'subreddit' AS reference, count(*) AS orphans FROM events e
+        WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = e.user_id)
+        UNION ALL SELECT 'comments', 'post_id', count(*) FROM comments c
+        WHERE NOT EXISTS (SELECT 1 FROM events e WHERE CAST(e.event_id AS VARCHAR) = c.post_id)""",
     "upsert_full_row": UPSERT,
     "store_upsert": UPSERT,
     "insert_ignore": "SELECT DISTINCT 'user' || user_id AS author_name FROM events",

@@ -532,6 +532,14 @@ def _accounts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return target, changed.unionByName(added)
 
 
+@query
+def orphan_report(spark: SparkSession, d: str) -> DataFrame:
+    """Orphans per declared reference between store tables."""
+    posts = si.supplier_posts(spark, d)
+    tables = {"subreddits": silver.dim_subreddit(si.subreddits(spark, d)), "posts": posts, "comments": si.comments(spark, d)}
+    return silver.orphan_report(tables)
+
+
 @query
 def upsert_full_row(spark: SparkSession, d: str) -> DataFrame:
     target, incoming = _accounts(spark, d)
@@ -939,7 +947,7 @@ def _event_stream(spark: SparkSession, d: str, times: int = 1) -> DataFrame:
 @query
 def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "stream-dedupe")
-    run = incremental.stream_dedupe(_event_stream(spark, d, 2), "post_id", "created_utc", f"{path}/out", f"{path}/checkpoint")
+    run = incremental.stream_dedupe(_event_stream(spark, d, 2), "post_id", f"{path}/out", f"{path}/checkpoint")
     run.awaitTermination()
     schema = "post_id STRING, event_type STRING, user_id BIGINT, value DOUBLE, created_utc DOUBLE"
     return spark.read.schema(schema).parquet(f"{path}/out").select("post_id", "event_type", "value")

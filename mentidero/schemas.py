@@ -92,10 +92,6 @@ MODELLING = (
     "has_exclamation BOOLEAN, has_question BOOLEAN, created_dt TIMESTAMP_NTZ, is_submitter BOOLEAN, sentiment INT"
 )
 
-MODEL_RESULTS = (
-    "model_key STRING, run_id STRING, val_accuracy DOUBLE, val_f1 DOUBLE, test_accuracy DOUBLE, test_f1 DOUBLE"
-)
-
 # --- end of fixed values ---------------------------------------------------------------------
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from mentidero.functions.clock import epoch_to_ts
 from mentidero.operators.bronze import to_bronze
 from mentidero.schemas import CREATED_COLUMN
 from mentidero.sources.lake import DATE_COLUMNS, with_date_parts
@@ -65,15 +64,16 @@ def stream_upsert(rows: DataFrame, table: KeyedTable, checkpoint: str, order: li
     )
 
 
-def dedupe_stream(rows: DataFrame, key: str, created_column: str, span: str = REPLAY_SPAN) -> DataFrame:
-    """Drop repeats of a key seen within `span`. State is one small entry per key, freed after the
-    span; the upsert stays the final authority."""
-    timed = rows.withColumn("_event_time", epoch_to_ts(F.col(created_column)).cast("timestamp"))
-    return timed.withWatermark("_event_time", span).dropDuplicatesWithinWatermark([key]).drop("_event_time")
+def dedupe_stream(rows: DataFrame, key: str, span: str = REPLAY_SPAN) -> DataFrame:
+    """Drop repeats of a key that arrive within `span`. State is one small entry per key, freed after
+    the span. The watermark runs on arrival time, so no row is ever late, however old its content;
+    repeats beyond the span are left to the upsert, the final authority."""
+    timed = rows.withColumn("_arrival", F.current_timestamp())
+    return timed.withWatermark("_arrival", span).dropDuplicatesWithinWatermark([key]).drop("_arrival")
 
 
-def stream_dedupe(rows: DataFrame, key: str, created_column: str, out: str, checkpoint: str) -> StreamingQuery:
-    return _append(dedupe_stream(rows, key, created_column), out, checkpoint)
+def stream_dedupe(rows: DataFrame, key: str, out: str, checkpoint: str) -> StreamingQuery:
+    return _append(dedupe_stream(rows, key), out, checkpoint)
 
 
 def stream_score(rows: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:

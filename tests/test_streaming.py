@@ -50,12 +50,19 @@ def test_upsert_stream_replayed_is_the_same(spark, tmp_path):
 def test_dedupe_stream_over_overlapping_files(spark, tmp_path):
     raw = f"{tmp_path}/raw"
     write_lines(f"{raw}/a.ndjson", [comment(i, "p", "x") for i in range(30)])
-    write_lines(f"{raw}/b.ndjson", [comment(i, "p", "x") for i in range(15, 45)])
-    rows = to_bronze(inc.raw_stream(spark, raw, "comments"), "comments")
-    inc.stream_dedupe(rows, "comment_id", "created_utc", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
-    out = spark.read.schema(bronze_schema("comments")).parquet(f"{tmp_path}/out")
+
+    def run():
+        rows = to_bronze(inc.raw_stream(spark, raw, "comments"), "comments")
+        inc.stream_dedupe(rows, "comment_id", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+        return spark.read.schema(bronze_schema("comments")).parquet(f"{tmp_path}/out")
+
+    assert run().count() == 30
+    # Repeats, rows years older than those seen, and a row without a time.
+    write_lines(f"{raw}/b.ndjson", [comment(i, "p", "x") for i in range(15, 45)] + [
+        comment(90, "p", "old", created_utc=1.0), comment(91, "p", "timeless", created_utc=None)])
+    out = run()
     batch = dedupe_latest(to_bronze(read_raw(spark, raw, "comments"), "comments"), "comment_id")
-    assert values(out) == values(batch.select(*out.columns)) and out.count() == 45
+    assert values(out) == values(batch.select(*out.columns)) and out.count() == 47
 
 
 def test_score_stream_equals_batch(spark, tmp_path):
