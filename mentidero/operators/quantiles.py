@@ -1,11 +1,11 @@
-"""Exact quantiles (linear interpolation between neighbours) that never gather a column in one place.
-
-`percentile` keeps every distinct value of a column in one task, and one sort cannot be split. So the
-order statistics are searched by narrowing: each round is one scan with bounded aggregates that
-returns, per search interval, how many rows lie below it, how many lie in it, and an approximate grid
-inside it. When few enough distinct values are left in the intervals, one scan counts the values
-inside and the rows between the intervals, and the exact answers are read off the running total. An
-interval that missed its rank (the grid is approximate) is widened and searched again.
+"""Exact quantiles (linear interpolation between neighbours) that never gather a large column.
+
+`percentile` keeps every distinct value of a column in one task, and so does one sort. A column with
+more values than a task may hold is searched by narrowing instead: each round is one scan with bounded
+aggregates that returns, per search interval, how many rows lie below it, how many lie in it, and an
+approximate grid inside it. When few enough distinct values are left in the intervals, one scan counts
+the values inside and the rows between the intervals, and the exact answers are read off the running
+total. An interval that missed its rank (the grid is approximate) is left for the gap beside it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,8 @@ class Interval:
 
 
 def _ranks(n: int, prob: float) -> tuple[int, int, float]:
-    place = prob * (n - 1)
+    """Neighbouring ranks of a quantile and the weight of the upper one."""
+    place = prob * max(n - 1, 0)
     low = math.floor(place)
     return low, math.ceil(place), place - low
 
@@ -62,8 +63,14 @@ def exact_quantiles(
     fits = [c for c in wanted if counts[c] <= small]
     out: dict[str, list[float | None]] = {}
     if fits:
-        row = df.agg(*[F.percentile(clean[c], F.lit(list(wanted[c]))).alias(c) for c in fits]).first()
-        out.update({c: list(row[c]) if row[c] else [None] * len(wanted[c]) for c in fits})
+        # Checked above: at most `small` values per column, sorted as one array.
+        row = df.agg(*[F.sort_array(F.collect_list(clean[c])).alias(c) for c in fits]).select(
+            *[F.array(*[F.get(c, F.lit(r)) for p in wanted[c] for r in _ranks(counts[c], p)[:2]]).alias(c) for c in fits]
+        ).first()
+        for c in fits:
+            ends = zip(row[c][::2], row[c][1::2])
+            parts = [_ranks(counts[c], p)[2] for p in wanted[c]]
+            out[c] = [None if lo is None else lo + (hi - lo) * part for (lo, hi), part in zip(ends, parts)]
     large = {c: (counts[c], wanted[c]) for c in wanted if c not in out}
     if large:
         out.update(_search(df.select(*[clean[c].alias(c) for c in large]), large, small))
