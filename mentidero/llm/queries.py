@@ -11,11 +11,16 @@ from mentidero.llm.chat import format_chats, loss_text, parse_chats
 from mentidero.llm.common import field, narrow, table
 from mentidero.llm.edits import apply_edits, build_trees, sample_edits
 from mentidero.llm.llr import quality_rules
+from mentidero.llm.probminhash import near_duplicate_classes
 from mentidero.llm.suffixes import contamination
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = narrow(table(spark, sf_dir, "documents"), doc_id="bigint", text="string")
     encoded = encode_documents(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"])
@@ -70,5 +75,5 @@ def op10_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED = {
     f.__name__: f
-    for f in (op4_byte_bpe, op5_llr_quality, op8_suffix_decontamination, op9_edit_counts, op10_relational_chat)
+    for f in (op2_probminhash, op4_byte_bpe, op5_llr_quality, op8_suffix_decontamination, op9_edit_counts, op10_relational_chat)
 }
