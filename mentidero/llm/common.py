@@ -28,6 +28,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, scratch_dir(df.sparkSession, purpose))
 
 
+ROWS_PER_FILE = 200_000
+
+
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """Merge the partitions of a narrow table with at most about `rows` rows into as many as it needs.
+
+    A shuffled table of a few thousand rows otherwise comes as one task and file per shuffle partition.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)) * 2)
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` evaluated once per row; a plain alias may be inlined many times."""
     return F.transform(F.array(value), lambda v: body(v))[0]

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from mentidero.llm.classes import component_labels
-from mentidero.llm.common import narrow, stage
+from mentidero.llm.classes import merge_labels
+from mentidero.llm.common import few_files, narrow, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BAND = 80, 4
@@ -49,30 +49,34 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_intdigest(word) >> 1  # fits a signed integer
         return value
 
 
+BATCH_BITS = 9  # a batch of texts is sorted as one array of (text number, shingle hash) in 64 bits
+
+
 def shingles(texts: list[str | None], known: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, shingle hash, weight), sorted by both, for a batch of texts."""
+    """(text number, shingle hash of 55 bits, weight), sorted by both, for a batch of at most 512 texts."""
     words = [(text or "").lower().split() for text in texts]
     counts = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.array([known[w] for ws in words for w in ws], dtype=np.uint64)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    left = np.repeat(counts, counts) - place
-    code = np.zeros(len(flat), dtype=np.uint64)
+    flat = np.array([h for ws in words for h in map(known.__getitem__, ws)], dtype=np.int64).view(np.uint64)
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(flat))
     padded = np.concatenate([flat, np.zeros(size, dtype=np.uint64)])
-    for step in range(size):
-        code = _mix(code * _GOLDEN + np.where(left > step, padded[step : step + len(flat)], np.uint64(step)) + _GOLDEN)
-    starts = (left >= size) | (place == 0)
-    owner, code = owner[starts], code[starts]
-    order = np.lexsort((code, owner))
-    owner, code = owner[order], code[order]
-    new = np.ones(len(code), dtype=bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])
+    code = np.zeros(len(flat), dtype=np.uint64)
+    for step in range(size):  # words after the text's last count as 0
+        code = code * _GOLDEN + np.where(left > step, padded[step : step + len(flat)], np.uint64(0))
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint64), counts)
+    starts = left >= size
+    starts[(np.cumsum(counts) - counts)[counts > 0]] = True
+    shift = np.uint64(64 - BATCH_BITS)
+    keys = np.sort((owner[starts] << shift) | (_mix(code[starts]) >> np.uint64(BATCH_BITS)))
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
     first = np.flatnonzero(new)
-    return owner[first], code[first], np.diff(np.append(first, len(code))).astype(np.float64)
+    held = keys[first]
+    code = held & np.uint64((1 << (64 - BATCH_BITS)) - 1)
+    return (held >> shift).astype(np.int64), code, np.diff(np.append(first, len(keys))).astype(np.float64)
 
 
 def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
@@ -87,13 +91,9 @@ def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int,
             draw = _mix(code + np.uint64(turn) * _GOLDEN)
             time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53) / weight
             cell = owner * registers + (_mix(draw + _GOLDEN) % np.uint64(registers)).astype(np.int64)
-            # The earliest arrival per register of this turn, then against the earlier turns.
-            early = np.flatnonzero(time < best[cell])
-            early = early[np.lexsort((code[early], time[early], cell[early]))]
-            keep = np.ones(len(early), dtype=bool)
-            keep[1:] = cell[early[1:]] != cell[early[:-1]]
-            early = early[keep]
-            best[cell[early]], holder[cell[early]] = time[early], code[early]
+            np.minimum.at(best, cell, time)
+            won = time == best[cell]
+            holder[cell[won]] = code[won]
             latest = best.reshape(n, registers).max(axis=1)
             alive = time < latest[owner]
             owner, code, weight, time = owner[alive], code[alive], weight[alive], time[alive]
@@ -170,8 +170,8 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY) ->
         known = WordHashes()
         for left, right in batches:
             verdicts: list[bool] = []
-            for start in range(0, len(left), 512):
-                both = pd.concat([left.iloc[start : start + 512], right.iloc[start : start + 512]])
+            for start in range(0, len(left), 256):
+                both = pd.concat([left.iloc[start : start + 256], right.iloc[start : start + 256]])
                 names, distinct = pd.factorize(both)  # a pivot occurs many times
                 owner, code, weight = shingles(list(distinct), known)
                 cuts = np.searchsorted(owner, np.arange(len(distinct) + 1))
@@ -195,10 +195,9 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     open_rows = stage(every.join(shared, "bucket").select("bucket", "node", F.col("node").alias("label")), "buckets")
     wanted = texts.join(open_rows.select("node").distinct(), "node", "left_semi")
     texts = stage(wanted.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    links = None
-    compared = None
+    labels = compared = None
     pivots_each = 1
-    while open_rows.limit(1).count():
+    while n_open := open_rows.count():
         part = F.pmod(F.xxhash64("node", "bucket", F.lit(1)), F.lit(pivots_each))
         place = F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node"), F.col("label"))
         pivots = open_rows.groupBy("bucket", part.alias("part")).agg(F.min(place).alias("p"))
@@ -207,17 +206,17 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(verify(pairs, texts, threshold), "linked")
+        pairs = stage(few_files(pairs, n_open), "pairs")
+        found = stage(few_files(verify(pairs, texts, threshold), 10 * n_open), "linked")
         compared = pairs if compared is None else compared.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = component_labels(links)
+        labels = merge_labels(labels, found)
         rest = open_rows.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rest = stage(few_files(rest.select("bucket", "node", "label"), n_open), "buckets")
         mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        open_rows = stage(rest.join(mixed.select("bucket"), "bucket").select("bucket", "node", "label"), "buckets")
-        pivots_each *= 2
-    if links is None:
+        open_rows = stage(few_files(rest.join(mixed.select("bucket"), "bucket"), n_open), "buckets")
+        pivots_each *= 4
+    if labels is None:
         return every.select("node", F.col("node").alias("label")).limit(0)
     return labels
 
