@@ -237,8 +237,12 @@ def near_duplicate_classes(documents: DataFrame, threshold: float = SIMILARITY)
 
 def one_of_each_class(documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The documents without near copies: of each class the row with its smallest doc_id stays, once."""
-    classes = near_duplicate_classes(documents, threshold)
-    copies = classes.where("class_size > 1")
-    kept = copies.where("doc_id = class_id").select("doc_id").distinct()
-    dropped = copies.where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(dropped.join(kept, "doc_id", "left_anti"), "doc_id", "left_anti").select(*documents.columns)
+    copies = stage(near_duplicate_classes(documents, threshold).where("class_size > 1"), "classes")
+    kept = copies.where("doc_id = class_id").groupBy("doc_id").count()
+    dropped = copies.where("doc_id <> class_id").select("doc_id").distinct().join(kept, "doc_id", "left_anti")
+    rest = documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
+    repeated = kept.where("count > 1").select("doc_id")
+    if not repeated.limit(1).count():
+        return rest
+    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.join(repeated, "doc_id", "left_anti").unionByName(once).select(*documents.columns)

@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from mentidero.llm import pii, toxicity
 from mentidero.llm.bpe import decode_documents, encode_documents
 from mentidero.llm.chat import format_chats, loss_text, parse_chats
 from mentidero.llm.common import field, narrow, table
@@ -13,14 +15,31 @@ from mentidero.llm.edits import apply_edits, build_trees, sample_edits
 from mentidero.llm.llr import quality_rules
 from mentidero.llm.probminhash import near_duplicate_classes
 from mentidero.llm.suffixes import contamination
+from mentidero.llm.tagpaths import extract_text
+from mentidero.llm.toxicity import add_score
+from mentidero.llm.warc import page_records, read_archives, write_archives
+from mentidero.operators.once import compute_once
+from mentidero.session import scratch_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path, key="page_id", payload="html", url="url")
+    return page_records(read_archives(spark, path)).withColumnRenamed("key", "page_id")
+
+
 def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = narrow(table(spark, sf_dir, "pages"), page_id="bigint", url="string", html="string")
+    texts = compute_once(pages.withColumnRenamed("html", "text"), "text", extract_text(F.col("text")))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = narrow(table(spark, sf_dir, "documents"), doc_id="bigint", text="string")
     encoded = encode_documents(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"])
@@ -35,6 +54,28 @@ def op5_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), labels.where("quality = 1"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = narrow(table(spark, sf_dir, "documents"), doc_id="bigint", text="string")
+    scored = add_score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), "score").select("doc_id", "score")
+    return compute_once(scored, "score", F.col("score")).select(
+        "doc_id", (~toxicity.is_training(F.col("doc_id"))).alias("held_out"), "score",
+        (F.col("score") >= toxicity.PREDICT).cast("int").alias("predicted"),
+    )
+
+
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = narrow(table(spark, sf_dir, "documents"), doc_id="bigint", text="string")
+    found = compute_once(pii.add_spans(docs, pii.fit(docs), "found").select("doc_id", "found"), "found", F.col("found"))
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("found.base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.BASE_KINDS],
+        F.sha2(joined(F.col("found.base")), 256).alias("base_sha256"), joined(F.col("found.spans")).alias("spans"),
+    )
+
+
 def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -73,7 +114,14 @@ def op10_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 REGISTERED = {
     f.__name__: f
-    for f in (op2_probminhash, op4_byte_bpe, op5_llr_quality, op8_suffix_decontamination, op9_edit_counts, op10_relational_chat)
+    for f in (
+        op1_warc, op2_probminhash, op3_tag_paths, op4_byte_bpe, op5_llr_quality, op6_toxicity, op7_boosted_pii,
+        op8_suffix_decontamination, op9_edit_counts, op10_relational_chat, pipeline,
+    )
 }
