@@ -32,11 +32,12 @@ ROWS_PER_FILE = 200_000
 
 
 def few_files(df: DataFrame, rows: int) -> DataFrame:
-    """Merge the partitions of a narrow table with at most about `rows` rows into as many as it needs.
+    """Deal a narrow table of at most about `rows` rows to as many files as it needs.
 
-    A shuffled table of a few thousand rows otherwise comes as one task and file per shuffle partition.
+    A shuffled table of a few thousand rows otherwise comes as one file per shuffle partition. Dealt anew, not
+    coalesced: a task over many partitions of a join would hold the sort buffers of all of them.
     """
-    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)) * 2)
+    return df.repartition(max(1, -(-rows // ROWS_PER_FILE)))
 
 
 def let(value: Column, body) -> Column:

@@ -215,7 +215,7 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         rest = stage(few_files(rest.select("bucket", "node", "label"), n_open), "buckets")
         mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_rows = stage(few_files(rest.join(mixed.select("bucket"), "bucket"), n_open), "buckets")
-        pivots_each *= 4
+        pivots_each *= 8
     if labels is None:
         return every.select("node", F.col("node").alias("label")).limit(0)
     return labels
