@@ -191,28 +191,32 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     Only texts that share a bucket with another are kept for verification, once each.
     """
     every = stage(text_buckets(texts).distinct(), "bands")
-    shared = every.groupBy("bucket").count().where("count > 1").select("bucket")
-    open_rows = stage(every.join(shared, "bucket").select("bucket", "node", F.col("node").alias("label")), "buckets")
+    shared = every.groupBy("bucket").count().where("count > 1")
+    met_rows = stage(every.join(shared, "bucket"), "shared")
+    # The text with the most bucket neighbours is the best pivot: a common original is near all its copies.
+    degrees = met_rows.groupBy("node").agg(F.sum("count").alias("degree"))
+    open_rows = met_rows.join(degrees, "node").select("bucket", "node", "degree", F.col("node").alias("label"))
+    open_rows = stage(open_rows, "buckets")
     wanted = texts.join(open_rows.select("node").distinct(), "node", "left_semi")
     texts = stage(wanted.groupBy("node").agg(F.first("text").alias("text")), "texts")
     labels = compared = None
     pivots_each = 1
     while n_open := open_rows.count():
         part = F.pmod(F.xxhash64("node", "bucket", F.lit(1)), F.lit(pivots_each))
-        place = F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node"), F.col("label"))
+        place = F.struct((-F.col("degree")).alias("d"), F.xxhash64("node", "bucket").alias("h"), F.col("node"), F.col("label"))
         pivots = open_rows.groupBy("bucket", part.alias("part")).agg(F.min(place).alias("p"))
         pivots = pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
         met = open_rows.join(pivots, "bucket").where("node <> pivot AND label <> pivot_label")
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = stage(few_files(pairs, n_open), "pairs")
+        pairs = stage(few_files(pairs, n_open * min(pivots_each, 8)), "pairs")
         found = stage(few_files(verify(pairs, texts, threshold), 10 * n_open), "linked")
         compared = pairs if compared is None else compared.unionByName(pairs)
         labels = merge_labels(labels, found)
         rest = open_rows.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rest = stage(few_files(rest.select("bucket", "node", "label"), n_open), "buckets")
+        rest = stage(few_files(rest.select("bucket", "node", "degree", "label"), n_open), "buckets")
         mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_rows = stage(few_files(rest.join(mixed.select("bucket"), "bucket"), n_open), "buckets")
         pivots_each *= 8
