@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -185,10 +185,53 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY) ->
     return held.withColumn("alike", check("text_a", "text_b")).where("alike").select("a", "b")
 
 
+def shingle_stats(texts: DataFrame) -> DataFrame:
+    """Per text (node, text): n distinct shingles, `common` of them also in another of these texts, `alone` the
+    share of its weight in the others, and whether a shingle is `repeated`."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                owner, code, weight = shingles(part.column(1).to_pylist(), known)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(owner)), pa.array(code.view(np.int64)), pa.array(weight.astype(np.int64))],
+                    names=["node", "shingle", "times"],
+                )
+
+    rows = stage(texts.select("node", "text").mapInArrow(explode, "node binary, shingle bigint, times bigint"), "shingles")
+    met = rows.groupBy("shingle").count().where("count > 1").select("shingle", F.lit(True).alias("met"))
+    return rows.join(met, "shingle", "left").groupBy("node").agg(
+        F.count("*").alias("n"), F.count("met").alias("common"),
+        (F.sum(F.when(F.col("met").isNull(), F.col("times")).otherwise(0)) / F.sum("times")).alias("alone"),
+        (F.max("times") > 1).alias("repeated"),
+    )
+
+
+def _may_be_similar(common: Column, n_a: Column, n_b: Column, repeated: Column, alone: Column, threshold: float) -> Column:
+    """Exact bounds: a text shares at most its `common` shingles, which bounds the plain Jaccard by
+    common / (n_a + n_b - common). Without repeated shingles the probability Jaccard is the same number;
+    else it is at most the weight outside `alone`. A small slack covers rounding."""
+    plain = common * (1 + threshold) >= threshold * (n_a + n_b) - 1e-6
+    return plain | (repeated & (1 - alone >= threshold - 1e-6))
+
+
+def _drop_settled(open_rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Open rows with their text's shingle numbers, without the texts that can have no partner in a bucket."""
+    stats = shingle_stats(texts.join(open_rows.select("node").distinct(), "node", "left_semi"))
+    rows = open_rows.join(stats, "node")
+    least = rows.groupBy("bucket").agg(F.min("n").alias("least"), F.max("repeated").alias("any_repeated"))
+    rows = rows.join(least, "bucket")
+    partner = _may_be_similar(F.col("common"), F.col("n"), F.col("least"), F.col("any_repeated"), F.col("alone"), threshold)
+    return rows.where(partner).drop("least", "any_repeated")
+
+
 def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(node, label) of every text that is linked to another. `texts` has (node, text); nodes may repeat.
 
-    Only texts that share a bucket with another are kept for verification, once each.
+    Only texts that share a bucket with another are kept for verification, once each. After the first round
+    the shingles of the texts still open are counted, and exact bounds on the similarity settle most of them.
     """
     every = stage(text_buckets(texts).distinct(), "bands")
     shared = every.groupBy("bucket").count().where("count > 1")
@@ -201,30 +244,45 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     texts = stage(wanted.groupBy("node").agg(F.first("text").alias("text")), "texts")
     labels = compared = None
     pivots_each = 1
+    numbers = ["n", "common", "alone", "repeated"]
     while n_open := open_rows.count():
+        known = [c for c in numbers if c in open_rows.columns]
         part = F.pmod(F.xxhash64("node", "bucket", F.lit(1)), F.lit(pivots_each))
-        place = F.struct((-F.col("degree")).alias("d"), F.xxhash64("node", "bucket").alias("h"), F.col("node"), F.col("label"))
-        pivots = open_rows.groupBy("bucket", part.alias("part")).agg(F.min(place).alias("p"))
-        pivots = pivots.select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
-        met = open_rows.join(pivots, "bucket").where("node <> pivot AND label <> pivot_label")
-        pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        order = [(-F.col("degree")).alias("d"), F.xxhash64("node", "bucket").alias("h")]
+        pivots = open_rows.groupBy("bucket", part.alias("part")).agg(F.min(F.struct(*order, "node", "label", *known)).alias("p"))
+        pivots = pivots.select("bucket", *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in ("node", "label", *known)])
+        met = open_rows.join(pivots, "bucket").where("node <> pivot_node AND label <> pivot_label")
+        if known:
+            met = met.where(_may_be_similar(
+                F.least("common", "pivot_common"), F.col("n"), F.col("pivot_n"), F.col("repeated") | F.col("pivot_repeated"),
+                F.greatest("alone", "pivot_alone"), threshold,
+            ))
+        pairs = met.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = stage(few_files(pairs, n_open * min(pivots_each, 8)), "pairs")
-        found = stage(few_files(verify(pairs, texts, threshold), 10 * n_open), "linked")
+        found = stage(few_files(verify(pairs, texts, threshold), n_open), "linked")
         compared = pairs if compared is None else compared.unionByName(pairs)
         labels = merge_labels(labels, found)
-        rest = open_rows.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
+        rest = open_rows.join(pivots.select("bucket", F.col("pivot_node").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rest = stage(few_files(rest.select("bucket", "node", "degree", "label"), n_open), "buckets")
-        mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        open_rows = stage(few_files(rest.join(mixed.select("bucket"), "bucket"), n_open), "buckets")
+        rest = stage(few_files(rest.select("bucket", "node", "degree", "label", *known), n_open), "buckets")
+        open_rows = stage(few_files(_unsettled(rest), n_open), "buckets")
+        if pivots_each == 1 and open_rows.limit(1).count():
+            bounded = stage(few_files(_drop_settled(open_rows, texts, threshold), n_open), "bounded")
+            open_rows = stage(few_files(_unsettled(bounded), n_open), "buckets")
         pivots_each *= 8
     if labels is None:
         return every.select("node", F.col("node").alias("label")).limit(0)
     return labels
 
 
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """The rows of buckets whose texts are in several classes."""
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return rows.join(mixed.select("bucket"), "bucket")
+
+
 def near_duplicate_classes(documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class) and class_size, one row per document."""
     docs = narrow(documents, doc_id="bigint", text="string")
