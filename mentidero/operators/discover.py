@@ -26,11 +26,6 @@ def sample_limit(limit: int) -> int:
     return max(200, limit * 5)
 
 
-def overfetch(n: int) -> int:
-    """Listing entries to look at to find n safe ones."""
-    return max(n * 3, 50)
-
-
 def safe_rows(df: DataFrame, flag: str, include_nsfw: bool) -> DataFrame:
     """Drop flagged rows unless asked for; a missing flag counts as safe."""
     return df if include_nsfw else df.where(~F.coalesce(F.col(flag), F.lit(False)))
@@ -47,12 +42,11 @@ def discover_ranked(posts: DataFrame, n: int, position: Column, include_nsfw: bo
 
 
 def discover_popular(listing: DataFrame, n: int, position: str, include_nsfw: bool = False) -> DataFrame:
-    """First n safe entries among the over-fetched head of an ordered listing."""
-    fetched = listing.orderBy(position).limit(overfetch(n))
-    return safe_rows(fetched, "over18", include_nsfw).orderBy(position).limit(n)
+    """First n safe entries of an ordered listing, wherever in it they stand."""
+    return safe_rows(listing, "over18", include_nsfw).orderBy(position).limit(n)
 
 
-def hot_list(names: DataFrame, strategy: str, posts_limit: int, include_nsfw: bool) -> DataFrame:
+def hot_list(names: DataFrame, strategy: str, posts_limit: int | None, include_nsfw: bool) -> DataFrame:
     """The evidence record of a discovery run."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
 
+def parent_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Equi-join ("inner", "left", "left_semi" or "left_anti") of facts with one narrow row per key.
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, row_key: str, how: str, salts: int = SALTS) -> DataFrame:
-    """Equi-join with each key (a null key too) spread over `salts` tasks.
-
-    `right` holds one narrow row per key, so its copies stay small next to the facts. The salt is a
-    hash of the fact's own key, hence the same on every attempt of a task. Spark still broadcasts
-    the right side by itself when its measured size is below the session's limit.
+    Facts without a key match nothing and stay out of the shuffle. A key with many facts is split by the
+    enabled skew-join re-planner at run time, so the parents are copied only where a key is hot, and the
+    size Spark weighs for a broadcast is the true one.
     """
-    salt = "_salt"
-    salted = left.withColumn(salt, F.pmod(F.xxhash64(F.col(row_key)), F.lit(salts)).cast("int"))
-    copies = right.where(F.col(key).isNotNull()).withColumn(
-        salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return salted.join(copies, [key, salt], how).drop(salt)
+    matched = left.where(F.col(key).isNotNull()).join(right, key, how)
+    if how in ("inner", "left_semi"):
+        return matched
+    return matched.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)

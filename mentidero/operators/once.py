@@ -1,4 +1,4 @@
-"""Evaluating a costly expression once, and spreading a small input."""
+"""Evaluating a costly expression once."""
 
 from __future__ import annotations
 
@@ -18,10 +18,3 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     generated = df.select("*", F.explode(F.array(value)).alias(held))
     order = df.columns if name in df.columns else [*rest, name]
     return generated.select(*[F.col(held).alias(c) if c == name else F.col(c) for c in order])
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over the cores when a scan has fewer tasks than cores (one small file). A large
-    input has more tasks than cores and passes through."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

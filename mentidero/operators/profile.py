@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentidero.operators.joins import spread_join
+from mentidero.operators.joins import parent_join
 from mentidero.operators.quantiles import SMALL, exact_quantiles, exact_quantiles_by
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -44,8 +44,15 @@ def column_info(df: DataFrame) -> DataFrame:
     )
 
 
+def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NaN is no value to any numeric profile: it becomes null."""
+    floats = [f.name for f in df.schema.fields if f.name in columns and f.dataType.typeName() in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max per column."""
+    df = without_nan(df, columns)
     cuts = exact_quantiles(df, {c: QUARTILES for c in columns})
     parts = []
     for c in columns:
@@ -140,6 +147,7 @@ def quantile_table(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> Data
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, one scan, long form (both orders and the diagonal)."""
+    df = without_nan(df, columns)
     pairs = list(combinations_with_replacement(columns, 2))
     counted = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}~{b}") for a, b in pairs])
     cells = []
@@ -178,6 +186,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins over the column's range; the last bin is closed. Empty bins are left out."""
+    df = without_nan(df, [column])
     x = F.col(column).cast("double")
     edge = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
     placed = df.where(x.isNotNull()).select(x.alias("x"), edge.alias("e"))
@@ -199,6 +208,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def box_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, whisker ends (last values within 1.5 IQR of the box), min, max, outlier count."""
+    df = without_nan(df, [column])
     q1, q2, q3 = exact_quantiles(df, {column: QUARTILES})[column]
     x = F.col(column).cast("double")
     box = {"q1": q1, "median": q2, "q3": q3}
@@ -231,7 +241,7 @@ def box_stats_by(df: DataFrame, group: str, column: str, small: int = SMALL) ->
     counted = usable.groupBy(group, x.alias("x")).agg(F.count("*").alias("rows"))
     inside = _in_fences(F.col("x"), F.col("q1"), F.col("q3"))
     return (
-        spread_join(counted, quart, group, "x", "inner")
+        parent_join(counted, quart, group, "inner")
         .groupBy(group)
         .agg(
             F.sum("rows").alias("n"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentidero.functions.keys import normalize_key
-from mentidero.operators.joins import spread_join
+from mentidero.operators.joins import parent_join
 from mentidero.operators.upsert import one_per_key
 from mentidero.schemas import REFERENCES, bronze_schema, store_schema
 
@@ -54,7 +54,7 @@ def dim_author(posts: DataFrame, comments: DataFrame) -> DataFrame:
 def with_reference_flag(facts: DataFrame, parents: DataFrame, key: str, row_key: str, flag: str) -> DataFrame:
     """Left join on a unique parent key: every fact row and column stays, plus a found flag."""
     marks = parents.select(key).distinct().withColumn(flag, F.lit(True))
-    joined = spread_join(facts, marks, key, row_key, "left")
+    joined = parent_join(facts, marks, key, "left")
     return joined.select(*facts.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
 
 
@@ -69,7 +69,7 @@ def fact_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:
 def orphans(facts: DataFrame, parents: DataFrame, key: str, row_key: str) -> DataFrame:
     """Fact rows whose declared parent is missing; a row without a parent key is no orphan."""
     named = facts.where(F.col(key).isNotNull())
-    return spread_join(named, parents.select(key).distinct(), key, row_key, "left_anti").select(*facts.columns)
+    return parent_join(named, parents.select(key).distinct(), key, "left_anti").select(*facts.columns)
 
 
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:

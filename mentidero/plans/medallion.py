@@ -81,16 +81,21 @@ def first_posts(spark: SparkSession, raw_root: str) -> DataFrame:
     return silver.first_per_group(rows, "file", "scan_pos")
 
 
-def discover(posts: DataFrame, n: int, strategy: str, position: Column, posts_limit: int, now: Column,
+def discover(posts: DataFrame, n: int, strategy: str, position: Column, posts_limit: int | None, now: Column,
              include_nsfw: bool = False) -> DataFrame:
     """Rank communities over stored posts and return the evidence record, best first.
 
-    all_hot looks at the newest posts, all_top_day at the best of the last day.
+    all_hot looks at all posts, all_top_day at those of the last day; `posts_limit`, where given, keeps only
+    the newest or the best of them. `popular` ranks a listing, not posts: see `discover_popular`.
     """
+    if strategy not in ("all_hot", "all_top_day"):
+        raise ValueError(f"{strategy!r} doesn't rank stored posts")
     if strategy == "all_top_day":
         dated = posts.withColumn("_dt", epoch_to_ts(F.col("created_utc")))
-        pool = within(dated, "_dt", "day", now).orderBy(F.desc("score"), position)
+        pool, best_first = within(dated, "_dt", "day", now), "score"
     else:
-        pool = posts.orderBy(F.desc("created_utc"), position)
-    ranked = discover_ranked(pool.limit(posts_limit), n, position, include_nsfw)
+        pool, best_first = posts, "created_utc"
+    if posts_limit is not None:
+        pool = pool.orderBy(F.desc(best_first), position).limit(posts_limit)
+    ranked = discover_ranked(pool, n, position, include_nsfw)
     return hot_list(ranked.orderBy(F.desc("n_posts"), "first_pos"), strategy, posts_limit, include_nsfw)

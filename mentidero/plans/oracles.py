@@ -385,14 +385,13 @@ ORACLES: dict[str, str] = {
     "discover_ranked": f"WITH {POSTS}, pool AS (SELECT * FROM posts WHERE NOT coalesce(over_18, FALSE)) "
     + RANKED_USERS.format(pool="pool", n=20),
     "discover_popular": """WITH h AS (SELECT c_custkey AS position, c_name AS subreddit,
-        CASE WHEN c_acctbal < 0 THEN TRUE WHEN c_acctbal > 5000 THEN FALSE END AS over18 FROM customer ORDER BY c_custkey LIMIT 120)
+        CASE WHEN c_acctbal < 0 THEN TRUE WHEN c_acctbal > 5000 THEN FALSE END AS over18 FROM customer)
         SELECT * FROM h WHERE NOT coalesce(over18, FALSE) ORDER BY position LIMIT 40""",
-    "discover_hot": f"""WITH {POSTS}, newest AS (SELECT * FROM posts ORDER BY created_utc DESC, event_id LIMIT 1000),
-        pool AS (SELECT * FROM newest WHERE NOT coalesce(over_18, FALSE)), r AS ({RANKED_USERS.format(pool="pool", n=10)})
-        SELECT subreddit, 'all_hot' AS strategy, CAST(1000 AS BIGINT) AS posts_limit, FALSE AS include_nsfw FROM r""",
+    "discover_hot": f"""WITH {POSTS}, pool AS (SELECT * FROM posts WHERE NOT coalesce(over_18, FALSE)), r AS ({RANKED_USERS.format(pool="pool", n=10)})
+        SELECT subreddit, 'all_hot' AS strategy, CAST(NULL AS BIGINT) AS posts_limit, FALSE AS include_nsfw FROM r""",
     "discover_top_day": f"""WITH {POSTS}, day AS (SELECT * FROM posts WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY),
-        pool AS (SELECT * FROM day ORDER BY score DESC, event_id LIMIT 200), r AS ({RANKED_USERS.format(pool="pool", n=10)})
-        SELECT subreddit, 'all_top_day' AS strategy, CAST(200 AS BIGINT) AS posts_limit, TRUE AS include_nsfw FROM r""",
+        r AS ({RANKED_USERS.format(pool="day", n=10)})
+        SELECT subreddit, 'all_top_day' AS strategy, CAST(NULL AS BIGINT) AS posts_limit, TRUE AS include_nsfw FROM r""",
     "search_posts": """SELECT doc_id, n_chars FROM documents WHERE contains(lower(text || ' ' || source), 'the')
         AND contains(lower(text || ' ' || source), 'en') ORDER BY n_chars DESC, doc_id LIMIT 100""",
     "top_posts_window": """WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS place

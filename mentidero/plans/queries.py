@@ -23,7 +23,6 @@ from mentidero.operators import (
     wrangle,
 )
 from mentidero.operators.bronze import to_bronze
-from mentidero.operators.once import spread
 from mentidero.plans import standins as si
 from mentidero.plans.medallion import discover as discover_job
 from mentidero.plans.medallion import write_bronze
@@ -251,13 +250,13 @@ def epoch_to_ts(spark: SparkSession, d: str) -> DataFrame:
 def nfkc_normalize(spark: SparkSession, d: str) -> DataFrame:
     """A prefix of compatibility characters is folded; the prose itself is already normal."""
     prefix = F.lit("ﬁne Ａ１ …  ")
-    docs = spread(si.table(spark, d, "documents"))
+    docs = si.table(spark, d, "documents")
     return docs.select("doc_id", text.nfkc(F.concat(prefix, F.col("text"))).alias("normal"))
 
 
 @query
 def text_features(spark: SparkSession, d: str) -> DataFrame:
-    c = spread(si.comments(spark, d))
+    c = si.comments(spark, d)
     return c.withColumns(text.text_features(F.col("body"))).select(
         "comment_id", "text_len", "word_count", "has_exclamation", "has_question"
     )
@@ -265,7 +264,7 @@ def text_features(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return spread(si.comments(spark, d)).select("comment_id", text.clean_text(F.col("body")).alias("clean_text"))
+    return si.comments(spark, d).select("comment_id", text.clean_text(F.col("body")).alias("clean_text"))
 
 
 @query
@@ -294,25 +293,25 @@ def drop_tombstones(spark: SparkSession, d: str) -> DataFrame:
 @query
 def keep_null_bodies(spark: SparkSession, d: str) -> DataFrame:
     """The variant in which a missing body is the text None."""
-    kept = wrangle.wrangle_features(spread(si.comments(spark, d)), null_text="None")
+    kept = wrangle.wrangle_features(si.comments(spark, d), null_text="None")
     return kept.select("comment_id", "text_len", "word_count")
 
 
 @query
 def wrangle_features(spark: SparkSession, d: str) -> DataFrame:
-    f = wrangle.wrangle_features(spread(si.comments(spark, d)))
+    f = wrangle.wrangle_features(si.comments(spark, d))
     return f.select("comment_id", "text_len", "word_count", "has_exclamation", "has_question", "has_author")
 
 
 @query
 def wrangle_clean(spark: SparkSession, d: str) -> DataFrame:
-    cleaned = wrangle.with_clean_text(wrangle.wrangle_features(spread(si.comments(spark, d))))
+    cleaned = wrangle.with_clean_text(wrangle.wrangle_features(si.comments(spark, d)))
     return cleaned.select("comment_id", F.md5("clean_text").alias("clean_md5"), F.length("clean_text").alias("clean_len"))
 
 
 @query
 def winsorize(spark: SparkSession, d: str) -> DataFrame:
-    features = wrangle.wrangle_features(spread(si.comments(spark, d))).select("comment_id", "score", "text_len")
+    features = wrangle.wrangle_features(si.comments(spark, d)).select("comment_id", "score", "text_len")
     features = lake.materialize(features, scratch_dir(spark, "features"))
     out = wrangle.winsorize(features, wrangle.fit_tails(features))
     return rounded(out.select("comment_id", "score_clipped", "text_len_clipped"), "score_clipped", "text_len_clipped")
@@ -328,7 +327,7 @@ def median_label(spark: SparkSession, d: str) -> DataFrame:
 @query
 def wrangle_training_set(spark: SparkSession, d: str) -> DataFrame:
     """Comments to the labelled modelling set, all steps in one."""
-    out = training_set_job(spread(si.comments(spark, d)), scratch_dir(spark, "training-set"))
+    out = training_set_job(si.comments(spark, d), scratch_dir(spark, "training-set"))
     return rounded(out, "score_clipped", "text_len_clipped").withColumn(
         "created_dt", clock.ts_to_micros(F.col("created_dt"))
     )
@@ -606,14 +605,14 @@ def _newest(spark: SparkSession, d: str) -> Column:
 def discover_hot(spark: SparkSession, d: str) -> DataFrame:
     posts = si.posts(spark, d).withColumn("subreddit", F.col("author"))
     position = F.col("post_id").cast("bigint")
-    return discover_job(posts, 10, "all_hot", position, 1000, _newest(spark, d))
+    return discover_job(posts, 10, "all_hot", position, None, _newest(spark, d))
 
 
 @query
 def discover_top_day(spark: SparkSession, d: str) -> DataFrame:
     posts = si.posts(spark, d).withColumn("subreddit", F.col("author"))
     position = F.col("post_id").cast("bigint")
-    return discover_job(posts, 10, "all_top_day", position, 200, _newest(spark, d), include_nsfw=True)
+    return discover_job(posts, 10, "all_top_day", position, None, _newest(spark, d), include_nsfw=True)
 
 
 @query
@@ -732,7 +731,7 @@ def embed_texts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def embed_hashed(spark: SparkSession, d: str) -> DataFrame:
     """The built-in hashed-words encoder over cleaned texts."""
-    docs = spread(si.table(spark, d, "documents"))
+    docs = si.table(spark, d, "documents")
     docs = docs.select("doc_id", text.clean_text(F.col("text")).alias("clean_text"))
     docs = lake.materialize(docs, scratch_dir(spark, "cleaned"))
     vectors_out = embed.apply_encoder(embed.fit_encoder(docs), docs)

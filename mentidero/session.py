@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,8 +34,8 @@ def build_session(app: str = "mentidero", master: str | None = None, **extra: st
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the cluster's shared folder (a local one only where none is named)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path under the folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="mentidero-")
+        raise ValueError("name a shared folder in spark.checkpoint.dir")
     return f"{base.rstrip('/')}/mentidero/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -19,21 +19,25 @@ def with_date_parts(df: DataFrame, created_column: str) -> DataFrame:
 
 
 def write_by_date(df: DataFrame, root: str, created_column: str) -> None:
-    """Replace the slices of the batches in `df` of a table laid out by batch and calendar day.
+    """Replace the whole slices of the batches in `df` of a table laid out by batch and calendar day: a day
+    that a batch no longer has goes too.
 
     The day parts come from the numeric creation time; rows without one land in the default folder.
 
     `rebalance` gathers a day's rows into few files, and the runtime re-planner splits a day
     that is too large for one task; a day holding a third of the batch stays parallel.
     """
-    (
-        with_date_parts(df, created_column)
-        .hint("rebalance", "batch_ts", *DATE_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_ts", *DATE_COLUMNS)
-        .parquet(root)
-    )
+    dated = with_date_parts(df, created_column)
+    for row in df.select("batch_ts").distinct().collect():  # one per landed batch
+        (
+            dated.where(F.col("batch_ts").eqNullSafe(F.lit(row.batch_ts)))
+            .drop("batch_ts")
+            .hint("rebalance", *DATE_COLUMNS)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*DATE_COLUMNS)
+            .parquet(f"{root}/batch_ts={row.batch_ts}")
+        )
 
 
 def write_batch(df: DataFrame, root: str) -> None:

@@ -34,7 +34,11 @@ class KeyedTable:
         return self._load(self._live())
 
     def upsert(self, incoming: DataFrame, order: list[str] | None = None) -> None:
-        """Replace whole rows by key (nulls too), insert the others. No rows: nothing happens."""
+        """Replace whole rows by key (nulls too), insert the others. No rows: nothing happens.
+
+        With `order`, stored columns, the row with the largest values wins, be it stored or incoming;
+        an incoming row wins a tie.
+        """
         touched = self._touched(incoming)
         if not touched:
             return
@@ -42,7 +46,12 @@ class KeyedTable:
         live = self._live()
         version = 1 + max((v for _, v in live), default=0)
         current = self._load([e for e in live if e[0] in touched], keep_bucket=True)
-        self._write(replace_rows(current, fresh, self.key), version)
+        if order and set(order) <= set(self.schema.fieldNames()):
+            both = current.withColumn("_fresh", F.lit(0)).unionByName(fresh.withColumn("_fresh", F.lit(1)))
+            merged = one_per_key(both, [self.key, "kb"], [*order, "_fresh"]).drop("_fresh")
+        else:
+            merged = replace_rows(current, fresh, self.key)
+        self._write(merged, version)
         self._publish([e for e in live if e[0] not in touched] + [(kb, version) for kb in touched], version)
 
     def insert_ignore(self, incoming: DataFrame) -> None:

@@ -159,10 +159,10 @@ def test_ranked_ties_go_to_the_first_seen(spark):
     assert [(r["subreddit"], r["n_posts"]) for r in safe.collect()] == [("b", 2), ("a", 1), ("c", 1)]
 
 
-def test_popular_looks_only_at_the_overfetched_head(spark):
+def test_popular_finds_safe_entries_anywhere(spark):
     rows_ = [(i, f"s{i}", i < 49) for i in range(100)]
     df = spark.createDataFrame(rows_, "position INT, subreddit STRING, over18 BOOLEAN")
-    assert [r["position"] for r in discover_popular(df, 2, "position").collect()] == [49]
+    assert [r["position"] for r in discover_popular(df, 2, "position").collect()] == [49, 50]
     assert [r["position"] for r in discover_popular(df, 2, "position", include_nsfw=True).collect()] == [0, 1]
 
 

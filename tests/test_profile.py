@@ -1,8 +1,9 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mentidero.operators import profile
-from mentidero.operators.once import compute_once, spread
+from mentidero.operators.once import compute_once
 from mentidero.operators.wrangle import Tails, drop_tombstones, label, winsorize, wrangle_features
 from mentidero.plans.profiling import inspect_split, profile_comments
 
@@ -86,11 +87,6 @@ def test_costly_column_is_evaluated_once(spark):
     assert replaced.columns == ["t"] and replaced.count() == 3
 
 
-def test_spread_deals_small_inputs_only(spark):
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=64)).rdd.getNumPartitions() == 64
-
-
 def test_correlation_is_symmetric(spark):
     rng = np.random.default_rng(0)
     a, b = rng.normal(size=200), rng.normal(size=200)
@@ -98,3 +94,13 @@ def test_correlation_is_symmetric(spark):
     got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.corr_matrix(df, ["a", "b"]).collect()}
     expected = np.corrcoef(a, b)[0, 1]
     assert np.isclose(got["a", "b"], expected) and np.isclose(got["b", "a"], expected) and np.isclose(got["a", "a"], 1)
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 7.0), (float("nan"), 1.0), (None, 5.0)], "x DOUBLE, y DOUBLE")
+    row = profile.describe_numeric(df, ["x"]).first()
+    assert (row["count"], row["mean"], row["max"], row["p50"]) == (3, 2.0, 3.0, 2.0)
+    assert profile.box_stats(df, "x").first()["n"] == 3 and profile.box_stats(df, "x").first()["outliers"] == 0
+    assert sum(r["n"] for r in profile.histogram(df, "x", 2).collect()) == 3
+    corr = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.corr_matrix(df, ["x", "y"]).collect()}
+    assert corr["x", "y"] == pytest.approx(0.9933992677987828)

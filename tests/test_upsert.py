@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mentidero.operators.joins import spread_join
+from mentidero.operators.joins import parent_join
 from mentidero.operators.silver import dedupe_latest, orphans, with_reference_flag
 from mentidero.operators.upsert import insert_ignore, one_per_key, replace_rows, split_rejects
+from mentidero.sources.lake import write_by_date
 from mentidero.sources.store import KeyedTable
 
 SCHEMA = "k STRING, v INT, w STRING"
@@ -107,7 +108,7 @@ def test_unpublished_version_is_invisible(spark, store):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
-def test_spread_join_equals_plain_join(spark, threshold):
+def test_parent_join_equals_plain_join(spark, threshold):
     left = spark.range(3000).select(
         F.col("id").alias("pk"),
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
@@ -117,7 +118,7 @@ def test_spread_join_equals_plain_join(spark, threshold):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         for how in ("left", "inner", "left_anti", "left_semi"):
-            got = spread_join(left, right, "k", "pk", how)
+            got = parent_join(left, right, "k", how)
             plain = left.join(right, "k", how)
             cols = sorted(plain.columns)
             assert values(got.select(*cols)) == values(plain.select(*cols))
@@ -143,3 +144,17 @@ def test_hot_key_reaches_many_tasks(spark):
 def test_orphans_ignore_null_parents(spark):
     facts = spark.createDataFrame([("1", "a"), ("2", None), ("3", "z")], "id STRING, p STRING")
     assert values(orphans(facts, facts.select("p").where("p = 'a'"), "p", "id")) == [("3", "z")]
+
+
+def test_an_older_row_never_replaces_a_newer_one(spark, store):
+    store.upsert(frame(spark, ("a", 100, "new"), ("b", 1, "")), order=["v"])
+    store.upsert(frame(spark, ("a", 50, "old"), ("b", 2, "newer"), ("c", 3, "")), order=["v"])
+    assert values(store.read()) == [("a", 100, "new"), ("b", 2, "newer"), ("c", 3, "")]
+
+
+def test_a_smaller_batch_replaces_the_whole_slice(spark, tmp_path):
+    df = spark.createDataFrame([("b1", "x", 0.0), ("b1", "y", 86400.0 * 3), ("b2", "z", 0.0)], "batch_ts STRING, k STRING, created_utc DOUBLE")
+    root = str(tmp_path / "dated")
+    write_by_date(df, root, "created_utc")
+    write_by_date(df.where("k = 'x'"), root, "created_utc")
+    assert sorted(r.k for r in spark.read.parquet(root).collect()) == ["x", "z"]
