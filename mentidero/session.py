@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,8 +35,11 @@ def build_session(app: str = "mentidero", master: str | None = None, **extra: st
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the folder that driver and executors share."""
+    """A fresh path under the folder that driver and executors share. Where none is named, a local session
+    (one process) uses a folder of its own machine; on a cluster that would lose rows, so it is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        raise ValueError("name a shared folder in spark.checkpoint.dir")
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+        base = tempfile.mkdtemp(prefix="mentidero-")
     return f"{base.rstrip('/')}/mentidero/{purpose}-{uuid.uuid4().hex[:12]}"
