@@ -34,6 +34,8 @@ MAGIC, TERMINATOR = "WARC/1.", "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # --- end of fixed values ---
+BITMAP = 8 * 4096  # bits that one value of bitmap_construct_agg holds
+SLOTS = 1024 * BITMAP  # 4 MB at most
 
 
 def base32_sha1(data: Column) -> Column:
@@ -43,6 +45,21 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
+def _mark_repeated(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows with `marked`: true for every digest in `winners`, false for nearly all others.
+
+    The bitmap has SLOTS bits whatever the input, so it may be broadcast. Rows that aren't marked need no
+    shuffle; the fuller the bitmap, the more rows are marked in vain and take the join, with the same result.
+    """
+    numbered = lambda df: df.withColumn("slot", F.pmod(F.xxhash64("digest"), F.lit(SLOTS)))
+    part, bit = F.floor(F.col("slot") / BITMAP), F.col("slot") % BITMAP
+    bitmap = numbered(winners).groupBy(part.alias("part")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    found = numbered(rows).withColumn("part", part).join(F.broadcast(bitmap), "part", "left")
+    byte = F.conv(F.hex(F.expr(f"substring(bits, CAST((slot % {BITMAP}) div 8 + 1 AS INT), 1)")), 16, 10).cast("int")
+    is_set = F.expr("shiftleft(1, CAST(slot % 8 AS INT))").bitwiseAND(byte) != 0
+    return found.withColumn("marked", F.coalesce(is_set, F.lit(False))).drop("slot", "part", "bits")
+
+
 def write_archives(df: DataFrame, path: str, key: str, payload: str, url: str) -> None:
     rows = df.select(
         field(df, key, "bigint").alias("key"),
@@ -50,9 +67,15 @@ def write_archives(df: DataFrame, path: str, key: str, payload: str, url: str) -
         F.regexp_replace(field(df, url, "string"), r"[\r\n]", "").alias("url"),
     )
     rows = rows.withColumn("digest", base32_sha1(F.col("payload")))
-    # Winners per payload combine inside each task first; a hot payload's rows are split by the join.
-    winners = rows.groupBy("digest").agg(F.max("key").alias("winner"))
-    judged = rows.join(winners, "digest").withColumn("response", F.col("key").eqNullSafe(F.col("winner")))
+    # Winners per payload combine inside each task first; only payloads that occur again are kept.
+    several = rows.groupBy("digest").agg(F.max("key").alias("winner"), F.count("*").alias("n")).where("n > 1")
+    winners = stage(several.select("digest", "winner"), "warc-winners")
+    marked = _mark_repeated(rows, winners)
+    alone = marked.where(~F.col("marked")).withColumn("winner", F.col("key")).withColumn("response", F.lit(True))
+    # A payload without a winner here was marked by chance: it occurs once. A hot payload's rows are split by the join.
+    met = winners.withColumn("repeated", F.lit(True))
+    own = F.col("repeated").isNull() | F.col("key").eqNullSafe(F.col("winner"))
+    judged = marked.where("marked").join(met, "digest", "left").withColumn("response", own).drop("repeated").unionByName(alone)
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
     record_id = lambda k: F.concat(F.lit("<urn:page:"), F.coalesce(k.cast("string"), F.lit("")), F.lit(">"))
     http = F.concat(
