@@ -37,6 +37,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BAND = 80, 4
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 KNOWN_WORDS = 1 << 20  # word hashes a task remembers
+SKETCH_BITS, SKETCH_SIGMAS = 1024, 5  # one bit per register; a pair of exactly 0.8 fails with probability 0.000001
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,6 +111,25 @@ def bands(signature: np.ndarray, band: int = BAND) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketches(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """n x (SKETCH_BITS / 64) integers: one bit of the shingle in each of SKETCH_BITS registers."""
+    with np.errstate(over="ignore"):
+        bits = (_mix(signatures(owner, code, weight, n, SKETCH_BITS) + _GOLDEN) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def _sketches_near(a: Column, b: Column, threshold: float) -> Column:
+    """Whether texts of the threshold's similarity could have these sketches (weighted, then plain, in one array).
+
+    Equal registers give equal bits, others do so half the time: a share of (1 + similarity) / 2 is expected.
+    """
+    share = (1 + threshold) / 2
+    allowed = SKETCH_BITS * (1 - share) + SKETCH_SIGMAS * (SKETCH_BITS * share * (1 - share)) ** 0.5
+    words = SKETCH_BITS // 64
+    apart = [sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(k * words, (k + 1) * words)), F.lit(0)) for k in (0, 1)]
+    return (apart[0] <= allowed) | (apart[1] <= allowed)
+
+
 def similar(a: str | None, b: str | None, threshold: float = SIMILARITY) -> bool:
     """Whether two texts have a probability Jaccard, or a plain Jaccard, of the threshold."""
     owner, code, weight = shingles([a, b], WordHashes())
@@ -187,7 +207,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY) ->
 
 def shingle_stats(texts: DataFrame) -> DataFrame:
     """Per text (node, text): n distinct shingles, `common` of them also in another of these texts, `alone` the
-    share of its weight in the others, and whether a shingle is `repeated`."""
+    share of its weight in the others, whether a shingle is `repeated`, and the sketch."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -195,18 +215,29 @@ def shingle_stats(texts: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 owner, code, weight = shingles(part.column(1).to_pylist(), known)
+                weighted = sketches(owner, code, weight, part.num_rows)
+                plain, again = weighted.copy(), np.unique(owner[weight > 1])
+                if len(again):  # the others' weights are all 1
+                    of = np.isin(owner, again)
+                    plain[again] = sketches(np.searchsorted(again, owner[of]), code[of], np.ones(of.sum()), len(again))
+                held = pa.array(list(np.hstack([weighted, plain])), type=pa.list_(pa.int64()))
+                first = np.ones(len(owner), dtype=bool)
+                first[1:] = owner[1:] != owner[:-1]  # a text's first row carries its sketch
+                where = pa.array(owner, mask=~first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), pa.array(code.view(np.int64)), pa.array(weight.astype(np.int64))],
-                    names=["node", "shingle", "times"],
+                    [part.column(0).take(pa.array(owner)), pa.array(code.view(np.int64)), pa.array(weight.astype(np.int64)), held.take(where)],
+                    names=["node", "shingle", "times", "sketch"],
                 )
 
-    rows = stage(texts.select("node", "text").mapInArrow(explode, "node binary, shingle bigint, times bigint"), "shingles")
+    kinds = "node binary, shingle bigint, times bigint, sketch array<bigint>"
+    rows = stage(texts.select("node", "text").mapInArrow(explode, kinds), "shingles")
     met = rows.groupBy("shingle").count().where("count > 1").select("shingle", F.lit(True).alias("met"))
-    return rows.join(met, "shingle", "left").groupBy("node").agg(
+    numbers = rows.select("node", "shingle", "times").join(met, "shingle", "left").groupBy("node").agg(
         F.count("*").alias("n"), F.count("met").alias("common"),
         (F.sum(F.when(F.col("met").isNull(), F.col("times")).otherwise(0)) / F.sum("times")).alias("alone"),
         (F.max("times") > 1).alias("repeated"),
     )
+    return numbers.join(rows.where("sketch IS NOT NULL").select("node", "sketch"), "node")
 
 
 def _may_be_similar(common: Column, n_a: Column, n_b: Column, repeated: Column, alone: Column, threshold: float) -> Column:
@@ -244,7 +275,7 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     texts = stage(wanted.groupBy("node").agg(F.first("text").alias("text")), "texts")
     labels = compared = None
     pivots_each = 1
-    numbers = ["n", "common", "alone", "repeated"]
+    numbers = ["n", "common", "alone", "repeated", "sketch"]
     while n_open := open_rows.count():
         known = [c for c in numbers if c in open_rows.columns]
         part = F.pmod(F.xxhash64("node", "bucket", F.lit(1)), F.lit(pivots_each))
@@ -256,7 +287,7 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
             met = met.where(_may_be_similar(
                 F.least("common", "pivot_common"), F.col("n"), F.col("pivot_n"), F.col("repeated") | F.col("pivot_repeated"),
                 F.greatest("alone", "pivot_alone"), threshold,
-            ))
+            ) & _sketches_near(F.col("sketch"), F.col("pivot_sketch"), threshold))
         pairs = met.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")

@@ -305,3 +305,18 @@ def test_chat_round_trip(spark):
         assert re.sub(r"<\\(\\*)\|", r"<\1|", masked) == r.learned
     assert got[1].formatted.count(chat.TURN) == 2  # adjacent turns of a role share a block
     assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+def test_sketches_pass_similar_texts(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for i in range(300):  # 0.8 is 400 of 500 in common
+        x = draw.integers(0, 1 << 55, 450, dtype=np.uint64)
+        y = np.concatenate([x[:400], draw.integers(0, 1 << 55, 50, dtype=np.uint64)])
+        far = np.concatenate([x[:200], draw.integers(0, 1 << 55, 250, dtype=np.uint64)])
+        code, owner = np.concatenate([x, y, far]), np.repeat([0, 1, 2], 450)
+        a, b, c = (s.tolist() * 2 for s in probminhash.sketches(owner, code, np.ones(len(code)), 3))
+        rows.append((a, b, c))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, c array<long>")
+    near = lambda x, y: F.sum(probminhash._sketches_near(F.col(x), F.col(y), 0.8).cast("int"))
+    assert tuple(df.agg(near("a", "b"), near("a", "c")).first()) == (300, 0)
