@@ -9,7 +9,8 @@ turn every such place into a candidate: its offset and the offset its header say
 a block a candidate's exit is the first place its chain reaches beyond the block; over the blocks, exits are
 joined by pointer jumping from the start of the file (round k doubles the jumps of round k-1). Only candidates
 on that chain are records. A payload that holds the magic spans several pieces; only for those are texts read
-again and put together.
+again and put together. A url that holds the magic is written with its slash percent-encoded, so that headers
+never hold it, and read back as it was given.
 
 Defined results: a null payload is empty; rows with a null key refer to nothing and are called by no one unless
 all rows of a payload have null keys, which then are all responses; rows that tie on payload and key are all
@@ -45,6 +46,18 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
+def _without_magic(url: Column) -> Column:
+    """The url with the magic's slash as %2F; places that read so already get another 25, so none is ambiguous."""
+    return F.regexp_replace(F.regexp_replace(url, r"WARC%(?=(?:25)*2F1\.)", "WARC%25"), r"WARC/1\.", "WARC%2F1.")
+
+
+def _with_magic(head: Column) -> Column:
+    """A head whose url is again the one that was given to `_without_magic`."""
+    line = F.regexp_extract(head, r"(?mi)^WARC-Target-URI:[^\r\n]*", 0)
+    given = F.regexp_replace(F.regexp_replace(line, r"WARC%2F1\.", "WARC/1."), r"WARC%25(?=(?:25)*2F1\.)", "WARC%")
+    return F.when(line.contains("WARC%"), F.replace(head, line, given)).otherwise(head)
+
+
 def _mark_repeated(rows: DataFrame, winners: DataFrame) -> DataFrame:
     """Rows with `marked`: true for every digest in `winners`, false for nearly all others.
 
@@ -64,7 +77,7 @@ def write_archives(df: DataFrame, path: str, key: str, payload: str, url: str) -
     rows = df.select(
         field(df, key, "bigint").alias("key"),
         F.coalesce(field(df, payload, "string").cast("binary"), F.lit(b"")).alias("payload"),
-        F.regexp_replace(field(df, url, "string"), r"[\r\n]", "").alias("url"),
+        _without_magic(F.regexp_replace(field(df, url, "string"), r"[\r\n]", "")).alias("url"),
     )
     rows = rows.withColumn("digest", base32_sha1(F.col("payload")))
     # Winners per payload combine inside each task first; only payloads that occur again are kept.
@@ -229,9 +242,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     records = candidates.join(walked.where("is_record"), ["file", "block", "place"])
     split = stage(records.where("digest IS NULL").select("file", "offset", "head", "span"), "warc-split")
     whole = records.where("digest IS NOT NULL").select("file", "offset", "head", "payload_bytes", "digest")
-    if not split.limit(1).count():
-        return whole
-    return whole.unionByName(_put_together(spark, path, split))
+    if split.limit(1).count():
+        whole = whole.unionByName(_put_together(spark, path, split))
+    return whole.withColumn("head", _with_magic(F.col("head")))
 
 
 def _put_together(spark: SparkSession, path: str, split: DataFrame) -> DataFrame:

@@ -68,6 +68,21 @@ def test_warc_round_trip(spark):
         assert collections.Counter(tuple(r) for r in got) == expected
 
 
+def test_warc_urls_that_hold_the_magic(spark):
+    urls = [
+        "https://x.org/WARC/1.1/spec", "https://x.org/WARC/1.1", "WARC/1.WARC/1.0", "https://x.org/plain", "https://x.org/WARC%2F1.1",
+        "https://x.org/WARC%252F1.1/WARC/1.1", "https://x.org/WARC/1\r\n.1", "https://x.org/WARC%2f1.1?%25",
+    ]
+    rows = [(3 * i + k, u, body) for i, u in enumerate(urls) for k, body in enumerate((f"body {i}", "same", f"WARC/1.1\r\n{i}"))]
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path, "page_id", "html", "url")
+    records = warc.read_archives(spark, path)
+    url = F.regexp_extract("head", r"(?m)^WARC-Target-URI: (.*?)\r?$", 1)
+    got = records.select(F.regexp_extract("head", r"<urn:page:(\d+)>", 1).cast("int").alias("k"), url.alias("url")).collect()
+    assert sorted(map(tuple, got)) == [(k, u.replace("\r\n", "")) for k, u, _ in rows]
+    assert {(r.key, r.payload_bytes) for r in warc.page_records(records).collect()} == {(k, len(b)) for k, _, b in rows}
+
+
 def test_warc_of_nothing(spark):
     path = scratch_dir(spark, "warc-test")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path, "page_id", "html", "url")
