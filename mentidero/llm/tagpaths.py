@@ -2,10 +2,12 @@
 
 A page is cut into blocks of text, each with the path of open tags from the root to it. Per path, text length
 and punctuation are summed over the page and divided by the number of blocks and by the share of the text that
-stands in links; both ratios are smoothed over the neighbouring paths in page order, fused by their product,
-and a path is content from a share of the fused mean upwards. Paths through elements that never hold an
-article (navigation, footers, forms, scripts, adverts, comments ...) take part with ratio 0; where the page
-marks an article, paths outside it too, and paths inside it pass whatever their length.
+stand in links; both ratios are smoothed over the neighbouring paths in page order and fused by their product.
+The fused ratio times the path's weight decides on every page: a path is content from a share of the mean fused
+ratio upwards. Weights: inside a marked article ARTICLE; outside of one, where the page marks any, OUTSIDE; under
+a boilerplate name (adverts, comments ...) or in a form NAMED, unless that wrapper holds most of the page's unlinked text: then
+its name counts for nothing, or for OUTSIDE if the page's articles are elsewhere. Paths through elements that
+never hold an article (navigation, footers, scripts ...) and through hidden ones take part with ratio 0.
 
 Defined results: a null or empty page has an empty text. Broken markup is read as browsers do where that
 matters here: an unclosed comment, script or style runs to the end, an unknown end tag is ignored, a new
@@ -26,6 +28,7 @@ from pyspark.sql.types import StringType
 
 SMOOTH = (0.25, 0.5, 0.25)
 THRESHOLD = 0.35  # of the page's mean fused ratio
+ARTICLE, OUTSIDE, NAMED = 4.0, 0.25, 1 / 32
 
 TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "select", "option", "button", "object", "canvas")
@@ -34,8 +37,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-NEVER = frozenset("head title nav footer aside form menu dialog address figcaption header".split()) | frozenset(RAW)
-NAMED = re.compile(
+NEVER = frozenset("head title nav footer aside menu dialog address figcaption header".split()) | frozenset(RAW)
+NAMED_AS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|"
     r"breadcrumbs?|sidebar|side-bar|header|masthead|footer|cookies?|consent|notice|newsletter|subscribe|signup|login|"
     r"comments?|comment-list|replies|disqus|related|recommend(?:ed|ations)?|share|sharing|social|widget|popup|modal|"
@@ -53,29 +56,33 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(source)} if "=" in source or "hidden" in source else {}
 
 
-def _is_boilerplate(tag: str, source: str, inside_article: bool) -> bool:
+def _boilerplate(tag: str, source: str, inside_article: bool) -> float | None:
+    """The weight of what stands in this element, if it says that it is boilerplate."""
+    if tag == "form":
+        return NAMED
     if tag in NEVER:
-        return not (tag == "header" and inside_article)
+        return None if tag == "header" and inside_article else 0.0
     if not source.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return None
     found = _attributes(source)
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
+        return 0.0
     named = f"{found.get('class', '')} {found.get('id', '')}"
-    return bool(
-        found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-        or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) or NAMED.search(named.strip())
-    )
+    return NAMED if found.get("role", "").lower() in ROLES or NAMED_AS.search(named.strip()) else None
 
 
 class Block:
-    __slots__ = ("path", "text", "linked", "bad", "marked")
+    __slots__ = ("path", "text", "linked", "wrapper", "marked", "weight")
 
-    def __init__(self, path: str, text: str, linked: int, bad: bool, marked: bool):
-        self.path, self.text, self.linked, self.bad, self.marked = path, text, linked, bad, marked
+    def __init__(self, path: str, text: str, linked: int, wrapper: int, marked: bool):
+        self.path, self.text, self.linked, self.wrapper, self.marked = path, text, linked, wrapper, marked
+        self.weight = 1.0
 
 
 def text_blocks(page: str) -> list[Block]:
-    """The page's blocks in order. A block ends at every tag that isn't inline."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, within boilerplate, within an article
+    """The page's blocks in order, weighted. A block ends at every tag that isn't inline."""
+    stack: list[tuple[str, int, bool]] = []  # tag, innermost boilerplate wrapper, within an article
+    wrappers: list[tuple[int, float]] = [(-1, 1.0)]  # the wrapper around it, weight; the first is the page
     blocks: list[Block] = []
     parts: list[str] = []
     state = {"linked": 0, "start": None}
@@ -83,8 +90,8 @@ def text_blocks(page: str) -> list[Block]:
     def flush() -> None:
         text = SPACE.sub(" ", "".join(parts)).strip()
         if text:
-            path, bad, marked = state["start"]
-            blocks.append(Block(path, text, state["linked"], bad, marked))
+            path, wrapper, marked = state["start"]
+            blocks.append(Block(path, text, state["linked"], wrapper, marked))
         parts.clear()
         state.update(linked=0, start=None)
 
@@ -94,7 +101,7 @@ def text_blocks(page: str) -> list[Block]:
         text = html.unescape(raw)
         if state["start"] is None and text.strip():
             solid = [s for s in stack if s[0] not in INLINE]
-            state["start"] = ("/".join(s[0] for s in solid), bool(stack and stack[-1][1]), bool(stack and stack[-1][2]))
+            state["start"] = ("/".join(s[0] for s in solid), stack[-1][1] if stack else 0, bool(stack and stack[-1][2]))
         if any(s[0] == "a" for s in stack):
             state["linked"] += len(text.strip())
         parts.append(text)
@@ -130,18 +137,51 @@ def text_blocks(page: str) -> list[Block]:
             solid = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
             if solid is not None and stack[solid][0] in CLOSES[tag]:
                 del stack[solid:]
-        bad, marked = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        stack.append((tag, bad or _is_boilerplate(tag, token.group(3), marked), marked or tag in ("article", "main")))
+        wrapper, marked = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        weight = _boilerplate(tag, token.group(3), marked)
+        if weight is not None:
+            wrappers.append((wrapper, weight))
+            wrapper = len(wrappers) - 1
+        stack.append((tag, wrapper, marked or tag in ("article", "main")))
     flush()
+    _weigh(blocks, wrappers)
     return blocks
 
 
-def path_ratios(blocks: list[Block]) -> dict[str, float]:
-    """Fused, smoothed ratio per path."""
-    sums: dict[str, list[float]] = {}
+def _weigh(blocks: list[Block], wrappers: list[tuple[int, float]]) -> None:
+    """Set the blocks' weights. A wrapper comes behind the one around it."""
+    silent = [False] * len(wrappers)  # in an element of weight 0
+    for i, (around, weight) in enumerate(wrappers):
+        silent[i] = weight == 0 or i > 0 and silent[around]
+    unlinked, holds = [0] * len(wrappers), [False] * len(wrappers)
     for b in blocks:
-        row = sums.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
-        if not b.bad:
+        if not silent[b.wrapper]:
+            unlinked[b.wrapper] += max(len(b.text) - b.linked, 0)
+            holds[b.wrapper] |= b.marked
+    for i in range(len(wrappers) - 1, 0, -1):
+        unlinked[wrappers[i][0]] += unlinked[i]
+        holds[wrappers[i][0]] |= holds[i]
+    most = [2 * n > unlinked[0] for n in unlinked]
+    # Articles count if no wrapper around them is boilerplate.
+    clear = [True] * len(wrappers)
+    for i in range(1, len(wrappers)):
+        clear[i] = clear[wrappers[i][0]] and not silent[i] and most[i]
+    has_article = any(b.marked and clear[b.wrapper] for b in blocks)
+    weights = [1.0] * len(wrappers)
+    for i, (around, weight) in enumerate(wrappers[1:], 1):
+        if weight and most[i]:
+            weight = 1.0 if holds[i] or not has_article else OUTSIDE
+        weights[i] = min(weights[around], weight)
+    for b in blocks:
+        b.weight = weights[b.wrapper] * (1.0 if not has_article else ARTICLE if b.marked else OUTSIDE)
+
+
+def path_ratios(blocks: list[Block]) -> dict[tuple[str, float], float]:
+    """Fused, smoothed ratio per path and weight, before the weight."""
+    sums: dict[tuple[str, float], list[float]] = {}
+    for b in blocks:
+        row = sums.setdefault((b.path, b.weight), [0.0, 0.0, 0.0, 0.0])
+        if b.weight:
             row[0] += len(b.text)
             row[1] += len(PUNCTUATION.findall(b.text))
             row[3] += b.linked
@@ -155,7 +195,8 @@ def path_ratios(blocks: list[Block]) -> dict[str, float]:
             sum(w * values[min(max(i + d, 0), len(values) - 1)] for w, d in zip(SMOOTH, (-1, 0, 1))) for i in range(len(values))
         ]
 
-    return {n: length * (1 + point) for n, length, point in zip(names, smooth(lengths), smooth(points))}
+    fused = zip(names, smooth(lengths), smooth(points))
+    return {n: length * (1 + point) if n[1] else 0.0 for n, length, point in fused}
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
@@ -164,8 +205,7 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
         return ""
     ratios = path_ratios(blocks)
     least = threshold * sum(ratios.values()) / len(ratios)
-    has_article = any(b.marked and not b.bad for b in blocks)
-    kept = [b.text for b in blocks if not b.bad and (b.marked if has_article else ratios[b.path] >= least)]
+    kept = [b.text for b in blocks if b.weight and b.weight * ratios[b.path, b.weight] >= least]
     return "\n".join(kept)
 
 

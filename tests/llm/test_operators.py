@@ -150,6 +150,22 @@ def test_main_text():
     assert [tagpaths.main_text(x) for x in (None, "", "<!-- open", "<script>x", "<p>")] == [""] * 5
 
 
+def test_path_ratios_decide_on_every_page():
+    body = [f"Sentence {i} of the text, with some words. And a second one, to be sure." for i in range(6)]
+    prose, wanted = "".join(f"<p>{x}</p>" for x in body), "\n".join(body)
+    links = "<h2>Elsewhere</h2><ul>" + "<li><a href=/x>Another story</a></li>" * 9 + "</ul>"
+    # Marked articles weigh more, but don't let link lists in and don't rule out a longer text elsewhere.
+    assert tagpaths.main_text(f"<body><nav>n</nav><article>{prose}<section>{links}</section></article></body>") == wanted + "\nElsewhere"
+    assert tagpaths.main_text(f"<body><div><article>Read on</article><article>More</article></div><div><div>{prose}</div></div></body>").endswith(wanted)
+    # A wrapper that holds the text isn't boilerplate for its name; what is named within it stays so.
+    for tag in ("div class='layout-with-sidebar'", "form id=f", "div role=dialog"):
+        inner = f"<div class=sidebar><p>Buy, now.</p></div><div>{prose}</div><footer>Legal, text.</footer>"
+        assert tagpaths.main_text(f"<body><{tag}>{inner}</{tag.split()[0]}></body>") == wanted
+        assert tagpaths.main_text(f"<body><{tag}><article>{inner}</article></{tag.split()[0]}></body>") == wanted
+    # Comments longer than the article they follow.
+    assert tagpaths.main_text(f"<body><article>{prose}</article><div class=comments>{prose * 3}</div></body>") == wanted
+
+
 def test_encoding_round_trip(spark, docs):
     rows = docs.withColumn("n_tokens", F.lit(5))
     encoded = bpe.encode_documents(rows, RANKS, PATTERN, ["doc_id"])
