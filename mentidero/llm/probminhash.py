@@ -6,7 +6,8 @@ of arrivals whose rate is its weight; an arrival falls into one of REGISTERS reg
 its earliest. A shingle is dropped as soon as its next arrival is later than the latest register, so long
 texts end after few arrivals. Two texts share a register with the probability of their probability Jaccard.
 
-Bands of registers are buckets. In each bucket every text is compared with a pivot, not with every other text;
+Bands of registers are buckets. A text with repeated shingles has further bands, of its shingles with weight 1,
+as texts are linked by either Jaccard; a text without repeats has the same signature both ways. In each bucket every text is compared with a pivot, not with every other text;
 rounds with ever more pivots follow for buckets whose texts are still in several classes, until each bucket
 either lies in one class or all its texts but one class have been compared with all others. Compared pairs are
 verified on the whole texts: linked from a probability Jaccard, or a plain Jaccard, of SIMILARITY.
@@ -38,6 +39,7 @@ REGISTERS, BAND = 80, 4
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 KNOWN_WORDS = 1 << 20  # word hashes a task remembers
 SKETCH_BITS, SKETCH_SIGMAS = 1024, 5  # one bit per register; a pair of exactly 0.8 fails with probability 0.000001
+SHORT = 20  # texts of fewer distinct shingles are always compared whole
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -112,9 +114,13 @@ def bands(signature: np.ndarray, band: int = BAND) -> np.ndarray:
 
 
 def sketches(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """n x (SKETCH_BITS / 64) integers: one bit of the shingle in each of SKETCH_BITS registers."""
+    """n x (SKETCH_BITS / 64) integers: one bit of the shingle in each of SKETCH_BITS registers.
+
+    The register's number is part of the bit, so the bits of few shingles are independent, too.
+    """
     with np.errstate(over="ignore"):
-        bits = (_mix(signatures(owner, code, weight, n, SKETCH_BITS) + _GOLDEN) & np.uint64(1)).astype(np.uint8)
+        turned = _mix((np.arange(SKETCH_BITS, dtype=np.uint64) + np.uint64(1)) * _GOLDEN)
+        bits = (_mix(signatures(owner, code, weight, n, SKETCH_BITS) + turned) & np.uint64(1)).astype(np.uint8)
     return np.packbits(bits, axis=1).view(np.int64)
 
 
@@ -163,8 +169,16 @@ def probability_jaccard(wx: np.ndarray, wy: np.ndarray, ix: np.ndarray, iy: np.n
     return float((1 / ((x_after + only_x) / x + (y_upto + only_y) / y)).sum())
 
 
+def _unit_weights(owner: np.ndarray, code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """The texts with repeated shingles, and their shingles with weight 1 (the others' weights are all 1)."""
+    again = np.unique(owner[weight > 1])
+    of = np.isin(owner, again)
+    return again, (np.searchsorted(again, owner[of]), code[of], np.ones(of.sum()), len(again))
+
+
 def text_buckets(texts: DataFrame) -> DataFrame:
-    """(node, bucket): one row per band of every text with words. `texts` has (node, text)."""
+    """(node, bucket): one row per band of every text with words, and per band of its unit weights if a shingle
+    is repeated. `texts` has (node, text)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -174,10 +188,10 @@ def text_buckets(texts: DataFrame) -> DataFrame:
                 owner, code, weight = shingles(part.column(1).to_pylist(), known)
                 found = bands(signatures(owner, code, weight, part.num_rows))
                 with_words = np.unique(owner)
-                rows = pa.array(np.repeat(with_words, found.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), pa.array(found[with_words].ravel())], names=["node", "bucket"]
-                )
+                again, plain = _unit_weights(owner, code, weight)
+                rows = pa.array(np.repeat(np.concatenate([with_words, again]), found.shape[1]))
+                found = np.concatenate([found[with_words], bands(signatures(*plain))]) if len(again) else found[with_words]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), pa.array(found.ravel())], names=["node", "bucket"])
 
     return texts.mapInArrow(sketch, "node binary, bucket bigint")
 
@@ -216,10 +230,9 @@ def shingle_stats(texts: DataFrame) -> DataFrame:
                 part = batch.slice(start, 512)
                 owner, code, weight = shingles(part.column(1).to_pylist(), known)
                 weighted = sketches(owner, code, weight, part.num_rows)
-                plain, again = weighted.copy(), np.unique(owner[weight > 1])
-                if len(again):  # the others' weights are all 1
-                    of = np.isin(owner, again)
-                    plain[again] = sketches(np.searchsorted(again, owner[of]), code[of], np.ones(of.sum()), len(again))
+                plain, (again, units) = weighted.copy(), _unit_weights(owner, code, weight)
+                if len(again):
+                    plain[again] = sketches(*units)
                 held = pa.array(list(np.hstack([weighted, plain])), type=pa.list_(pa.int64()))
                 first = np.ones(len(owner), dtype=bool)
                 first[1:] = owner[1:] != owner[:-1]  # a text's first row carries its sketch
@@ -287,7 +300,7 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
             met = met.where(_may_be_similar(
                 F.least("common", "pivot_common"), F.col("n"), F.col("pivot_n"), F.col("repeated") | F.col("pivot_repeated"),
                 F.greatest("alone", "pivot_alone"), threshold,
-            ) & _sketches_near(F.col("sketch"), F.col("pivot_sketch"), threshold))
+            ) & ((F.least("n", "pivot_n") < SHORT) | _sketches_near(F.col("sketch"), F.col("pivot_sketch"), threshold)))
         pairs = met.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")

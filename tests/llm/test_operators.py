@@ -351,3 +351,23 @@ def test_sketches_pass_similar_texts(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, c array<long>")
     near = lambda x, y: F.sum(probminhash._sketches_near(F.col(x), F.col(y), 0.8).cast("int"))
     assert tuple(df.agg(near("a", "b"), near("a", "c")).first()) == (300, 0)
+
+
+def test_sketches_pass_similar_short_texts(spark):
+    draw = np.random.default_rng(8)
+    for n in (5, 10):
+        rows = []
+        for _ in range(300):
+            x = draw.integers(0, 1 << 55, n, dtype=np.uint64)
+            code, owner = np.concatenate([x, x[: n * 4 // 5]]), np.repeat([0, 1], [n, n * 4 // 5])
+            rows.append(tuple(s.tolist() * 2 for s in probminhash.sketches(owner, code, np.ones(len(code)), 2)))
+        df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+        assert df.where(probminhash._sketches_near(F.col("a"), F.col("b"), 0.8)).count() == 300
+
+
+def test_texts_alike_but_for_repeats_meet(spark):
+    start, phrase = text_of(1, 90), " ".join(WORDS[:6]) + " "
+    rows = [(i, f"{start} {phrase * n}") for i, n in enumerate((2, 60, 1500))] + [(3, f"{start} " + " ".join(WORDS[:10]))]
+    assert all(probminhash.similar(a[1], b[1]) for a in rows for b in rows)
+    got = probminhash.near_duplicate_classes(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, 0, 4) for i in range(4)}
