@@ -5,11 +5,10 @@ most of it. Filters of several widths run over the whole text, each keeps its ma
 logistic give the probability. The first embedding dimension starts as the shrunken log odds of a cell in
 toxic and clean training texts; everything is then trained by Adam.
 
-Per language a threshold is calibrated on training rows that gradients don't see, and moved to PREDICT on the
-score's scale, so one cut serves all languages. The language is guessed from the text's own function words.
-
-Labels are learnt from the rows that `is_training` allows, at most SAMPLE per class: those with the smallest
-hash of their id. Every document is scored.
+Gradients see at most SAMPLE rows per class of those that `is_training` allows: three quarters of those with the
+smallest hash of their id. Per language a threshold is calibrated on all other rows that it allows, each class
+weighted to its share of all of them, and moved to PREDICT on the score's scale, so one cut serves all languages.
+The language is guessed from the text's own function words. Every document is scored.
 
 Defined results: null and empty texts get the score of no words; rows with a null label are not learnt from.
 Without labelled rows of both classes every score is 0. Repeated rows are scored each; an empty table gives
@@ -34,6 +33,7 @@ SAMPLE = 2500
 CELLS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 16, 8, 8, (1, 2, 3), (3, 4, 5, 6)  # beginnings in bytes
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 PREDICT = 0.7
+BINS = 64  # of the thresholds' histograms, per unit of the logit
 KNOWN_WORDS, CHUNK_WORDS = 300_000, 100_000
 WORD = re.compile(r"\w+")
 # --- fixed values: frequent function words ---
@@ -107,18 +107,18 @@ def _flatten(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.cumsum(lengths) - lengths
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
-    """Fit on labelled texts; a quarter of them calibrates the thresholds only."""
+def train(texts: list[str], labels: list[int], seed: int = 7) -> tuple[Network | None, list[int]]:
+    """Fit on three quarters of labelled texts; the network without thresholds, and the places of the texts it saw."""
     y_all = np.array(labels, dtype="f4")
     if not len(y_all) or y_all.min() == y_all.max():
-        return None
+        return None, []
     net, draw = Network(seed), np.random.default_rng(seed)
     numbers: dict[str, int] = {"": 0}
     docs = [words_of(t) for t in texts]
     coded = [[numbers.setdefault(w, len(numbers)) for w in words] for words in docs]
     cells = np.array([cells_of(w) for w in numbers], dtype=np.int64)
     order = draw.permutation(len(docs))
-    held, used = order[: len(order) // 4], order[len(order) // 4 :]
+    used = order[len(order) // 4 :]
 
     # Log odds of a cell among the texts used, shrunken by how many texts have it.
     seen = np.zeros((2, CELLS))
@@ -145,8 +145,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
                 mean += 0.1 * (grad - mean)
                 square += 0.001 * (grad * grad - square)
                 net.params[name] -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    _calibrate(net, [docs[i] for i in held], [coded[i] for i in held], cells, y_all[held])
-    return net
+    return net, used.tolist()
 
 
 def _gradients(net: Network, coded: list[list[int]], cells: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
@@ -186,35 +185,26 @@ def _gradients(net: Network, coded: list[list[int]], cells: np.ndarray, y: np.nd
     return grads
 
 
-def _calibrate(net: Network, docs: list[list[str]], coded: list[list[int]], cells: np.ndarray, y: np.ndarray) -> None:
-    """Per language the logit with the best F1 on the held rows, halfway to the next lower one; overall where
-    a language has few rows of either class."""
-    if not len(docs):
-        return
-    logits = np.array([_logit(net, words, cells) for words in coded])
-    langs = np.array([language_of(words) for words in docs])
+def _set_shifts(net: Network, histogram: np.ndarray, langs: np.ndarray, seen: list[int]) -> None:
+    """Per language the logit with the best F1, halfway to the next lower one; overall where a language has few
+    rows of either class. `histogram` has rows of (bin, clean, toxic), `langs` their languages; `seen` are the
+    rows per class that gradients saw and that aren't in it."""
+    unseen = histogram[:, 1:].sum(axis=0)
+    weights = (unseen + seen) / np.maximum(unseen, 1)
 
     def cut(chosen: np.ndarray) -> float:
-        scores, truth = logits[chosen], y[chosen]
-        order = np.argsort(-scores, kind="stable")
-        hits = np.cumsum(truth[order])
-        f1 = 2 * hits / (np.arange(1, len(order) + 1) + truth.sum())
-        best = int(np.argmax(f1))
-        low = scores[order[best + 1]] if best + 1 < len(order) else scores[order[best]] - 2
-        return float((scores[order[best]] + low) / 2)
-
-    overall = cut(np.ones(len(y), dtype=bool)) if y.any() else 0.0
+        bins, at = np.unique(-histogram[chosen, 0], return_inverse=True)  # the highest first
+        counts = np.stack([np.bincount(at, histogram[chosen, k]) for k in (1, 2)], axis=1) * weights
+        hits = np.cumsum(counts[:, 1])
+        best = int(np.argmax(2 * hits / (np.cumsum(counts.sum(axis=1)) + hits[-1])))
+        least = -bins[best] / BINS
+        low = (1 - bins[best + 1]) / BINS if best + 1 < len(bins) else least - 2
+        return float((least + low) / 2)
+
+    overall = cut(np.ones(len(histogram), dtype=bool)) if unseen[1] else 0.0
     for lang in (*FUNCTION_WORDS, OTHER):
         chosen = langs == lang
-        enough = min(y[chosen].sum(), (1 - y[chosen]).sum()) >= 10
-        net.shifts[lang] = cut(chosen) if enough else overall
-
-
-def _logit(net: Network, words: list[int], cells: np.ndarray) -> float:
-    flat, starts = _flatten([words])
-    rows = net.products(cells[flat])
-    rows[flat == 0] = 0
-    return float(net.logits(net.pooled(rows, starts))[0])
+        net.shifts[lang] = cut(chosen) if histogram[chosen, 1:].sum(axis=0).min() >= 10 else overall
 
 
 class Scorer:
@@ -249,24 +239,31 @@ class Scorer:
         return coded
 
     def score(self, texts: list[str | None]) -> list[float]:
-        out: list[float] = []
+        logits, langs = self.logits(texts)
+        moved = logits - [self.net.shifts.get(lang, 0.0) for lang in langs] + np.log(PREDICT / (1 - PREDICT))
+        return (1 / (1 + np.exp(-np.clip(moved.astype("f8"), -30, 30)))).tolist()
+
+    def logits(self, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+        """Logits before the thresholds, and languages."""
+        logits: list[np.ndarray] = [np.zeros(0, "f4")]
+        langs: list[str] = []
         docs: list[list[str]] = []
         size = 0
         for text in texts:
             docs.append(words_of(text))
             size += len(docs[-1])
             if size >= CHUNK_WORDS:
-                out += self._chunk(docs)
+                self._chunk(docs, logits, langs)
                 docs, size = [], 0
-        return out + (self._chunk(docs) if docs else [])
+        if docs:
+            self._chunk(docs, logits, langs)
+        return np.concatenate(logits), langs
 
-    def _chunk(self, docs: list[list[str]]) -> list[float]:
+    def _chunk(self, docs: list[list[str]], logits: list[np.ndarray], langs: list[str]) -> None:
         flat, starts = _flatten(self.number(docs))
-        logits = self.net.logits(self.net.pooled(self.table[flat], starts))
+        logits.append(self.net.logits(self.net.pooled(self.table[flat], starts)))
         seen = np.add.reduceat(self.languages[flat], starts, axis=0)
-        names = np.where(seen.max(axis=1) > 0, np.array([*FUNCTION_WORDS])[seen.argmax(axis=1)], OTHER)
-        moved = logits - [self.net.shifts.get(lang, 0.0) for lang in names.tolist()] + np.log(PREDICT / (1 - PREDICT))
-        return (1 / (1 + np.exp(-np.clip(moved.astype("f8"), -30, 30)))).tolist()
+        langs += np.where(seen.max(axis=1) > 0, np.array([*FUNCTION_WORDS])[seen.argmax(axis=1)], OTHER).tolist()
 
 
 def is_training(doc_id: Column) -> Column:
@@ -274,7 +271,8 @@ def is_training(doc_id: Column) -> Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """Train on at most `sample` labelled training rows per class; their texts come to the driver."""
+    """Train on at most `sample` labelled training rows per class, whose texts come to the driver; all others set
+    the thresholds."""
     known = narrow(labels, doc_id="bigint", toxic="int").where(is_training(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = None
@@ -284,7 +282,37 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Networ
     rows = narrow(documents, doc_id="bigint", text="string").join(F.broadcast(chosen), "doc_id")
     first = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id")
     got = first.collect()
-    return train([r.text or "" for r in got], [r.toxic for r in got])
+    net, used = train([r.text or "" for r in got], [r.toxic for r in got])
+    if net is not None:
+        _calibrate(net, documents, known, [(got[i].doc_id, got[i].toxic) for i in used])
+    return net
+
+
+def _calibrate(net: Network, documents: DataFrame, known: DataFrame, used: list[tuple[int, int]]) -> None:
+    """Set the thresholds from all rows of `known` that aren't `used`; a bounded histogram comes to the driver.
+
+    Texts are scored where they are and only numbers are joined. Of repeated ids the lowest bin counts.
+    """
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(net)
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            logits, langs = scorer.logits(batch["text"].tolist())
+            bins = np.floor(np.clip(logits.astype("f8"), -30, 30) * BINS).astype("i4")
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "bin": bins, "lang": langs})
+
+    rows = narrow(documents, doc_id="bigint", text="string").where(is_training(F.col("doc_id")))
+    unseen = known.join(F.broadcast(spark.createDataFrame([(i,) for i, _ in used], "doc_id long")), "doc_id", "left_anti")
+    judged = rows.mapInPandas(judge, "doc_id long, bin int, lang string").join(unseen, "doc_id")
+    once = judged.groupBy("doc_id", "toxic").agg(F.min(F.struct("bin", "lang")).alias("j"))
+    counted = once.groupBy("j.lang", "j.bin").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+    found = counted.collect()
+    if found:
+        toxic = sum(kind for _, kind in used)
+        histogram = np.array([(r["bin"], r["clean"], r["toxic"]) for r in found], dtype="f8")
+        _set_shifts(net, histogram, np.array([r["lang"] for r in found]), [len(used) - toxic, toxic])
 
 
 def add_score(documents: DataFrame, net: Network | None, name: str) -> DataFrame:

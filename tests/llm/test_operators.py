@@ -224,6 +224,24 @@ def test_toxicity_held_out(spark):
     assert toxicity.remove_toxic(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_thresholds_see_the_true_class_ratio(spark):
+    draw = np.random.default_rng(9)
+    rows, marks = [], []
+    for i in range(2700):
+        words = [WORDS[j] for j in draw.integers(0, 400, 20)]
+        toxic = i % 9 == 0
+        # Among as many clean rows "doubtful" has the better F1, among eight times as many "vile" has.
+        words += ["doubtful"] * (toxic or draw.random() < 0.2) + ["vile"] * (toxic and draw.random() < 0.7)
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    net = toxicity.fit(docs, labels, sample=150)
+    scored = toxicity.add_score(docs.select("doc_id", "text"), net, "p").collect()
+    clean = [r.p >= toxicity.PREDICT for r in scored if r.doc_id % 9 and "doubtful" in r.text]
+    assert len(clean) > 300 and np.mean(clean) < 0.2
+    assert np.mean([r.p >= toxicity.PREDICT for r in scored if "vile" in r.text]) > 0.8
+
+
 def test_base_spans_are_those_of_the_patterns():
     mail, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
     draw = np.random.default_rng(2)
