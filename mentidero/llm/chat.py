@@ -105,3 +105,16 @@ def loss_text(turns: Column, learned_role: str = LEARNED_ROLE) -> Column:
     """The texts under the mask, in order, nothing between."""
     kept = F.filter(turns, lambda t: t["role"] == learned_role)
     return F.array_join(F.transform(kept, lambda t: t["text"]), "")
+
+
+def masked_text(formatted: Column, loss_runs: Column) -> Column:
+    """The texts that the loss mask covers in `formatted`, in order, nothing between."""
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at: int, length: int>>").alias("cuts"))
+
+    def step(state: Column, i: Column) -> Column:
+        begin, inside = state["at"] + F.get(loss_runs, 2 * i), F.get(loss_runs, 2 * i + 1)
+        cut = F.array(F.struct(begin.alias("at"), inside.alias("length")))
+        return F.struct((begin + inside).alias("at"), F.concat(state["cuts"], F.when(inside > 0, cut).otherwise(F.slice(cut, 1, 0))).alias("cuts"))
+
+    cuts = F.aggregate(F.sequence(F.lit(0), (F.size(loss_runs) / 2).cast("int") - 1), start, step, lambda state: state["cuts"])
+    return F.array_join(F.transform(cuts, lambda c: unescape(F.substring(formatted, c["at"], c["length"]))), "")

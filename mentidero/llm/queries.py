@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from mentidero.llm import pii, toxicity
 from mentidero.llm.bpe import decode_documents, encode_documents
-from mentidero.llm.chat import format_chats, loss_text, parse_chats
+from mentidero.llm.chat import format_chats, masked_text, parse_chats
 from mentidero.llm.common import field, narrow, table
 from mentidero.llm.edits import apply_edits, build_trees, sample_edits
 from mentidero.llm.llr import quality_rules
@@ -106,7 +106,7 @@ def op10_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parsed = parse_chats(format_chats(turns.unionByName(extra)))
     turn_text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learned = loss_text(F.col("turns"))
+    learned = masked_text(F.col("formatted"), F.col("loss_runs"))
     return parsed.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(turn_text, 256).alias("turns_sha256"),
         F.char_length(learned).cast("bigint").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),

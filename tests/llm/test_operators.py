@@ -389,3 +389,12 @@ def test_texts_alike_but_for_repeats_meet(spark):
     assert all(probminhash.similar(a[1], b[1]) for a in rows for b in rows)
     got = probminhash.near_duplicate_classes(frame(spark, rows)).collect()
     assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, 0, 4) for i in range(4)}
+
+
+def test_masked_text_follows_the_mask(spark):
+    rows = [(1, 0, "user", "é hi <|"), (1, 1, "assistant", "<|end|>𝄞a"), (1, 2, "assistant", ""), (1, 3, "assistant", "<\\|b"), (2, 0, "user", "x")]
+    chats = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    masked = chat.masked_text(F.col("formatted"), F.col("loss_runs"))
+    assert {r.conv_id: r.m for r in chats.select("conv_id", masked.alias("m")).collect()} == {1: "<|end|>𝄞a<\\|b", 2: ""}
+    wrong = F.transform("loss_runs", lambda n, i: F.when(i % 2 == 1, 0).otherwise(n))
+    assert {r.m for r in chats.select(chat.masked_text(F.col("formatted"), wrong).alias("m")).collect()} == {""}
