@@ -1,6 +1,49 @@
 """SQL counterparts of the registered queries, where SQL can express them."""
 
+
+
+def _rounds(n: int) -> str:
+    """The assignments and moves of n rounds, and the last assignment, as one chain of table expressions."""
+    out = ""
+    for i in range(n + 1):
+        out += f"""
+        , away{i} AS MATERIALIZED (
+            SELECT v, cluster, sum((x - c) * (x - c)) AS d FROM parts JOIN centroids{i} USING (dim) GROUP BY ALL
+        ), placed{i} AS MATERIALIZED (
+            SELECT v, min(d) AS d, arg_min(cluster, d * 1000 + cluster) AS cluster FROM away{i} GROUP BY v
+        )"""
+        if i < n:
+            out += f"""
+        , centroids{i + 1} AS MATERIALIZED (
+            SELECT cluster, dim, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+            FROM centroids{i} LEFT JOIN (
+                SELECT cluster, dim, sum(x) AS s, count(*) AS n FROM placed{i} JOIN parts USING (v) GROUP BY ALL
+            ) USING (cluster, dim)
+        )"""
+    return out
+
+
 ORACLES = {
+    "op13_hadamard_clusters": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS v, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS xs
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (
+            SELECT v, unnest(xs) AS x, unnest(range(64)) AS dim FROM kept
+        ), chosen AS (
+            SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster FROM kept
+            QUALIFY cluster < 40
+        ), centroids0 AS MATERIALIZED (
+            SELECT cluster, dim, x AS c FROM chosen JOIN parts USING (v)
+        ) {_rounds(5)}
+        , digests AS (
+            SELECT cluster, sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids5 GROUP BY cluster
+        )
+        SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM placed5 JOIN kept USING (v) JOIN digests USING (cluster)
+    """,
     "op10_relational_chat": """
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

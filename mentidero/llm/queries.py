@@ -12,6 +12,7 @@ from mentidero.llm.bpe import decode_documents, encode_documents
 from mentidero.llm.chat import format_chats, masked_text, parse_chats
 from mentidero.llm.common import field, narrow, table
 from mentidero.llm.edits import apply_edits, build_trees, sample_edits
+from mentidero.llm.hadamard import cluster_vectors
 from mentidero.llm.llr import quality_rules
 from mentidero.llm.probminhash import near_duplicate_classes
 from mentidero.llm.suffixes import contamination
@@ -114,6 +115,10 @@ def op10_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -122,6 +127,7 @@ REGISTERED = {
     f.__name__: f
     for f in (
         op1_warc, op2_probminhash, op3_tag_paths, op4_byte_bpe, op5_llr_quality, op6_toxicity, op7_boosted_pii,
-        op8_suffix_decontamination, op9_edit_counts, op10_relational_chat, pipeline,
+        op8_suffix_decontamination, op9_edit_counts, op10_relational_chat, op13_hadamard_clusters,
+        pipeline,
     )
 }
