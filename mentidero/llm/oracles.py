@@ -44,6 +44,42 @@ ORACLES = {
                (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
         FROM placed5 JOIN kept USING (v) JOIN digests USING (cluster)
     """,
+    "op11_debruijn_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]'
+            )) AS piece FROM documents
+        ), lists AS MATERIALIZED (
+            SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM pieces
+        ), grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g
+            FROM lists, (SELECT unnest(range(1, 6)) AS k)
+        ), counts AS MATERIALIZED (
+            SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS MATERIALIZED (
+            SELECT *, string_split(g, ' ') AS ws FROM counts WHERE k >= 2 AND f >= 100
+        ), inner_parts AS (
+            SELECT lang, f, m, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS g
+            FROM candidates, (SELECT unnest(range(2, 5)) AS m) WHERE m < k
+        ), around AS (
+            SELECT lang, g, max(f) AS most FROM inner_parts GROUP BY ALL
+        ), cuts AS (
+            SELECT c.lang, c.g, c.f, c.k, j, array_to_string(ws[:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y
+            FROM candidates c LEFT JOIN around o ON c.lang = o.lang AND c.g = o.g, (SELECT unnest(range(1, 5)) AS j)
+            WHERE j < c.k AND coalesce(100 * most < 100 * c.f, true)
+        ), rated AS (
+            SELECT cuts.lang, cuts.g AS phrase, cuts.f AS a, x.f AS l, y.f AS r, n, j,
+                   (1000::HUGEINT * cuts.f * n) // (x.f::HUGEINT * y.f) AS score
+            FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.g = cuts.x JOIN counts y ON y.lang = cuts.lang AND y.g = cuts.y
+            JOIN totals ON totals.lang = cuts.lang
+            QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.g ORDER BY score, j) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n,
+               score::BIGINT AS score
+        FROM rated QUALIFY rank <= 2000
+    """,
     "op10_relational_chat": """
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mentidero.llm import pii, toxicity
+from mentidero.llm import bytenet, pii, toxicity
 from mentidero.llm.bpe import decode_documents, encode_documents
 from mentidero.llm.chat import format_chats, masked_text, parse_chats
 from mentidero.llm.common import field, narrow, table
+from mentidero.llm.debruijn import collocations
 from mentidero.llm.edits import apply_edits, build_trees, sample_edits
 from mentidero.llm.hadamard import cluster_vectors
 from mentidero.llm.llr import quality_rules
@@ -115,6 +116,16 @@ def op10_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(~toxicity.is_training(F.col("doc_id")), F.lit(True))
+    return bytenet.add_language(docs, bytenet.fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op13_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -127,7 +138,7 @@ REGISTERED = {
     f.__name__: f
     for f in (
         op1_warc, op2_probminhash, op3_tag_paths, op4_byte_bpe, op5_llr_quality, op6_toxicity, op7_boosted_pii,
-        op8_suffix_decontamination, op9_edit_counts, op10_relational_chat, op13_hadamard_clusters,
-        pipeline,
+        op8_suffix_decontamination, op9_edit_counts, op10_relational_chat, op11_debruijn_collocations,
+        op12_byte_network, op13_hadamard_clusters, pipeline,
     )
 }
