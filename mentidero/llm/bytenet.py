@@ -181,7 +181,7 @@ def fit(documents: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     rank = F.pmod(F.xxhash64("doc_id"), F.lit(RANKS))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # About three times the rows wanted pass by their hash; the exact cut ranks only those.
-    near = rows.join(sizes, "lang").where(rank * F.col("n") < 3.0 * per_lang * RANKS).where(F.col("text").rlike(r"\p{L}"))
+    near = rows.join(sizes, "lang").where(rank.cast("double") * F.col("n") < 3.0 * per_lang * RANKS).where(F.col("text").rlike(r"\p{L}"))
     span = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
     cut = lambda k: F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id", F.lit(k)), span) + 1).cast("int"), F.lit(WINDOW))
     cuts = near.select("lang", "doc_id", rank.alias("rank"), F.array(*[cut(k) for k in range(SNIPPETS)]).alias("snippets"))
