@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentidero.operators.joins import parent_join
-from mentidero.operators.quantiles import SMALL, exact_quantiles, exact_quantiles_by
+from mentidero.operators.quantiles import exact_quantiles, exact_quantiles_by
 
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
@@ -230,21 +230,19 @@ def _in_fences(x: Column, q1: Column, q3: Column) -> Column:
     return (x >= q1 - reach) & (x <= q3 + reach)
 
 
-def box_stats_by(df: DataFrame, group: str, column: str, small: int = SMALL) -> DataFrame:
-    """Box statistics per group. Whiskers are read off per-value counts: rows are combined by
-    (group, value) before they move, so no group is gathered whole."""
+def box_stats_by(df: DataFrame, group: str, column: str) -> DataFrame:
+    """Box statistics per group; rows meet their group's quartiles and combine inside each task."""
     x = F.col(column).cast("double")
-    usable = df.where(F.col(group).isNotNull() & x.isNotNull() & ~F.isnan(x))
-    quart = exact_quantiles_by(usable, group, column, QUARTILES, small).select(
+    usable = df.where(F.col(group).isNotNull() & x.isNotNull() & ~F.isnan(x)).select(group, x.alias("x"))
+    quart = exact_quantiles_by(usable, group, "x", QUARTILES).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
-    counted = usable.groupBy(group, x.alias("x")).agg(F.count("*").alias("rows"))
     inside = _in_fences(F.col("x"), F.col("q1"), F.col("q3"))
     return (
-        parent_join(counted, quart, group, "inner")
+        parent_join(usable, quart, group, "inner")
         .groupBy(group)
         .agg(
-            F.sum("rows").alias("n"),
+            F.count("*").alias("n"),
             F.min("x").alias("min"),
             F.first("q1").alias("q1"),
             F.first("median").alias("median"),
@@ -252,7 +250,7 @@ def box_stats_by(df: DataFrame, group: str, column: str, small: int = SMALL) ->
             F.max("x").alias("max"),
             F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("rows"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 

@@ -1,50 +1,29 @@
-"""Exact quantiles (linear interpolation between neighbours) that never gather a large column.
+"""Exact quantiles (linear interpolation between neighbours) by distributed selection.
 
-`percentile` keeps every distinct value of a column in one task, and so does one sort. A column with
-more values than a task may hold is searched by narrowing instead: each round is one scan with bounded
-aggregates that returns, per search interval, how many rows lie below it, how many lie in it, and an
-approximate grid inside it. When few enough distinct values are left in the intervals, one scan counts
-the values inside and the rows between the intervals, and the exact answers are read off the running
-total. An interval that missed its rank (the grid is approximate) is left for the gap beside it.
+All columns, or all groups of a column, are searched together and in the same way at every size. A search interval
+holds the ranks still wanted in it. A round deals the values of each interval to CELLS cells and counts them, with
+the least and the greatest value of each cell; the cells that hold wanted ranks are the next round's intervals. A
+cell whose least value is its greatest is the answer for its ranks, so ties end a search at once. Counts combine
+inside each task, and what a round returns has at most CELLS rows per interval.
+
+Cells are equally wide in odd rounds and equally wide in the logarithm in even ones: after one of those an interval
+spans few powers of two whatever the data, and each of the others cuts it by CELLS, so some 14 rounds end any search.
+Even columns take two or three.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL = 1_000_000  # values one task may hold
-GRID = 500  # grid cells per interval and round
-ACCURACY = 10_000  # rank error of the grid: 1 / ACCURACY of the interval's rows
-HOT_GROUPS = 64  # groups searched one by one; every other group holds at most 1/64 of the rows
-
-
-@dataclass(frozen=True)
-class Interval:
-    """Closed value interval; None is open."""
-
-    low: float | None
-    high: float | None
-
-    def below(self, x: Column) -> Column:
-        return F.lit(False) if self.low is None else x < F.lit(self.low)
-
-    def at_low(self, x: Column) -> Column:
-        return F.lit(False) if self.low is None else x == F.lit(self.low)
-
-    def at_high(self, x: Column) -> Column:
-        return F.lit(False) if self.high is None else x == F.lit(self.high)
+from mentidero.session import scratch_dir
+from mentidero.sources.lake import materialize
 
-    def inside(self, x: Column) -> Column:
-        left = F.lit(True) if self.low is None else x > F.lit(self.low)
-        return left if self.high is None else left & (x < F.lit(self.high))
-
-    def holds(self, x: Column) -> Column:
-        return self.at_low(x) | self.inside(x) | self.at_high(x)
+CELLS = 1024  # per interval and round
+STATE = ("key", "lo", "hi", "below", "ranks")
 
 
 def _ranks(n: int, prob: float) -> tuple[int, int, float]:
@@ -54,205 +33,116 @@ def _ranks(n: int, prob: float) -> tuple[int, int, float]:
     return low, math.ceil(place), place - low
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], small: int = SMALL
-) -> dict[str, list[float | None]]:
-    """Exact quantiles per numeric column; nulls and NaN are left out. Runs its scans at once."""
-    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in wanted}
-    counts = df.agg(*[F.count(clean[c]).alias(c) for c in wanted]).first()
-    fits = [c for c in wanted if counts[c] <= small]
+def _stage(df: DataFrame, purpose: str) -> DataFrame:
+    return materialize(df, scratch_dir(df.sparkSession, purpose))
+
+
+def _log_scale(x: Column) -> Column:
+    """A monotone scale on which powers of two are equally far apart, zero and infinities included."""
+    return F.signum(x) * (F.greatest(F.least(F.log2(F.abs(x)), F.lit(1100.0)), F.lit(-1100.0)) + 1101)
+
+
+def _cell(x: Column, lo: Column, hi: Column, by_log: bool) -> Column:
+    infinite = F.abs(lo).eqNullSafe(F.lit(math.inf)) | F.abs(hi).eqNullSafe(F.lit(math.inf))
+    # The difference of two large values may be infinite, that of their halves not.
+    even = F.when(hi - lo < math.inf, (x - lo) / (hi - lo)).otherwise((x / 2 - lo / 2) / (hi / 2 - lo / 2))
+    first, last = _log_scale(lo), _log_scale(hi)
+    log = F.when(x == 0, 0.0).otherwise(_log_scale(x))
+    first, last = F.when(lo == 0, 0.0).otherwise(first), F.when(hi == 0, 0.0).otherwise(last)
+    spread = (log - first) / (last - first)
+    share = F.when((F.lit(by_log) | infinite) & (last > first), spread).otherwise(even)
+    return F.greatest(F.lit(0), F.least(F.floor(share * CELLS), F.lit(CELLS - 1))).cast("int")
+
+
+def _narrow(values: DataFrame, state: DataFrame, by_log: bool) -> DataFrame:
+    """The next intervals of every key, from one scan of the values."""
+    ends = state.select(F.col("key").alias("of"), "lo", "hi")
+    met = values.join(ends, F.col("key").eqNullSafe(F.col("of")) & F.col("x").between(F.col("lo"), F.col("hi")))
+    placed = met.select("key", "lo", F.col("x"), _cell(F.col("x"), F.col("lo"), F.col("hi"), by_log).alias("cell"))
+    counted = placed.groupBy("key", "lo", "cell").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
+    before = Window.partitionBy("key", "lo").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most CELLS rows
+    running = counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    wanted = state.select(F.col("key").alias("of"), F.col("lo").alias("at"), "below", "ranks")
+    both = running.join(wanted, F.col("key").eqNullSafe(F.col("of")) & (F.col("lo") == F.col("at")))
+    first = F.col("below") + F.col("before")
+    cut = both.select("key", F.col("least").alias("lo"), F.col("most").alias("hi"), first.alias("below"), "n", "ranks")
+    inside = F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
+    return cut.withColumn("ranks", inside).where(F.size("ranks") > 0).select(*STATE)
+
+
+def order_statistics(values: DataFrame, state: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(key, rank, value) of every wanted rank. `values` has (key, x), `state` STATE, one row per key with its least
+    and greatest value; `keep` holds each round's intervals, as a table or as rows on the driver."""
+    found = None
+    turn = 0
+    while True:
+        state = keep(state)
+        hit = state.where("lo = hi").select("key", F.explode("ranks").alias("rank"), F.col("lo").alias("value"))
+        found = hit if found is None else found.unionByName(hit)
+        state = state.where("lo < hi")
+        if not state.limit(1).count():
+            return found
+        turn += 1
+        state = _narrow(values, state, by_log=turn % 2 == 0)
+
+
+def _first_state(values: DataFrame, ranks: Column) -> DataFrame:
+    ends = values.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    return ends.select("key", "n", "lo", "hi", F.lit(0).cast("bigint").alias("below"), ranks.alias("ranks"))
+
+
+def _known(x: Column) -> Column:
+    """Nulls and NaN are no values; minus zero is zero."""
+    return F.when(~F.isnan(x.cast("double")), x.cast("double") + 0.0)
+
+
+def _ranks_of(n: Column, probs: Sequence[float]) -> Column:
+    places = [F.lit(float(p)) * (n - 1) for p in probs]
+    return F.array_distinct(F.array(*[end.cast("bigint") for place in places for end in (F.floor(place), F.ceil(place))]))
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Exact quantiles per numeric column; nulls and NaN are left out. Runs at once: the source is read once for a
+    narrow table, which every round scans for all columns together. Rows on the driver: one per column and rank."""
+    spark = df.sparkSession
+    columns = list(wanted)
+    wide = df.select(*[_known(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    long = wide.select(F.inline(F.array(*[F.struct(F.lit(i).alias("key"), F.col(f"c{i}").alias("x")) for i in range(len(columns))])))
+    values = _stage(long.where(F.col("x").isNotNull()), "values")
+    ranks = F.array().cast("array<bigint>")
+    for i, c in enumerate(columns):
+        ranks = F.when(F.col("key") == i, _ranks_of(F.col("n"), wanted[c])).otherwise(ranks)
+    first = _first_state(values, ranks).collect()
+    counts = {r["key"]: r["n"] for r in first}
+    schema = "key int, lo double, hi double, below bigint, ranks array<bigint>"
+    state = spark.createDataFrame([tuple(r[c] for c in STATE) for r in first], schema)
+    hits = order_statistics(values, state, lambda s: spark.createDataFrame(s.collect(), schema)).collect()
+    value = {(r["key"], r["rank"]): r["value"] for r in hits}
     out: dict[str, list[float | None]] = {}
-    if fits:
-        # Checked above: at most `small` values per column, sorted as one array.
-        row = df.agg(*[F.sort_array(F.collect_list(clean[c])).alias(c) for c in fits]).select(
-            *[F.array(*[F.get(c, F.lit(r)) for p in wanted[c] for r in _ranks(counts[c], p)[:2]]).alias(c) for c in fits]
-        ).first()
-        for c in fits:
-            ends = zip(row[c][::2], row[c][1::2])
-            parts = [_ranks(counts[c], p)[2] for p in wanted[c]]
-            out[c] = [None if lo is None else lo + (hi - lo) * part for (lo, hi), part in zip(ends, parts)]
-    large = {c: (counts[c], wanted[c]) for c in wanted if c not in out}
-    if large:
-        out.update(_search(df.select(*[clean[c].alias(c) for c in large]), large, small))
-    return {c: out[c] for c in wanted}
-
-
-def _search(
-    values: DataFrame, wanted: Mapping[str, tuple[int, Sequence[float]]], small: int
-) -> dict[str, list[float]]:
-    places = {c: [_ranks(n, p) for p in probs] for c, (n, probs) in wanted.items()}
-    targets = {c: sorted({r for low, high, _ in ps for r in (low, high)}) for c, ps in places.items()}
-    found = order_statistics(values, targets, small)
-    return {
-        c: [found[c][low] + (found[c][high] - found[c][low]) * part for low, high, part in ps]
-        for c, ps in places.items()
-    }
-
-
-def order_statistics(
-    values: DataFrame, ranks: Mapping[str, Sequence[int]], small: int = SMALL
-) -> dict[str, dict[int, float]]:
-    """Values at zero-based ranks of sorted double columns (nulls left out). Each narrowing round is
-    one scan for all columns together."""
-    open_ranks = {c: {r: Interval(None, None) for r in rs} for c, rs in ranks.items()}
-    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    while any(open_ranks.values()):
-        rounds = {c: _Round(f"c{i}", F.col(c), home) for i, (c, home) in enumerate(open_ranks.items()) if home}
-        row = values.agg(*[part for r in rounds.values() for part in r.parts()]).first()
-        for c, this in rounds.items():
-            hits, home, distinct = this.read(row)
-            found[c].update(hits)
-            if home and distinct <= small:
-                hits, home = _read_off(values.select(F.col(c).alias("x")).where("x IS NOT NULL"), home)
-                found[c].update(hits)
-            open_ranks[c] = home
-    return found
-
-
-class _Round:
-    """One column's share of a narrowing scan."""
-
-    def __init__(self, name: str, x: Column, home: dict[int, Interval]):
-        self.name, self.x, self.home = name, x, home
-        self.intervals = sorted(set(home.values()), key=lambda i: -math.inf if i.low is None else i.low)
-
-    def parts(self) -> list[Column]:
-        x, out = self.x, []
-        grid = [i / GRID for i in range(GRID + 1)]
-        for i, interval in enumerate(self.intervals):
-            measured = {
-                "below": F.count_if(interval.below(x)),
-                "low": F.count_if(interval.at_low(x)),
-                "inside": F.count_if(interval.inside(x) & x.isNotNull()),
-                "high": F.count_if(interval.at_high(x)),
-                "grid": F.percentile_approx(F.when(interval.inside(x), x), grid, ACCURACY),
-            }
-            out += [part.alias(f"{self.name}_{i}_{kind}") for kind, part in measured.items()]
-        return out
-
-    def read(self, row: Row) -> tuple[dict[int, float], dict[int, Interval], float]:
-        """Ranks that hit an end value, smaller intervals for the other ranks, and a bound on the
-        distinct values in them. The rows strictly inside shrink every round: repeated values end up
-        as interval ends, which are counted, not searched."""
-        found: dict[int, float] = {}
-        smaller: dict[int, Interval] = {}
-        bound: dict[Interval, float] = {}
-        for i, interval in enumerate(self.intervals):
-            below, low, inside, high, cells = (
-                row[f"{self.name}_{i}_{kind}"] for kind in ("below", "low", "inside", "high", "grid")
-            )
-            for rank in (r for r in self.home if self.home[r] == interval):
-                place = rank - below
-                if 0 <= place < low:
-                    found[rank] = interval.low
-                elif low + inside <= place < low + inside + high:
-                    found[rank] = interval.high
-                elif low <= place < low + inside:
-                    cell = (place - low) / max(inside - 1, 1) * GRID
-                    first, last = max(math.floor(cell) - 1, 0), min(math.ceil(cell) + 1, GRID)
-                    smaller[rank] = Interval(
-                        cells[first] if first > 0 else interval.low, cells[last] if last < GRID else interval.high
-                    )
-                    share = (last - first) / GRID + 4 / ACCURACY
-                    bound[smaller[rank]] = min(inside, math.ceil(inside * share)) + 2
-                else:  # the approximate grid missed this rank: search beyond the end it passed
-                    smaller[rank] = Interval(None, interval.low) if place < 0 else Interval(interval.high, None)
-                    bound[smaller[rank]] = math.inf
-        return found, smaller, sum(bound.values())
-
-
-def _merge(intervals: list[Interval]) -> list[Interval]:
-    """Overlapping intervals joined, in order."""
-    ends = sorted(
-        (-math.inf if i.low is None else i.low, math.inf if i.high is None else i.high) for i in set(intervals)
-    )
-    merged: list[list[float]] = []
-    for low, high in ends:
-        if merged and low <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    return [Interval(None if lo == -math.inf else lo, None if hi == math.inf else hi) for lo, hi in merged]
-
-
-def _read_off(values: DataFrame, home: dict[int, Interval]) -> tuple[dict[int, float], dict[int, Interval]]:
-    """One scan: counts per value inside the intervals and per gap between them, then running totals."""
-    x = F.col("x")
-    intervals = _merge(list(home.values()))
-    zone, shown = F.lit(2 * len(intervals)), F.lit(None).cast("double")
-    for i in reversed(range(len(intervals))):
-        zone = F.when(intervals[i].below(x), 2 * i).when(intervals[i].holds(x), 2 * i + 1).otherwise(zone)
-        shown = F.when(intervals[i].holds(x), x).otherwise(shown)
-    counted = values.groupBy(zone.alias("zone"), shown.alias("value")).agg(F.count("*").alias("rows"))
-    # A bounded table by now, so one task may order it.
-    running = Window.orderBy("zone", "value").rowsBetween(Window.unboundedPreceding, 0)
-    totals = counted.withColumn("upto", F.sum("rows").over(running))
-    wanted = F.array(*[F.lit(int(r)) for r in home])
-    rows = (
-        totals.withColumn("rank", F.explode(wanted))
-        .where((F.col("rank") >= F.col("upto") - F.col("rows")) & (F.col("rank") < F.col("upto")))
-        .select("rank", "zone", "value")
-        .collect()
-    )
-    found = {r["rank"]: r["value"] for r in rows if r["value"] is not None}
-    missed = {}
-    for r in rows:
-        if r["value"] is None:  # the rank fell into a gap: search that gap
-            gap = r["zone"] // 2
-            low = intervals[gap - 1].high if gap > 0 else None
-            high = intervals[gap].low if gap < len(intervals) else None
-            missed[r["rank"]] = Interval(low, high)
-    return found, missed
+    for i, c in enumerate(columns):
+        places = [_ranks(counts.get(i, 0), p) for p in wanted[c]]
+        ends = [(value.get((i, low)), value.get((i, high)), part) for low, high, part in places]
+        out[c] = [lo if lo is None or lo == hi else lo + (hi - lo) * part for lo, hi, part in ends]
+    return out
 
 
-def exact_quantiles_by(
-    df: DataFrame, group: str, column: str, probs: Sequence[float], small: int = SMALL
-) -> DataFrame:
-    """Exact quantiles per group: columns (group, n, q) with `q` in the order of `probs`.
+def exact_quantiles_by(df: DataFrame, group: str, column: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of every group: columns (group, n, q) with `q` in the order of `probs`.
 
-    The few groups too large for one task are searched like whole columns. The others are counted
-    per value first and then ranked by a running total, which spills instead of filling memory.
+    All groups are refined by the same rounds, whatever their number and sizes; intervals are a table beside the
+    values. Groups without a value are left out.
     """
-    x = F.col(column).cast("double")
-    values = df.select(group, x.alias("x")).where(x.isNotNull() & ~F.isnan(x))
-    hot = (
-        values.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > small)
-        .orderBy(F.desc("n"), group).limit(HOT_GROUPS).collect()
-    )
-    rest = values
-    for r in hot:
-        rest = rest.where(~F.col(group).eqNullSafe(F.lit(r[group])))
-    out = _ranked_quantiles(rest, group, probs)
-    rows = []
-    for r in hot:
-        mine = values.where(F.col(group).eqNullSafe(F.lit(r[group]))).select("x")
-        rows.append((r[group], r["n"], _search(mine, {"x": (r["n"], probs)}, small)["x"]))
-    if rows:
-        out = out.unionByName(df.sparkSession.createDataFrame(rows, out.schema))
-    return out
-
-
-def _ranked_quantiles(values: DataFrame, group: str, probs: Sequence[float]) -> DataFrame:
-    counted = values.groupBy(group, "x").agg(F.count("*").alias("rows"))
-    by_value = Window.partitionBy(group).orderBy("x")
-    whole = Window.partitionBy(group)
-    totals = counted.select(
-        group,
-        "x",
-        F.sum("rows").over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        "rows",
-        F.sum("rows").over(whole).alias("n"),
-    )
-    picks = []
-    for i, p in enumerate(probs):
-        place = F.lit(float(p)) * (F.col("n") - 1)
-        for name, rank in ((f"low{i}", F.floor(place)), (f"high{i}", F.ceil(place))):
-            hit = (rank >= F.col("upto") - F.col("rows")) & (rank < F.col("upto"))
-            picks.append(F.max(F.when(hit, F.col("x"))).alias(name))
-    ends = totals.groupBy(group).agg(F.max("n").alias("n"), *picks)
+    rows = df.select(F.col(group).alias("key"), _known(F.col(column)).alias("x"))
+    values = _stage(rows.where(F.col("x").isNotNull()), "values")
+    first = _stage(_first_state(values, _ranks_of(F.col("n"), probs)), "groups")
+    hits = order_statistics(values, first.select(*STATE), lambda s: _stage(s, "intervals"))
+    # At most two values per quantile and group.
+    listed = hits.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    sizes = first.select(F.col("key").alias("of"), "n")
+    both = listed.join(sizes, F.col("key").eqNullSafe(F.col("of")))
     answers = []
-    for i, p in enumerate(probs):
+    for p in probs:
         place = F.lit(float(p)) * (F.col("n") - 1)
-        part = place - F.floor(place)
-        answers.append(F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * part)
-    return ends.select(group, "n", F.array(*answers).alias("q"))
+        lo, hi = (F.col("at")[end.cast("bigint")] for end in (F.floor(place), F.ceil(place)))
+        answers.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (place - F.floor(place))))
+    return both.select(F.col("key").alias(group), "n", F.array(*answers).alias("q"))

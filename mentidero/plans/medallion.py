@@ -12,7 +12,7 @@ from mentidero.operators.discover import discover_ranked, hot_list, within
 from mentidero.schemas import BRONZE, CREATED_COLUMN, bronze_schema
 from mentidero.sources.lake import read_batches, write_batch, write_by_date, write_version
 from mentidero.sources.ndjson import read_raw_batches, with_scan_order
-from mentidero.sources.store import store_table
+from mentidero.sources.store import KeyedTable, ensure_tables, store_table
 
 
 def build_bronze(spark: SparkSession, raw_root: str, bronze_root: str, batch_ts: str | None = None) -> list[str]:
@@ -38,10 +38,10 @@ def read_bronze(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame
 
 
 def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, version: str,
-                 buckets: int = 64) -> dict[str, str]:
+                 buckets: int = 64, database: str | None = None) -> dict[str, str]:
     """All bronze batches to two dimensions and two facts, each in a new version folder, then into the
     keyed store. A table that others need is written first and read back, so it is computed once.
-    `buckets` is the store's; a bucket should hold a few GB."""
+    `buckets` is the store's; a bucket should hold a few GB. `database` is where the store's tables show in the catalog."""
     paths: dict[str, str] = {}
 
     def put(df: DataFrame, name: str) -> DataFrame:
@@ -56,10 +56,15 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, versio
     authors = put(silver.dim_author(posts, comments), "dim_author")
 
     store = f"{silver_root}/store"
-    store_table(spark, store, "subreddits", buckets).upsert(dim)
-    store_table(spark, store, "authors", buckets).insert_ignore(authors)
-    store_table(spark, store, "posts", buckets).upsert(posts)
-    store_table(spark, store, "comments", buckets).upsert(comments)
+    def keyed(table: str) -> KeyedTable:
+        return store_table(spark, store, table, buckets, database)
+
+    if database:
+        ensure_tables(spark, database, store)
+    keyed("subreddits").upsert(dim)
+    keyed("authors").insert_ignore(authors)
+    keyed("posts").upsert(posts)
+    keyed("comments").upsert(comments)
     return paths
 
 
@@ -68,10 +73,10 @@ def _entity(df: DataFrame, entity: str) -> DataFrame:
 
 
 def run_medallion(spark: SparkSession, raw_root: str, out_root: str, batch_ts: str,
-                  buckets: int = 64) -> dict[str, str]:
+                  buckets: int = 64, database: str | None = None) -> dict[str, str]:
     """Landed NDJSON to silver. `batch_ts` names the silver version; all landed batches take part."""
     build_bronze(spark, raw_root, f"{out_root}/bronze")
-    return build_silver(spark, f"{out_root}/bronze", f"{out_root}/silver", batch_ts, buckets)
+    return build_silver(spark, f"{out_root}/bronze", f"{out_root}/silver", batch_ts, buckets, database)
 
 
 def first_posts(spark: SparkSession, raw_root: str) -> DataFrame:

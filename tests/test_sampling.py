@@ -56,11 +56,22 @@ def test_split_equals_sorting_by_hash(spark):
         assert [split[i] for _, i in order] == expected
 
 
-def test_few_slices_give_the_same_cut(spark):
+@pytest.mark.parametrize("bits,ranked", [(2, 1), (12, 4096), (60, 1)])
+def test_rounds_end_at_the_same_cut(spark, bits, ranked):
+    import hashlib
+
     df = labelled(spark, {0: 500})
-    wide = boundaries(df, "id", 42, {None: [123]})
-    narrow = boundaries(df, "id", 42, {None: [123]}, slice_bits=2)
-    assert wide == narrow
+    order = sorted((hashlib.md5(f"42|0-{i}".encode()).hexdigest()[:15], f"0-{i}") for i in range(500))
+    got = boundaries(df, "id", 42, {None: [123, 0, 500, 1]}, bits=bits, ranked=ranked).collect()
+    assert {r["cut"]: (r["rank"], r["row_id"]) for r in got} == {c: (int(order[k - 1][0], 16), order[k - 1][1]) for c, k in ((0, 123), (2, 500), (3, 1))}
+
+
+def test_five_thousand_strata_split_exactly(spark):
+    df = spark.range(60_000).select(F.col("id").alias("row"), (F.col("id") * F.col("id") % 5_003).alias("y"))
+    counts = {r["y"]: r["count"] for r in df.groupBy("y").count().collect()}
+    got = sizes(stratified_split(df, "row", "y"))
+    for y, (train, val, test) in split_sizes(dict(sorted(counts.items(), key=lambda kv: str(kv[0])))).items():
+        assert [got.get((name, y), 0) for name in ("train", "val", "test")] == [train, val, test]
 
 
 @pytest.mark.parametrize("fraction,size", [(0.0, 0), (0.37, 148), (0.999, 399), (1.0, 400), (2.0, 400)])
@@ -82,6 +93,6 @@ def test_null_stratum_is_its_own(spark):
     assert sum(out.values()) == 20 and {y for _, y in out} == {0, None}
 
 
-def test_marking_needs_no_shuffle(spark):
+def test_marking_shuffles_no_row(spark):
     plan = stratified_split(labelled(spark, {0: 50, 1: 50}), "id", "y")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan

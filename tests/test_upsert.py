@@ -69,44 +69,90 @@ def test_store_upserts(spark, store):
 
 def test_store_empty_batch_is_no_version(spark, store):
     store.upsert(frame(spark, ("a", 1, "")))
-    before = store._live()
+    before = store.parts()
     store.upsert(frame(spark, ("a", 1, "")).limit(0))
-    store.insert_ignore(frame(spark, ("a", 5, "")))
-    assert store._live() == before and values(store.read()) == [("a", 1, "")]
+    store.insert_ignore(frame(spark, (None, 5, "")))
+    assert store.parts() == before and values(store.read()) == [("a", 1, "")]
 
 
-def test_store_rewrites_touched_buckets_only(spark, store):
+def files_of(df):
+    return sorted(df.inputFiles())
+
+
+def test_store_upsert_writes_the_batch_only(spark, store):
     store.upsert(frame(spark, *[(f"k{i}", i, "") for i in range(50)]))
+    before = files_of(store.read())
     store.upsert(frame(spark, ("k1", -1, "")))
-    versions = sorted(v for _, v in store._live())
-    assert versions == [1, 1, 1, 2]
+    added = set(files_of(store.read())) - set(before)
+    assert set(before) < set(files_of(store.read())) and len(added) == 1
+    assert spark.read.parquet(*added).count() == 1
 
 
 def test_store_insert_only_appends(spark, store):
     store.insert_ignore(frame(spark, *[(f"k{i}", i, "") for i in range(50)]))
     store.insert_ignore(frame(spark, ("k1", -1, "other"), ("new", 1, "")))
-    live = store._live()
-    assert len(live) == 5 and store.read().count() == 51
+    assert len(store.parts()) == 2 and store.read().count() == 51
     assert values(store.read().where("k = 'k1'")) == [("k1", 1, "")]
 
 
-def test_store_merges_crowded_buckets(spark, store, monkeypatch):
-    monkeypatch.setattr("mentidero.sources.store.MERGE_AT", 2)
-    store.buckets = 1
-    for i in range(4):
-        store.insert_ignore(frame(spark, (f"k{i}", i, "")))
-    assert len(store._live()) == 2 and store.read().count() == 4
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_unpublished_version_is_invisible(spark, store):
+def test_store_reads_and_compacts_without_a_shuffle(spark, store):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        store.upsert(frame(spark, *[(f"k{i}", i, "") for i in range(500)]), order=["v"])
+        for n in range(3):
+            store.upsert(frame(spark, *[(f"k{i}", i + n % 2, f"batch {n}") for i in range(0, 500, n + 2)]), order=["v"])
+        whole = values(store.read())
+        plan = plan_of(store.read())
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        store.compact()
+        assert len(store.parts()) == 1 and values(store.read()) == whole
+        assert "Join" not in plan_of(store.read()) and len(files_of(store.read())) == 4  # a file per bucket
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_store_kinds_of_batches_mix(spark, store):
+    """Which row stays is settled in the order of the batches."""
+    store.upsert(frame(spark, ("a", 5, "first"), ("b", 1, "first")))
+    store.insert_ignore(frame(spark, ("a", 9, "ignored"), ("c", 1, "new")))
+    store.upsert(frame(spark, ("a", 7, "newer"), ("b", 0, "older")), order=["v"])
+    store.upsert(frame(spark, ("a", 7, "newest"), ("b", None, "null is oldest")), order=["v"])
+    assert values(store.read()) == [("a", 7, "newest"), ("b", 1, "first"), ("c", 1, "new")]
+    store.upsert(frame(spark, ("b", None, "")))
+    assert values(store.read()) == [("a", 7, "newest"), ("b", None, ""), ("c", 1, "new")]
+
+
+def test_unpublished_part_is_invisible(spark, store):
     """What a run leaves behind when it dies between writing and publishing."""
     store.upsert(frame(spark, ("a", 1, "")))
-    store._write(frame(spark, ("a", 7, "half")).withColumn("kb", F.lit(0)), 2)
+    store._write(frame(spark, ("a", 7, "half")), "replace")
     assert values(store.read()) == [("a", 1, "")]
     store.upsert(frame(spark, ("a", 2, "")))
     assert values(store.read()) == [("a", 2, "")]
 
 
+def test_catalog_shows_the_newest_version_and_old_readers_go_on(spark, tmp_path):
+    schema = frame(spark, ("a", 1, "")).schema
+    spark.sql("CREATE DATABASE IF NOT EXISTS store_test")
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, "k", 4, "store_test.t")
+    table.publish_view()
+    assert spark.table("store_test.t").count() == 0
+    table.upsert(frame(spark, ("a", 1, ""), ("b", 2, "")))
+    old = spark.table("store_test.t")
+    table.upsert(frame(spark, ("a", 3, "")))
+    table.compact()
+    assert values(spark.table("store_test.t")) == [("a", 3, ""), ("b", 2, "")] and values(old) == [("a", 1, ""), ("b", 2, "")]
+    again = KeyedTable(spark.newSession(), str(tmp_path / "t"), schema, "k")  # another session, buckets from the list
+    assert values(again.read()) == [("a", 3, ""), ("b", 2, "")] and again.buckets == 4
+    spark.sql("DROP DATABASE store_test CASCADE")
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
 def test_parent_join_equals_plain_join(spark, threshold):
     left = spark.range(3000).select(
