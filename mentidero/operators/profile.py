@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from mentidero.operators.joins import parent_join
 from mentidero.operators.quantiles import exact_quantiles, exact_quantiles_by
+from mentidero.session import scratch_dir
+from mentidero.sources.lake import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
-LONG_VALUE = 64  # characters; longer values are counted by digest
+START = 64  # characters of a value that order ties before whole values are looked at
 
 
 def _rows(columns: Sequence[Column]) -> Column:
@@ -83,42 +85,34 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, distinct values, most frequent value and its count, per column.
+    """Count, distinct values, most frequent value (the smallest of several) and its count, per column.
 
-    Long values are counted under their digest, so whole texts never move; ties go to the smallest
-    key (the value, or the digest of a long one). A second scan fetches the winning values.
+    Values are counted by digest next to their first characters, so whole texts never move. A second scan looks
+    only at values that tie for the top and begin like the smallest of them.
     """
     texts = {c: F.col(c).cast("string") for c in columns}
-    keys = {c: F.when(F.length(t) > LONG_VALUE, F.md5(t)).otherwise(t) for c, t in texts.items()}
-    counted = (
-        df.select(*[k.alias(c) for c, k in keys.items()])
-        .unpivot([], list(columns), "column", "key")
-        .where(F.col("key").isNotNull())
-        .groupBy("column", "key")
-        .agg(F.count("*").alias("n"))
-    )
-    # Most frequent first, then the smallest key: the minimum of (-n, key).
-    top = F.min(F.struct((-F.col("n")).alias("neg"), "key")).alias("top")
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.md5(t).alias("key"), F.substring(t, 1, START).alias("start")) for c, t in texts.items()
+    ])))
+    counted = long.where(F.col("key").isNotNull()).groupBy("column", "key", "start").agg(F.count("*").alias("n"))
+    counted = materialize(counted, scratch_dir(df.sparkSession, "value-counts"))
+    # Most frequent first, then what begins smallest: the minimum of (-n, start).
+    top = F.min(F.struct((-F.col("n")).alias("neg"), "start")).alias("top")
     rows = counted.groupBy("column").agg(F.sum("n").alias("n"), F.count("*").alias("keys"), top).collect()
     found = {r["column"]: r for r in rows}  # one row per column
-    winners = df.agg(
-        *[F.min(F.when(keys[c] == F.lit(found[c]["top"]["key"]), texts[c])).alias(c) if c in found
-          else F.lit(None).cast("string").alias(c) for c in columns]
-    )
-    return winners.select(
-        _rows(
-            [
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(found[c]["n"] if c in found else 0).cast("bigint").alias("count"),
-                    F.lit(found[c]["keys"] if c in found else 0).cast("bigint").alias("unique"),
-                    F.col(c).alias("top"),
-                    F.lit(-found[c]["top"]["neg"] if c in found else None).cast("bigint").alias("freq"),
-                )
-                for c in columns
-            ]
-        )
-    )
+    leads = lambda c, start: F.lit(False) if c not in found else start == F.lit(found[c]["top"]["start"])
+    tied = F.lit(False)
+    for c in found:
+        tied = tied | ((F.col("column") == c) & (F.col("n") == -found[c]["top"]["neg"]) & leads(c, F.col("start")))
+    shown = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.when(leads(c, F.substring(t, 1, START)), t).alias("value")) for c, t in texts.items()
+    ]))).where(F.col("value").isNotNull())
+    winners = shown.withColumn("key", F.md5("value")).join(counted.where(tied).select("column", "key"), ["column", "key"])
+    winners = {r["column"]: r["value"] for r in winners.groupBy("column").agg(F.min("value").alias("value")).collect()}
+    out = [
+        (c, found[c]["n"], found[c]["keys"], winners[c], -found[c]["top"]["neg"]) if c in found else (c, 0, 0, None, None) for c in columns
+    ]
+    return df.sparkSession.createDataFrame(out, "column STRING, count BIGINT, unique BIGINT, top STRING, freq BIGINT")
 
 
 def rates(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:

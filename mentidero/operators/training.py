@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from mentidero.functions.vectors import as_doubles
 from mentidero.operators.evaluate import binary_metrics, evaluate_by_split
-from mentidero.operators.network import Network, fit_network
 from mentidero.operators.scaler import Scaler, fit_scaler
 
 # --- fixed values: the search space ---
@@ -67,20 +66,14 @@ def scaled_features(df: DataFrame, vector: str, train_split: str = "train") -> t
     return scaler.transform(df, vector, "scaled"), scaler
 
 
-def fit_trial(train: DataFrame, width: int, trial: Trial, seed: int = SEED) -> Network:
-    """ReLU, Adam and L2: every field of the trial acts."""
-    return fit_network(
-        train, width, trial.hidden, trial.alpha, trial.rate, trial.batch_size, trial.max_iter, seed
-    )
-
-
 def with_features(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector(as_doubles(F.col("scaled"))))
 
 
-def fit_mlp(train: DataFrame, width: int, trial: Trial, seed: int = SEED) -> PipelineModel:
-    """MLlib's network (sigmoid layer, l-bfgs, no penalty or step size) over `features`; gradients
-    are summed across tasks in every iteration."""
+def fit_trial(train: DataFrame, width: int, trial: Trial, seed: int = SEED) -> PipelineModel:
+    """MLlib's network with one hidden layer over `features`; gradients are summed across all tasks in every
+    iteration. `batch_size` is the rows of a block; MLlib's solver picks its own steps and has no penalty, so `rate`
+    and `alpha` are recorded but don't act."""
     mlp = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="label", layers=[width, trial.hidden, 2], maxIter=trial.max_iter,
         blockSize=trial.batch_size, seed=seed,
@@ -107,14 +100,14 @@ def predict(model: Transformer, df: DataFrame) -> DataFrame:
 def random_search(features: DataFrame, width: int, trials: list[Trial]) -> tuple[DataFrame, Trial]:
     """Fit every trial on train rows, score F1 on val rows; returns the trial table and the winner.
 
-    The driver holds the trial specifications and one number each; every epoch and every score is a
-    Spark job over the whole feature table, which should be persisted or written once.
+    `features` should be written once: every iteration and every score is a Spark job over it. The driver holds
+    the trial specifications, one fitted model and two numbers a trial.
     """
     train = features.where("split = 'train'")
     val = features.where("split = 'val'")
     rows = []
     for i, trial in enumerate(trials):
-        scored = binary_metrics(fit_trial(train, width, trial).score(val), "label", "prediction").first()
+        scored = binary_metrics(predict(fit_trial(train, width, trial), val), "label", "prediction").first()
         rows.append((i, trial.hidden, trial.alpha, trial.rate, trial.batch_size, trial.max_iter,
                      scored["accuracy"], scored["f1"]))
     best = max(rows, key=lambda r: (r[-1] if r[-1] is not None else -1.0, -r[0]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +24,15 @@ def build_bronze(spark: SparkSession, raw_root: str, bronze_root: str, batch_ts:
         if batch_ts is not None:
             raw = raw.where(F.col("batch_ts") == batch_ts)
         typed = to_bronze(raw, entity, keep=("batch_ts",))
-        write_bronze(typed, entity, f"{bronze_root}/{entity}")
+        write_bronze(typed, entity, f"{bronze_root}/{entity}", () if batch_ts is None else (batch_ts,))
     return list(BRONZE)
 
 
-def write_bronze(typed: DataFrame, entity: str, root: str) -> None:
+def write_bronze(typed: DataFrame, entity: str, root: str, batches: Sequence[str] = ()) -> None:
     if entity in CREATED_COLUMN:
-        write_by_date(typed, root, CREATED_COLUMN[entity])
+        write_by_date(typed, root, CREATED_COLUMN[entity], batches)
     else:
-        write_batch(typed, root)
+        write_batch(typed, root, batches)
 
 
 def read_bronze(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame:

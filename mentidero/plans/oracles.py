@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from mentidero.operators.training import draw_trials
+
 # --- the stand-ins of `standins`, as common table expressions ---
 
 EPOCH = "epoch_us(ts) / 1000000.0"
@@ -189,9 +191,8 @@ FROM x {by}"""
 def categorical(table: str, columns: dict[str, str]) -> str:
     long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {e} AS v FROM {table}" for c, e in columns.items())
     return f"""long AS ({long}),
-keyed AS (SELECT "column", v, CASE WHEN length(v) > 64 THEN md5(v) ELSE v END AS k FROM long WHERE v IS NOT NULL),
-counted AS (SELECT "column", k, any_value(v) AS v, count(*) AS n FROM keyed GROUP BY "column", k),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, k) AS place FROM counted)
+counted AS (SELECT "column", v, count(*) AS n FROM long WHERE v IS NOT NULL GROUP BY "column", v),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) AS place FROM counted)
 SELECT "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique", max(v) FILTER (WHERE place = 1) AS top,
        max(n) FILTER (WHERE place = 1) AS freq
 FROM ranked GROUP BY "column\""""
@@ -462,6 +463,47 @@ ORACLES: dict[str, str] = {
         WHEN 'MACHINERY' THEN 'neutral' ELSE 'unknown' END AS polarity FROM customer""",
     # streams
     "stream_bronze": f"WITH {POSTS} SELECT post_id, score, over_18, '20240131_0000' AS batch_ts, {YMD} FROM posts",
+    # jobs, store tables and catalog
+    "run_medallion": f"""WITH {COMMENTS} SELECT comment_id, post_id, author, score, is_submitter,
+        EXISTS (SELECT 1 FROM events e WHERE CAST(e.event_id AS VARCHAR) = c.post_id) AS has_post FROM comments c""",
+    "silver_tables": f"""WITH {POSTS}, {COMMENTS} SELECT 'dim_subreddit' AS name, count(*) AS n FROM supplier
+        UNION ALL SELECT 'fact_posts', count(*) FROM posts UNION ALL SELECT 'fact_comments', count(*) FROM comments
+        UNION ALL SELECT 'dim_author', count(*) FROM (SELECT author FROM posts WHERE author IS NOT NULL UNION SELECT author FROM comments WHERE author IS NOT NULL)
+        UNION ALL SELECT 'usersubs', 0 UNION ALL SELECT 'hot_sublists', 0""",
+    "catalog_scan": f"WITH {POSTS} SELECT post_id, upper(trim(replace(subreddit, chr(9), ''))) AS subreddit, author, score, num_comments, over_18 FROM posts",
+    "store_comments": f"WITH {COMMENTS} SELECT comment_id, post_id, author, score, is_submitter FROM comments",
+    "store_no_rows": """SELECT c_name AS subreddit, c_custkey AS subscribers, c_mktsegment AS description, c_acctbal AS created_utc,
+        c_acctbal < 0 AS over18, TRUE AS same_version FROM customer""",
+    "list_store_tables": f"""WITH {POSTS}, {COMMENTS} SELECT 'subreddits' AS name, count(*) AS n FROM supplier
+        UNION ALL SELECT 'posts', count(*) FROM posts UNION ALL SELECT 'comments', count(*) FROM comments
+        UNION ALL SELECT 'authors', count(*) FROM (SELECT author FROM posts WHERE author IS NOT NULL UNION SELECT author FROM comments WHERE author IS NOT NULL)""",
+    "profile_comments": f"""WITH {COMMENTS}, {LIVE}, dated AS (SELECT *, author IS NOT NULL AS has_author FROM comments),
+        f AS (SELECT *, length(body) AS text_len, contains(body, '!') AS has_exclamation, contains(body, '?') AS has_question FROM live),
+        probs AS (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99]::DOUBLE[]) AS p),
+        out AS (
+          SELECT 'null_profile' AS part, k AS name, v AS value FROM (
+            UNPIVOT (SELECT {", ".join(f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS {c}" for c in
+              ("comment_id", "post_id", "author", "body", "created_utc", "parent_id", "link_id", "score", "is_submitter", "has_author"))},
+              CAST(count(*) FILTER (WHERE created_utc IS NULL) AS DOUBLE) AS created_dt FROM dated) ON COLUMNS(*) INTO NAME k VALUE v)
+          UNION ALL SELECT 'tombstone_rates', 'deleted_rate', count(*) FILTER (WHERE body = '[deleted]') / count(*) FROM comments
+          UNION ALL SELECT 'tombstone_rates', 'removed_rate', count(*) FILTER (WHERE body = '[removed]') / count(*) FROM comments
+          UNION ALL SELECT 'mark_rates', 'has_exclamation', count(*) FILTER (WHERE has_exclamation) / count(*) FROM f
+          UNION ALL SELECT 'mark_rates', 'has_question', count(*) FILTER (WHERE has_question) / count(*) FROM f
+          UNION ALL SELECT 'score_quantiles', CAST(p AS VARCHAR), (SELECT quantile_cont(CAST(score AS DOUBLE), [0.01, 0.25, 0.5, 0.75, 0.99]) FROM f)[i] FROM (SELECT p, row_number() OVER (ORDER BY p) AS i FROM probs)
+          UNION ALL SELECT 'length_quartiles', CAST(p AS VARCHAR), (SELECT quantile_cont(CAST(text_len AS DOUBLE), [0.25, 0.5, 0.75]) FROM f)[i] FROM (SELECT p, row_number() OVER (ORDER BY p) AS i FROM probs WHERE p BETWEEN 0.25 AND 0.75)
+          UNION ALL SELECT 'describe_categorical', 'author', count(DISTINCT author) FROM comments
+          UNION ALL SELECT 'describe_categorical', 'body', count(DISTINCT body) FROM comments
+          UNION ALL SELECT 'describe_categorical', 'is_submitter', count(DISTINCT is_submitter) FROM comments
+          UNION ALL SELECT 'describe_categorical', 'has_author', count(DISTINCT has_author) FROM dated
+          UNION ALL SELECT 'score_by_exclamation', CAST(has_exclamation AS VARCHAR), quantile_cont(CAST(score AS DOUBLE), 0.5) FROM f GROUP BY has_exclamation
+          UNION ALL SELECT 'retention', 'total_rows', count(*) FROM comments
+          UNION ALL SELECT 'retention', 'kept_rows', count(*) FROM live)
+        SELECT part, name, round(value, 6) AS value FROM out""",
+    "network_train_score": f"""WITH labels AS (SELECT vec_id AS doc_id, CAST(label >= 5 AS INTEGER) AS quality, 0 AS toxic FROM embeddings), {SPLIT}
+        SELECT doc_id AS id, split, quality AS label, TRUE AS class_follows, TRUE AS is_probability FROM splits""",
+    "hpo_random_search": "SELECT *, TRUE AS is_scored, TRUE AS best_is_first FROM (VALUES "
+    + ", ".join(f"({i}, {t.hidden}, {t.alpha!r}::DOUBLE, {t.rate!r}::DOUBLE, {t.batch_size}, {t.max_iter})" for i, t in enumerate(draw_trials()))
+    + ") AS t(trial, hidden, alpha, rate, batch_size, max_iter)",
     "stream_dedupe": "SELECT CAST(event_id AS VARCHAR) AS post_id, event_type, value FROM events",
     "stream_upsert": f"""WITH r AS (SELECT 'user' || user_id AS author, CAST(event_id AS VARCHAR) AS post_id, value,
         row_number() OVER (PARTITION BY user_id ORDER BY {EPOCH} DESC, CAST(event_id AS VARCHAR) DESC) AS place FROM events)

@@ -7,28 +7,44 @@ from pyspark.sql import functions as F
 
 from mentidero.functions.text import TOMBSTONES, is_tombstone, text_features
 from mentidero.operators import profile
-from mentidero.operators.wrangle import drop_tombstones, fit_median, flag_comments, label
+from mentidero.operators.wrangle import fit_median, flag_comments, label
+from mentidero.session import scratch_dir
+from mentidero.sources.lake import materialize
 
 SCORE_PROBS = (0.01, 0.25, 0.50, 0.75, 0.99)
 NEGATIVE_EXAMPLE, POSITIVE_EXAMPLE = 0, 110
 
 
-def profile_comments(comments: DataFrame, bins: int = 50) -> dict[str, DataFrame]:
-    """Named result tables; each is small, none is computed before it is used (quantiles excepted)."""
-    flagged = flag_comments(comments)
+def narrow_comments(comments: DataFrame) -> DataFrame:
+    """What the profile counts of each comment, written once: the body as its digest and its features."""
     body = F.col("body")
-    clean = drop_tombstones(flagged).withColumns(text_features(F.col("body")))
+    kept = F.coalesce(~is_tombstone(body), F.lit(False))
+    flagged = flag_comments(comments).withColumns({**text_features(body), "is_kept": kept})
+    flagged = flagged.withColumns({"is_deleted": body == TOMBSTONES[0], "is_removed": body == TOMBSTONES[1], "body": F.md5(body)})
+    return materialize(flagged, scratch_dir(comments.sparkSession, "comment-features"))
+
+
+def profile_comments(comments: DataFrame, bins: int = 50) -> dict[str, DataFrame]:
+    """Named result tables, each small. The bodies are read once for all statistics, and again only where whole
+    values are shown."""
+    written = narrow_comments(comments)
+    flagged = written.select(*comments.columns, "has_author", "created_dt")
+    clean = written.where("is_kept")
     numeric = ["score", "text_len", "word_count"]
     bucketed = profile.quartile_bucket(clean, "text_len", "len_bucket")
     labelled = label(clean, fit_median(clean, "score"), "score")
+
+    def shown(row: DataFrame) -> DataFrame:
+        return comments.join(row.select("comment_id").limit(1), "comment_id").select("score", "body")
+
     return {
         "null_profile": profile.null_profile(flagged),
         "column_info": profile.column_info(flagged),
-        "describe_categorical": profile.describe_categorical(flagged, ["author", "body", "is_submitter", "has_author"]),
+        "describe_categorical": profile.describe_categorical(flag_comments(comments), ["author", "body", "is_submitter", "has_author"]),
         "tombstone_rates": profile.rates(
-            flagged, {"deleted_rate": body == TOMBSTONES[0], "removed_rate": body == TOMBSTONES[1]}
+            written, {"deleted_rate": F.col("is_deleted"), "removed_rate": F.col("is_removed")}
         ),
-        "retention": profile.retention(flagged, body.isNotNull() & ~is_tombstone(body)),
+        "retention": profile.retention(written, F.col("is_kept")),
         "duplicates": profile.duplicate_keys(flagged, ["comment_id"]),
         "score_quantiles": profile.quantile_table(clean, {"score": SCORE_PROBS}),
         "score_histogram": profile.histogram(clean, "score", bins),
@@ -43,12 +59,8 @@ def profile_comments(comments: DataFrame, bins: int = 50) -> dict[str, DataFrame
         "score_by_length": profile.box_stats_by(bucketed, "len_bucket", "score"),
         "correlations": profile.corr_matrix(clean, numeric),
         "length_quartiles": profile.quantile_table(clean, {"text_len": profile.QUARTILES}),
-        "negative_example": profile.kth_row(
-            labelled.where("sentiment = 0"), [F.asc("score"), F.asc("comment_id")], NEGATIVE_EXAMPLE
-        ).select("score", "body"),
-        "positive_example": profile.kth_row(
-            labelled.where("sentiment = 1"), [F.desc("score"), F.asc("comment_id")], POSITIVE_EXAMPLE
-        ).select("score", "body"),
+        "negative_example": shown(profile.kth_row(labelled.where("sentiment = 0"), [F.asc("score"), F.asc("comment_id")], NEGATIVE_EXAMPLE)),
+        "positive_example": shown(profile.kth_row(labelled.where("sentiment = 1"), [F.desc("score"), F.asc("comment_id")], POSITIVE_EXAMPLE)),
     }
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ from mentidero.operators import (
     wrangle,
 )
 from mentidero.operators.bronze import to_bronze
+from mentidero.plans import medallion, profiling
 from mentidero.plans import standins as si
 from mentidero.plans.medallion import discover as discover_job
 from mentidero.plans.medallion import write_bronze
@@ -30,7 +34,7 @@ from mentidero.plans.train_compare import summary
 from mentidero.plans.training_set import wrangle_training_set as training_set_job
 from mentidero.schemas import bronze_schema, raw_schema
 from mentidero.session import scratch_dir
-from mentidero.sources import lake, ndjson
+from mentidero.sources import lake, ndjson, store
 from mentidero.sources.store import KeyedTable
 from mentidero.streaming import incremental
 
@@ -577,6 +581,106 @@ def store_insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     return table.read()
 
 
+# --- jobs, store tables and catalog ---------------------------------------------------------------
+
+
+def _database(purpose: str) -> str:
+    """A catalog database of this run alone."""
+    return f"{purpose}_{uuid.uuid4().hex[:12]}"
+
+
+def _medallion(spark: SparkSession, d: str, database: str | None = None) -> tuple[str, dict[str, str]]:
+    """Landed NDJSON of three entities through bronze to silver and the store."""
+    path = scratch_dir(spark, "medallion")
+    for entity, rows in (("posts", si.raw_posts), ("comments", si.raw_comments), ("subreddits", si.raw_subreddits)):
+        ndjson.write_raw(rows(spark, d), f"{path}/raw/{entity}", si.BATCH)
+    return path, medallion.run_medallion(spark, f"{path}/raw", path, si.BATCH, buckets=8, database=database)
+
+
+@query
+def run_medallion(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job; comments as the catalog shows them, next to the fact table's reference flag."""
+    database = _database("medallion")
+    _, paths = _medallion(spark, d, database)
+    flags = spark.read.parquet(paths["fact_comments"]).select("comment_id", "has_post")
+    stored = spark.table(f"{database}.comments").select("comment_id", "post_id", "author", "score", "is_submitter")
+    return stored.join(flags, "comment_id")
+
+
+@query
+def silver_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the four silver tables, and of bronze entities that never landed."""
+    path, paths = _medallion(spark, d)
+    counts = [spark.read.parquet(p).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, p in paths.items()]
+    for entity in ("usersubs", "hot_sublists"):
+        rows = medallion.read_bronze(spark, f"{path}/bronze", entity)
+        counts.append(rows.agg(F.count("*").alias("n")).select(F.lit(entity).alias("name"), "n"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def catalog_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Posts upserted in two batches, read through the catalog, before and after the parts are merged."""
+    database, root = _database("catalog"), scratch_dir(spark, "catalog")
+    store.ensure_tables(spark, database, root)
+    posts = silver.normalize_posts(si.posts(spark, d))
+    table = store.store_table(spark, root, "posts", 8, database)
+    table.upsert(posts.withColumn("score", F.lit(-1).cast("bigint")))
+    table.upsert(posts)
+    before = spark.table(f"{database}.posts")
+    table.compact()
+    after = spark.table(f"{database}.posts")
+    return after.intersect(before).select("post_id", "subreddit", "author", "score", "num_comments", "over_18")
+
+
+@query
+def store_comments(spark: SparkSession, d: str) -> DataFrame:
+    """Comments into their store table: the newer of two versions of a row stays, whichever came first."""
+    comments = silver.normalize_comments(si.comments(spark, d))
+    table = store.store_table(spark, scratch_dir(spark, "comments"), "comments", 8)
+    table.upsert(comments, order=["created_utc"])
+    older = comments.withColumns({"created_utc": F.col("created_utc") - 1, "author": F.lit("old")})
+    table.upsert(older, order=["created_utc"])
+    return table.read().select("comment_id", "post_id", "author", "score", "is_submitter")
+
+
+@query
+def store_no_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Batches without a usable row are no version."""
+    target, incoming = _accounts(spark, d)
+    table = KeyedTable(spark, scratch_dir(spark, "store"), target.schema, "subreddit", buckets=8)
+    table.upsert(target)
+    parts = table.parts()
+    table.upsert(incoming.where("subscribers < 0"))
+    table.insert_ignore(incoming.withColumn("subreddit", F.lit(None).cast("string")))
+    return table.read().withColumn("same_version", F.lit(table.parts() == parts))
+
+
+@query
+def list_store_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The store's tables in the catalog with the rows they show."""
+    database = _database("listed")
+    _medallion(spark, d, database)
+    names = [r["tableName"] for r in store.list_tables(spark, database).collect()]
+    counts = [spark.table(f"{database}.{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def profile_comments(spark: SparkSession, d: str) -> DataFrame:
+    """The profile job; its tables of shares, cuts and counts in one long table."""
+    out = profiling.profile_comments(si.comments(spark, d))
+    long = lambda name, key, value: out[name].select(F.lit(name).alias("part"), F.col(key).cast("string").alias("name"), F.col(value).cast("double").alias("value"))
+    retained = out["retention"].unpivot([], ["total_rows", "kept_rows"], "name", "value")
+    parts = [
+        long("null_profile", "column", "nulls"), long("tombstone_rates", "feature", "proportion"), long("mark_rates", "feature", "proportion"),
+        long("score_quantiles", "prob", "value"), long("length_quartiles", "prob", "value"), long("describe_categorical", "column", "unique"),
+        long("score_by_exclamation", "has_exclamation", "median"),
+        retained.select(F.lit("retention").alias("part"), "name", F.col("value").cast("double").alias("value")),
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts), "value")
+
+
 # --- discovery, listings, search ------------------------------------------------------------------
 
 
@@ -877,43 +981,53 @@ def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
     )
     split = sampling.stratified_split(e, "id", "label")
     features, fitted = training.scaled_features(split, "embedding")
-    written = lake.materialize(features.drop("embedding"), scratch_dir(spark, "features"))
-    return written, len(fitted.mean)
+    features = training.with_features(features).drop("embedding", "scaled")
+    return lake.materialize(features, scratch_dir(spark, "features")), len(fitted.mean)
 
 
-@query
-def network_train_score(spark: SparkSession, d: str) -> DataFrame:
-    """Scale, fit the ReLU network with Adam on train rows, score all rows."""
-    features, width = _features(spark, d)
-    trial = training.Trial(hidden=128, alpha=3e-4, rate=1e-3, batch_size=256, max_iter=10)
-    model = training.fit_trial(features.where("split = 'train'"), width, trial)
-    return model.score(features).select("id", "split", "label", "prediction", "p_positive")
+TRIAL = training.Trial(hidden=128, alpha=1e-2, rate=1e-3, batch_size=256, max_iter=10)
 
 
 @query
 def mlp_train_score(spark: SparkSession, d: str) -> DataFrame:
-    """The same with MLlib's network."""
+    """Scale, fit MLlib's network on train rows, score all rows."""
     features, width = _features(spark, d)
-    features = training.with_features(features)
-    trial = training.Trial(hidden=128, alpha=0.0, rate=0.0, batch_size=256, max_iter=10)
-    model = training.fit_mlp(features.where("split = 'train'"), width, trial)
+    model = training.fit_trial(features.where("split = 'train'"), width, TRIAL)
     return training.predict(model, features).select("id", "split", "label", "prediction", "p_positive")
 
 
+@query
+def network_train_score(spark: SparkSession, d: str) -> DataFrame:
+    """The same through a saved and loaded model: every row keeps its place, its class follows from its probability."""
+    features, width = _features(spark, d)
+    path = scratch_dir(spark, "model")
+    training.fit_trial(features.where("split = 'train'"), width, TRIAL).write().save(path)
+    scored = training.predict(PipelineModel.load(path), features)
+    p = F.col("p_positive")
+    return scored.select(
+        "id", "split", "label", ((p >= 0.5) == (F.col("prediction") == 1)).alias("class_follows"), p.between(0, 1).alias("is_probability")
+    )
+
+
 @query
 def linear_train_score(spark: SparkSession, d: str) -> DataFrame:
     features, _ = _features(spark, d)
-    features = training.with_features(features)
-    trial = training.Trial(hidden=0, alpha=1e-2, rate=0.0, batch_size=0, max_iter=10)
-    model = training.fit_linear(features.where("split = 'train'"), trial)
+    model = training.fit_linear(features.where("split = 'train'"), TRIAL)
     return training.predict(model, features).select("id", "split", "label", "prediction", "p_positive")
 
 
 @query
 def hpo_random_search(spark: SparkSession, d: str) -> DataFrame:
+    """All trials over one written table; which is best, by F1 on the val rows, then by number."""
     features, width = _features(spark, d)
-    table, _ = training.random_search(features, width, training.draw_trials(3))
-    return table
+    trials = training.draw_trials()
+    table, best = training.random_search(features, width, trials)
+    bounded = F.col("val_f1").between(0, 1) & F.col("val_accuracy").between(0, 1)
+    first = table.orderBy(F.desc("val_f1"), "trial").limit(1).first()["trial"]
+    return table.select(
+        "trial", "hidden", "alpha", "rate", "batch_size", "max_iter", bounded.alias("is_scored"),
+        F.lit(trials.index(best) == first).alias("best_is_first"),
+    )
 
 
 # --- streams --------------------------------------------------------------------------------------
@@ -946,10 +1060,10 @@ def _event_stream(spark: SparkSession, d: str, times: int = 1) -> DataFrame:
 @query
 def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "stream-dedupe")
-    run = incremental.stream_dedupe(_event_stream(spark, d, 2), "post_id", f"{path}/out", f"{path}/checkpoint")
-    run.awaitTermination()
-    schema = "post_id STRING, event_type STRING, user_id BIGINT, value DOUBLE, created_utc DOUBLE"
-    return spark.read.schema(schema).parquet(f"{path}/out").select("post_id", "event_type", "value")
+    rows = _event_stream(spark, d, 2)
+    for run in ("first", "again"):  # the second starts without a checkpoint: every key comes again, beyond any span
+        incremental.stream_dedupe(rows, "post_id", f"{path}/out", f"{path}/{run}", "10 minutes").awaitTermination()
+    return incremental.read_deduped(spark, f"{path}/out", rows.schema).select("post_id", "event_type", "value")
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,6 @@ from mentidero.functions.labels import binary_from_logits
 from mentidero.operators import training
 from mentidero.operators.embed import DIMENSIONS, apply_encoder, embed_texts, fit_encoder, save_embeddings
 from mentidero.operators.evaluate import SPLITS, REGISTERED_MODEL, champion, model_compare, model_enrich
-from mentidero.operators.network import Network
 from mentidero.operators.sampling import sample_exact
 from mentidero.operators.scaler import Scaler
 from mentidero.operators.scoring import CLASSIFIERS
@@ -29,7 +29,7 @@ class Comparison:
     comparison: DataFrame  # with notes, gaps and the overfitting hint, best first
     trials: DataFrame
     summary: DataFrame  # one row
-    model: Network
+    model: PipelineModel
     scaler: Scaler
     model_path: str
 
@@ -71,12 +71,13 @@ def train_and_compare(
     save_embeddings(vectors, f"{out_root}/embeddings", encoder_name, now)
 
     features, scaler = training.scaled_features(vectors.drop("clean_text"), "embedding")
-    features = materialize(features.drop("embedding"), f"{out_root}/features")  # read by every trial
+    features = training.with_features(features).drop("embedding", "scaled")
+    features = materialize(features, f"{out_root}/features")  # read by every trial
     width = len(scaler.mean)
     table, best = training.random_search(features, width, training.draw_trials(trials))
     model = training.fit_trial(features.where("split = 'train'"), width, best)
     held_out = F.col("split").isin(*SPLITS)
-    predicted = model.score(features.where(held_out)).select(
+    predicted = training.predict(model, features.where(held_out)).select(
         F.lit(REGISTERED_MODEL).alias("model_key"), "split", "label", "prediction"
     )
     for key, logits in (classifiers or {}).items():
@@ -89,7 +90,7 @@ def train_and_compare(
     spark = results.sparkSession
     stamp = spark.range(1).select(artifact_stamp(now)).first()[0]
     path = f"{out_root}/models/{REGISTERED_MODEL}_{stamp}"
-    model.save(spark, f"{path}/network")
+    model.write().overwrite().save(f"{path}/network")
     scaler.save(spark, f"{path}/scaler")
     versions = spark.createDataFrame([("1",)], "version STRING")
     return Comparison(

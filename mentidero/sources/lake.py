@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,9 @@ def with_date_parts(df: DataFrame, created_column: str) -> DataFrame:
     return df.withColumns(date_parts(F.col(created_column)))
 
 
-def write_by_date(df: DataFrame, root: str, created_column: str) -> None:
-    """Replace the whole slices of the batches in `df` of a table laid out by batch and calendar day: a day
-    that a batch no longer has goes too.
+def write_by_date(df: DataFrame, root: str, created_column: str, batches: Sequence[str] = ()) -> None:
+    """Replace the whole slices of the batches in `df`, and of `batches`, of a table laid out by batch and calendar
+    day: a day that a batch no longer has goes too, and so does all of a named batch that has no rows any more.
 
     The day parts come from the numeric creation time; rows without one land in the default folder.
 
@@ -28,26 +28,33 @@ def write_by_date(df: DataFrame, root: str, created_column: str) -> None:
     that is too large for one task; a day holding a third of the batch stays parallel.
     """
     dated = with_date_parts(df, created_column)
-    for row in df.select("batch_ts").distinct().collect():  # one per landed batch
+    for batch in _batches(df, batches):
         (
-            dated.where(F.col("batch_ts").eqNullSafe(F.lit(row.batch_ts)))
+            dated.where(F.col("batch_ts").eqNullSafe(F.lit(batch)))
             .drop("batch_ts")
             .hint("rebalance", *DATE_COLUMNS)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(*DATE_COLUMNS)
-            .parquet(f"{root}/batch_ts={row.batch_ts}")
+            .parquet(f"{root}/batch_ts={batch}")
         )
 
 
-def write_batch(df: DataFrame, root: str) -> None:
-    """Replace the slices of the batches in `df` of a table without a calendar layout."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_ts")
-        .parquet(root)
-    )
+def write_batch(df: DataFrame, root: str, batches: Sequence[str] = ()) -> None:
+    """Replace the slices of the batches in `df`, and of `batches`, of a table without a calendar layout."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_ts").parquet(root)
+    if batches:
+        landed = {r.batch_ts for r in df.where(F.col("batch_ts").isin(list(batches))).select("batch_ts").distinct().collect()}
+        for gone in sorted(set(batches) - landed):
+            none = df.drop("batch_ts").limit(0)
+            none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/batch_ts={gone}")
+
+
+def _batches(df: DataFrame, named: Sequence[str]) -> list[str]:
+    """One per landed batch. A single named batch is known to be all there is, so its rows aren't read for it."""
+    if len(named) == 1:
+        return list(named)
+    return sorted({*named, *(r.batch_ts for r in df.select("batch_ts").distinct().collect())}, key=str)
 
 
 def read_batches(spark: SparkSession, root: str, schema: StructType, dated: bool = False) -> DataFrame:

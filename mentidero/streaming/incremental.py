@@ -12,11 +12,12 @@ from pyspark.sql.types import StructType
 
 from mentidero.operators.bronze import to_bronze
 from mentidero.schemas import CREATED_COLUMN
-from mentidero.sources.lake import DATE_COLUMNS, with_date_parts
+from mentidero.sources.lake import DATE_COLUMNS, or_empty, with_date_parts
 from mentidero.sources.ndjson import read_raw
 from mentidero.sources.store import KeyedTable
 
-REPLAY_SPAN = "60 days"  # how far apart two copies of a row may arrive
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # keys on disk, not on the heap
 
 
 def raw_stream(spark: SparkSession, path: str, entity: str) -> DataFrame:
@@ -64,16 +65,39 @@ def stream_upsert(rows: DataFrame, table: KeyedTable, checkpoint: str, order: li
     )
 
 
-def dedupe_stream(rows: DataFrame, key: str, span: str = REPLAY_SPAN) -> DataFrame:
+def dedupe_stream(rows: DataFrame, key: str, span: str) -> DataFrame:
     """Drop repeats of a key that arrive within `span`. State is one small entry per key, freed after
-    the span. The watermark runs on arrival time, so no row is ever late, however old its content;
-    repeats beyond the span are left to the upsert, the final authority."""
+    the span. The watermark runs on arrival time, so no row is ever late, however old its content."""
     timed = rows.withColumn("_arrival", F.current_timestamp())
     return timed.withWatermark("_arrival", span).dropDuplicatesWithinWatermark([key]).drop("_arrival")
 
 
-def stream_dedupe(rows: DataFrame, key: str, out: str, checkpoint: str) -> StreamingQuery:
-    return _append(dedupe_stream(rows, key), out, checkpoint)
+def stream_dedupe(rows: DataFrame, key: str, out: str, checkpoint: str, span: str) -> StreamingQuery:
+    """The first row of every key. Repeats within `span` meet the keys in state (RocksDB); later ones meet the
+    stored keys, read as one column. Each micro-batch owns a folder of `out`, so one that runs again replaces
+    what it wrote; the folder's name holds the query's id, which a lost checkpoint changes."""
+    spark, schema = rows.sparkSession, rows.schema
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = f"{query_id}-{batch_id}"
+        known = read_deduped(batch.sparkSession, out, schema, keep=("piece",)).where(F.col("piece") != own)
+        known = known.select(F.col(key).alias("_known"))
+        new = batch.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/piece={own}")
+
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:  # a query keeps the provider with which it started
+        writer = dedupe_stream(rows, key, span).writeStream.foreachBatch(append)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def read_deduped(spark: SparkSession, out: str, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    full = StructType(schema.fields + StructType.fromDDL("piece STRING").fields)
+    return or_empty(lambda: spark.read.schema(full).parquet(out), spark, full).select(*schema.fieldNames(), *keep)
 
 
 def stream_score(rows: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:

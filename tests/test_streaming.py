@@ -51,10 +51,10 @@ def test_dedupe_stream_over_overlapping_files(spark, tmp_path):
     raw = f"{tmp_path}/raw"
     write_lines(f"{raw}/a.ndjson", [comment(i, "p", "x") for i in range(30)])
 
-    def run():
+    def run(checkpoint="ck"):
         rows = to_bronze(inc.raw_stream(spark, raw, "comments"), "comments")
-        inc.stream_dedupe(rows, "comment_id", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
-        return spark.read.schema(bronze_schema("comments")).parquet(f"{tmp_path}/out")
+        inc.stream_dedupe(rows, "comment_id", f"{tmp_path}/out", f"{tmp_path}/{checkpoint}", "1 hour").awaitTermination()
+        return inc.read_deduped(spark, f"{tmp_path}/out", bronze_schema("comments"))
 
     assert run().count() == 30
     # Repeats, rows years older than those seen, and a row without a time.
@@ -63,6 +63,9 @@ def test_dedupe_stream_over_overlapping_files(spark, tmp_path):
     out = run()
     batch = dedupe_latest(to_bronze(read_raw(spark, raw, "comments"), "comments"), "comment_id")
     assert values(out) == values(batch.select(*out.columns)) and out.count() == 47
+    # A stream without state of them: all keys are older than its span and known from the table alone.
+    write_lines(f"{raw}/c.ndjson", [comment(200, "p", "new")])
+    assert run("other").count() == 48
 
 
 def test_score_stream_equals_batch(spark, tmp_path):

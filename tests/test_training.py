@@ -1,10 +1,9 @@
 import numpy as np
-import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from mentidero.operators import embed, scoring, training
 from mentidero.operators.evaluate import binary_metrics, champion, model_compare, unpivot_metrics
-from mentidero.operators.network import Network, fit_network, load_network, workers_for
 from mentidero.operators.scaler import fit_scaler, load_scaler, scaler_stats
 from mentidero.plans.train_compare import train_and_compare
 from mentidero.plans.training_set import build_training_set
@@ -39,45 +38,21 @@ def test_scaler_round_trip(spark, tmp_path):
     assert load_scaler(spark, str(tmp_path / "s")) == scaler
 
 
-def test_network_gradient_matches_finite_differences():
-    rng = np.random.default_rng(1)
-    net = Network(3, 4, rng.normal(size=3 * 4 + 4 + 4 + 1))
-    x, y, alpha = rng.normal(size=(7, 3)), rng.integers(0, 2, 7).astype(float), 0.3
-    grad, _ = net.gradient(x, y, alpha)
-
-    def loss(theta):
-        return Network(3, 4, theta).gradient(x, y, alpha)[1] / len(y)
-
-    for i in range(len(net.theta)):
-        step = np.zeros_like(net.theta)
-        step[i] = 1e-6
-        assert np.isclose(grad[i], (loss(net.theta + step) - loss(net.theta - step)) / 2e-6, atol=1e-5)
-
-
-@pytest.mark.parametrize("workers", [1, 3])
-def test_network_learns_a_curved_border(spark, workers, tmp_path):
-    df, x, y = vectors(spark, 900)
-    features, _ = training.scaled_features(df, "embedding")
-    net = fit_network(features.where("split = 'train'"), 6, 32, 1e-4, 5e-3, 32, 20, workers=workers)
-    scored = net.score(features)
-    test = binary_metrics(scored.where("split = 'test'"), "label", "prediction").first()
-    assert test["accuracy"] > 0.8
-    net.save(spark, str(tmp_path / "n"))
-    again = load_network(spark, str(tmp_path / "n"))
-    assert np.array_equal(again.theta, net.theta)
-    same = fit_network(features.where("split = 'train'"), 6, 32, 1e-4, 5e-3, 32, 20, workers=workers)
-    assert np.allclose(same.theta, net.theta)
-
-
-def test_network_with_more_workers_than_rows_and_no_rows(spark):
-    df, _, _ = vectors(spark, 10)
+def features_of(df):
     features, _ = training.scaled_features(df, "embedding")
-    assert fit_network(features, 6, 4, 0.1, 1e-3, 64, 2, workers=16).theta.shape == (6 * 4 + 4 + 4 + 1,)
-    assert fit_network(features.limit(0), 6, 4, 0.1, 1e-3, 64, 2).theta.shape == (6 * 4 + 4 + 4 + 1,)
+    return training.with_features(features)
 
 
-def test_workers_grow_with_rows():
-    assert [workers_for(n) for n in (0, 10_000, 500_000, 10**12)] == [1, 1, 10, 256]
+def test_network_learns_a_curved_border_and_loads_as_saved(spark, tmp_path):
+    df, _, _ = vectors(spark, 900)
+    features = features_of(df).repartition(4)
+    model = training.fit_trial(features.where("split = 'train'"), 6, training.Trial(32, 1e-4, 5e-3, 64, 80))
+    scored = training.predict(model, features)
+    assert binary_metrics(scored.where("split = 'test'"), "label", "prediction").first()["accuracy"] > 0.8
+    model.write().save(str(tmp_path / "n"))
+    again = training.predict(PipelineModel.load(str(tmp_path / "n")), features)
+    assert scored.select("id", "p_positive").exceptAll(again.select("id", "p_positive")).count() == 0
+    assert scored.where("prediction <> CAST(p_positive >= 0.5 AS INT)").count() == 0
 
 
 def test_trials_are_seeded_and_in_range():
@@ -88,9 +63,8 @@ def test_trials_are_seeded_and_in_range():
 
 def test_search_returns_the_best_val_f1(spark):
     df, _, _ = vectors(spark, 300)
-    features, _ = training.scaled_features(df, "embedding")
     trials = [training.Trial(8, 1e-4, 1e-4, 64, 1), training.Trial(32, 1e-4, 5e-3, 16, 15)]
-    table, best = training.random_search(features.persist(), 6, trials)
+    table, best = training.random_search(features_of(df).persist(), 6, trials)
     rows = sorted(table.collect(), key=lambda r: -r["val_f1"])
     assert trials[rows[0]["trial"]] == best
 
@@ -198,4 +172,5 @@ def test_whole_flow(spark, tmp_path):
     assert out.summary.first()["best_model_key"] in results
     meta = spark.read.json(str(tmp_path / "run/embeddings/metadata"))
     assert {r["split"]: (r["n"], r["dim"]) for r in meta.collect()} == {"train": (84, 32), "val": (18, 32), "test": (18, 32)}
-    assert np.array_equal(load_network(spark, f"{out.model_path}/network").theta, out.model.theta)
+    loaded = PipelineModel.load(f"{out.model_path}/network").stages[0]
+    assert np.array_equal(loaded.weights.toArray(), out.model.stages[0].weights.toArray())

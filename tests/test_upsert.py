@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from mentidero.operators.joins import parent_join
 from mentidero.operators.silver import dedupe_latest, orphans, with_reference_flag
 from mentidero.operators.upsert import insert_ignore, one_per_key, replace_rows, split_rejects
-from mentidero.sources.lake import write_by_date
+from mentidero.sources.lake import write_batch, write_by_date
 from mentidero.sources.store import KeyedTable
 
 SCHEMA = "k STRING, v INT, w STRING"
@@ -204,3 +204,12 @@ def test_a_smaller_batch_replaces_the_whole_slice(spark, tmp_path):
     write_by_date(df, root, "created_utc")
     write_by_date(df.where("k = 'x'"), root, "created_utc")
     assert sorted(r.k for r in spark.read.parquet(root).collect()) == ["x", "z"]
+
+
+def test_an_empty_run_of_a_batch_leaves_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([("b1", "x", 0.0), ("b2", "z", 0.0)], "batch_ts STRING, k STRING, created_utc DOUBLE")
+    for write, root in ((lambda d, r, b=(): write_by_date(d, r, "created_utc", b), "dated"), (write_batch, "plain")):
+        path = str(tmp_path / root)
+        write(df, path)
+        write(df.limit(0), path, ["b1"])
+        assert [r.k for r in spark.read.schema("k STRING, batch_ts STRING").parquet(path).collect()] == ["z"]
