@@ -18,7 +18,6 @@ TIME_FILTERS = {
     "all": None,
 }
 # --- end of fixed values ---
-LOCAL_TOP = 1000  # up to here Spark keeps the top rows of a group inside each task before the shuffle
 
 
 def sample_limit(limit: int) -> int:
@@ -64,18 +63,21 @@ def within(df: DataFrame, ts: str, time_filter: str, now: Column) -> DataFrame:
     return df if span is None else df.where(F.col(ts) >= now - F.expr(span))
 
 
-def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int, salts: int = 32) -> DataFrame:
-    """First k rows of each group. Each task keeps only k rows per group before the shuffle; for a
-    large k, groups are first cut in `salts` pieces so that no task ranks a whole group."""
+def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int) -> DataFrame:
+    """First k rows of each group. Each task keeps only its first k rows of a group before the shuffle (the
+    session's window group limit, which `build_session` leaves open for any k)."""
     place = "_place"
-    if k >= LOCAL_TOP:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-        local = Window.partitionBy(group, spread).orderBy(*order)
-        df = df.withColumn(place, F.row_number().over(local)).where(F.col(place) <= k).drop(place)
     ranked = df.withColumn(place, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
     return ranked.where(F.col(place) <= k).withColumnRenamed(place, "place")
 
 
+def top_posts_of(posts: DataFrame, communities: DataFrame, k: int, ts: str, time_filter: str, now: Column, position: Column) -> DataFrame:
+    """The k best posts of each of the named communities within a span, with their `place`."""
+    names = communities.select("subreddit").distinct()
+    wanted = within(posts, ts, time_filter, now).join(names, "subreddit", "left_semi")
+    return top_per_group(wanted, "subreddit", [F.desc("score"), position], k)
+
+
 def search_posts(posts: DataFrame, query: str, limit: int, texts: Sequence[str], order: Sequence[Column],
                  subreddit: str = "all") -> DataFrame:
     """Posts that contain every term of the query in one of the text columns."""

@@ -23,12 +23,13 @@ from mentidero.schemas import MODELLING
 # --- fixed values ---
 SCORE_TAILS = (0.01, 0.99)
 LENGTH_TAIL = 0.99
+NULL_TEXT = "None"
 MODEL_COLUMNS = [c.split()[0] for c in MODELLING.split(", ")]
 # --- end of fixed values ---
 
 
-def drop_tombstones(df: DataFrame, null_text: str | None = None) -> DataFrame:
-    """Drop removed bodies, and null ones unless `null_text` says which text stands for them."""
+def drop_tombstones(df: DataFrame, null_text: str | None = NULL_TEXT) -> DataFrame:
+    """Drop removed bodies. A null body is the text `null_text`; without one it is dropped, too."""
     if null_text is not None:
         df = df.withColumn("body", F.coalesce(F.col("body"), F.lit(null_text)))
     return df.where(F.col("body").isNotNull() & ~is_tombstone(F.col("body")))
@@ -38,7 +39,7 @@ def flag_comments(df: DataFrame) -> DataFrame:
     return df.withColumns({"has_author": F.col("author").isNotNull(), "created_dt": epoch_to_ts(F.col("created_utc"))})
 
 
-def wrangle_features(comments: DataFrame, null_text: str | None = None) -> DataFrame:
+def wrangle_features(comments: DataFrame, null_text: str | None = NULL_TEXT) -> DataFrame:
     """Flags, NFKC text, length and punctuation features; texts of 2 characters or less go."""
     kept = drop_tombstones(flag_comments(comments), null_text)
     normal = compute_once(kept, "body", nfkc(F.col("body")))

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentidero.functions.clock import epoch_to_ts
+from mentidero.functions.keys import normalize_key
 from mentidero.operators import silver
 from mentidero.operators.bronze import to_bronze
-from mentidero.operators.discover import discover_ranked, hot_list, within
-from mentidero.schemas import BRONZE, CREATED_COLUMN, bronze_schema
-from mentidero.sources.lake import read_batches, write_batch, write_by_date, write_version
-from mentidero.sources.ndjson import read_raw_batches, with_scan_order
+from mentidero.operators.discover import discover_popular, discover_ranked, hot_list, top_posts_of, within
+from mentidero.schemas import BRONZE, CREATED_COLUMN, bronze_schema, raw_text_schema
+from mentidero.session import scratch_dir
+from mentidero.sources.lake import materialize, read_batches, write_batch, write_by_date, write_version
+from mentidero.sources.ndjson import read_raw_batches, with_scan_order, write_raw
 from mentidero.sources.store import KeyedTable, ensure_tables, store_table
 
 
@@ -106,3 +108,41 @@ def discover(posts: DataFrame, n: int, strategy: str, position: Column, posts_li
         pool = pool.orderBy(F.desc(best_first), position).limit(posts_limit)
     ranked = discover_ranked(pool, n, position, include_nsfw)
     return hot_list(ranked.orderBy(F.desc("n_posts"), "first_pos"), strategy, posts_limit, include_nsfw)
+
+
+def discover_medallion(
+    spark: SparkSession, landed_root: str, out_root: str, batch_ts: str, n: int, strategy: str, now: Column, limit: int = 50,
+    time_filter: str = "day", posts_limit: int | None = None, include_nsfw: bool = False, fetch_comments: bool = True,
+    buckets: int = 64, database: str | None = None,
+) -> dict[str, str]:
+    """Discovery over what has landed, carried through to silver.
+
+    The ranking becomes a RAW batch of its own, with the chosen communities' descriptions, their `limit` best posts
+    within `time_filter` and the comments of each one's best post; that batch then goes to bronze and silver.
+    `popular` takes the first `n` of the landed communities, in scan order.
+    """
+    landed = {e: read_raw_batches(spark, f"{landed_root}/{e}", e) for e in ("posts", "comments", "subreddits")}
+    key = lambda c: normalize_key(F.col(c))
+    posts = to_bronze(landed["posts"], "posts").withColumn("_dt", epoch_to_ts(F.col("created_utc")))
+    position = F.col("post_id")
+    if strategy == "popular":
+        listing = to_bronze(with_scan_order(landed["subreddits"]), "subreddits", keep=("scan_pos",))
+        names = hot_list(discover_popular(listing, n, "scan_pos", include_nsfw), strategy, posts_limit, include_nsfw)
+    else:
+        names = discover(posts.drop("_dt"), n, strategy, position, posts_limit, now, include_nsfw)
+    names = materialize(names, scratch_dir(spark, "communities"))  # n rows
+    chosen = names.select(key("subreddit").alias("subreddit"))
+    keyed = posts.withColumn("subreddit", key("subreddit"))
+    best = top_posts_of(keyed, chosen, limit, "_dt", time_filter, now, position).select("post_id", "place")
+    best = materialize(best, scratch_dir(spark, "best-posts"))  # n times `limit` rows
+
+    def put(entity: str, rows: DataFrame) -> None:
+        write_raw(rows.select(*[c for c in raw_text_schema(entity).fieldNames() if c in rows.columns and c != "_corrupt_record"]), f"{out_root}/raw/{entity}", batch_ts)
+
+    write_raw(names, f"{out_root}/raw/hot_sublists", batch_ts)
+    named = landed["subreddits"].withColumn("_key", key("subreddit")).join(chosen.withColumnRenamed("subreddit", "_key"), "_key", "left_semi")
+    put("subreddits", named)
+    put("posts", landed["posts"].join(best.select(F.col("post_id").alias("id")), "id", "left_semi"))
+    if fetch_comments:
+        put("comments", landed["comments"].join(best.where("place = 1").select("post_id"), "post_id", "left_semi"))
+    return run_medallion(spark, f"{out_root}/raw", out_root, batch_ts, buckets, database)

@@ -59,6 +59,7 @@ def cleaned(col: str) -> str:
 
 
 LIVE = "live AS (SELECT * FROM comments WHERE body IS NOT NULL AND body NOT IN ('[deleted]', '[removed]'))"
+TEXTS = "live AS (SELECT * REPLACE (coalesce(body, 'None') AS body) FROM comments WHERE body IS NULL OR body NOT IN ('[deleted]', '[removed]'))"
 FEATURES = f"""features AS (
   SELECT *, CAST(length(body) AS INTEGER) AS text_len, {words("body")} AS word_count,
          contains(body, '!') AS has_exclamation, contains(body, '?') AS has_question,
@@ -74,7 +75,7 @@ CLIPPED = """clipped AS (
   FROM features f, tails)"""
 CLEANED = f"""cleaned AS (
   SELECT * FROM (SELECT *, {cleaned("body")} AS clean_text FROM clipped) c WHERE length(clean_text) > 3)"""
-WRANGLE = f"WITH {COMMENTS}, {LIVE}, {FEATURES}, {TAILS}, {CLIPPED}, {CLEANED}"
+WRANGLE = f"WITH {COMMENTS}, {TEXTS}, {FEATURES}, {TAILS}, {CLIPPED}, {CLEANED}"
 
 PREDICTIONS = """predictions AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 'bert_bert-base-multilingual-uncased-sentiment'
@@ -102,7 +103,12 @@ RESULTS = f"""results AS (
          CAST({acc("split = 'test'")} AS DOUBLE) AS test_accuracy, CAST({f1("split = 'test'")} AS DOUBLE) AS test_f1
   FROM predictions GROUP BY model_key)"""
 
-STARS = """logits AS (SELECT vec_id, CAST(embedding[1:5] AS DOUBLE[]) AS z, CAST(embedding[1:2] AS DOUBLE[]) AS z2 FROM embeddings),
+def summed(width: int) -> str:
+    return f"""list_transform(range({width}), lambda k: list_reduce(list_transform(range(k, len(embedding), {width}), lambda i: embedding[i + 1]::DOUBLE),
+        lambda s, x: s + x))"""
+
+
+STARS = f"""logits AS (SELECT vec_id, {summed(5)} AS z, {summed(2)} AS z2 FROM embeddings),
 tops AS (SELECT *, list_position(z, list_max(z)) - 1 AS top, list_position(z2, list_max(z2)) - 1 AS top2 FROM logits)"""
 
 # Class sizes: train by largest remainder, the rest in two halves, val again by largest remainder.
@@ -290,12 +296,14 @@ ORACLES: dict[str, str] = {
     "artifact_names": """SELECT o_orderkey, 'org_' || o_orderpriority || '_' || o_orderstatus || '_' ||
         strftime(o_orderdate, '%Y%m%dT%H%M%S') AS name FROM orders""",
     # cleaning and features
-    "drop_tombstones": f"""WITH {COMMENTS}, {LIVE} SELECT comment_id, author IS NOT NULL AS has_author,
+    "drop_tombstones": f"""WITH {COMMENTS}, {TEXTS} SELECT comment_id, author IS NOT NULL AS has_author,
         CAST(created_utc * 1000000 AS BIGINT) AS created_us FROM live""",
+    "drop_null_bodies": f"""WITH {COMMENTS}, {LIVE} SELECT comment_id, CAST(length(body) AS INTEGER) AS text_len, {words("body")} AS word_count
+        FROM live WHERE length(body) > 2""",
     "keep_null_bodies": f"""WITH {COMMENTS}, texts AS (SELECT comment_id, coalesce(body, 'None') AS body FROM comments)
         SELECT comment_id, CAST(length(body) AS INTEGER) AS text_len, {words("body")} AS word_count FROM texts
         WHERE body NOT IN ('[deleted]', '[removed]') AND length(body) > 2""",
-    "wrangle_features": f"""WITH {COMMENTS}, {LIVE}, {FEATURES}
+    "wrangle_features": f"""WITH {COMMENTS}, {TEXTS}, {FEATURES}
         SELECT comment_id, text_len, word_count, has_exclamation, has_question, has_author FROM features""",
     "wrangle_clean": f"""{WRANGLE} SELECT comment_id, md5(clean_text) AS clean_md5, CAST(length(clean_text) AS INTEGER) AS clean_len
         FROM cleaned""",
@@ -407,7 +415,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, n_chars FROM r WHERE place <= (SELECT CAST(floor(count(*) * CAST(0.37 AS DOUBLE)) AS BIGINT) FROM documents)""",
     # vectors, models, scoring
     "softmax_argmax": f"""WITH {STARS} SELECT vec_id, CAST(top AS INTEGER) AS top,
-        round(exp(z[1] - list_max(z)) / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 6) AS p0,
+        {", ".join(f"round(exp(z[{i + 1}] - list_max(z)) / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 6) AS p{i}" for i in range(5))},
         round({top_probability("z")}, 6) AS p_top FROM tops""",
     "logits_to_binary": f"""WITH {STARS} SELECT vec_id, CASE WHEN top >= 3 THEN 1 ELSE 0 END AS from_stars,
         CASE WHEN top2 = 1 THEN 1 ELSE 0 END AS from_pair FROM tops""",
@@ -470,6 +478,14 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fact_posts', count(*) FROM posts UNION ALL SELECT 'fact_comments', count(*) FROM comments
         UNION ALL SELECT 'dim_author', count(*) FROM (SELECT author FROM posts WHERE author IS NOT NULL UNION SELECT author FROM comments WHERE author IS NOT NULL)
         UNION ALL SELECT 'usersubs', 0 UNION ALL SELECT 'hot_sublists', 0""",
+    "discover_medallion": f"""WITH {POSTS}, named AS (SELECT *, upper(trim(replace(subreddit, chr(9), ''))) AS name FROM posts),
+        r AS (SELECT name, count(*) AS n, min(post_id) AS pos FROM named WHERE NOT coalesce(over_18, FALSE) GROUP BY name ORDER BY n DESC, pos LIMIT 3),
+        p AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, post_id) AS place FROM named WHERE name IN (SELECT name FROM r))
+        SELECT post_id, name AS subreddit, score, 'all_hot' AS strategy FROM p WHERE place <= 40""",
+    "top_posts_of": f"""WITH {POSTS}, p AS (SELECT trim(replace(subreddit, chr(9), '')) AS subreddit, post_id, score,
+        row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, event_id) AS place FROM posts
+        WHERE trim(replace(subreddit, chr(9), '')) IN ('click', 'purchase') AND ts >= (SELECT max(ts) FROM events) - INTERVAL 30 DAY)
+        SELECT subreddit, post_id, score, CAST(place AS INTEGER) AS place FROM p WHERE place <= 1500""",
     "catalog_scan": f"WITH {POSTS} SELECT post_id, upper(trim(replace(subreddit, chr(9), ''))) AS subreddit, author, score, num_comments, over_18 FROM posts",
     "store_comments": f"WITH {COMMENTS} SELECT comment_id, post_id, author, score, is_submitter FROM comments",
     "store_no_rows": """SELECT c_name AS subreddit, c_custkey AS subscribers, c_mktsegment AS description, c_acctbal AS created_utc,

@@ -296,8 +296,15 @@ def drop_tombstones(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def keep_null_bodies(spark: SparkSession, d: str) -> DataFrame:
-    """The variant in which a missing body is the text None."""
-    kept = wrangle.wrangle_features(si.comments(spark, d), null_text="None")
+    """A missing body is the text None."""
+    kept = wrangle.wrangle_features(si.comments(spark, d))
+    return kept.select("comment_id", "text_len", "word_count")
+
+
+@query
+def drop_null_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The variant in which a missing body goes."""
+    kept = wrangle.wrangle_features(si.comments(spark, d), null_text=None)
     return kept.select("comment_id", "text_len", "word_count")
 
 
@@ -618,6 +625,29 @@ def silver_tables(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def discover_medallion(spark: SparkSession, d: str) -> DataFrame:
+    """Discovery carried through to silver: the best posts of the three largest communities, with the ranking's batch."""
+    path = scratch_dir(spark, "discovered")
+    for entity, rows in (("posts", si.raw_posts), ("comments", si.raw_comments), ("subreddits", si.raw_subreddits)):
+        ndjson.write_raw(rows(spark, d), f"{path}/landed/{entity}", si.BATCH)
+    paths = medallion.discover_medallion(
+        spark, f"{path}/landed", path, si.BATCH, 3, "all_hot", _newest(spark, d), limit=40, time_filter="all", buckets=4
+    )
+    ranked = medallion.read_bronze(spark, f"{path}/bronze", "hot_sublists")
+    names = ranked.select(keys.normalize_key(F.col("subreddit")).alias("subreddit"), "strategy")
+    return spark.read.parquet(paths["fact_posts"]).join(names, "subreddit").select("post_id", "subreddit", "score", "strategy")
+
+
+@query
+def top_posts_of(spark: SparkSession, d: str) -> DataFrame:
+    """Best 1,500 posts of last month of two named communities."""
+    posts = si.posts(spark, d).withColumns({"subreddit": text.strip(F.col("subreddit")), "dt": clock.epoch_to_ts(F.col("created_utc"))})
+    names = spark.createDataFrame([("click",), ("purchase",), ("nobody",)], "subreddit STRING")
+    top = discover.top_posts_of(posts, names, 1500, "dt", "month", _newest(spark, d), F.col("post_id").cast("bigint"))
+    return top.select("subreddit", "post_id", "score", "place")
+
+
 @query
 def catalog_scan(spark: SparkSession, d: str) -> DataFrame:
     """Posts upserted in two batches, read through the catalog, before and after the parts are merged."""
@@ -772,14 +802,14 @@ def softmax_argmax(spark: SparkSession, d: str) -> DataFrame:
     return z.select(
         "vec_id",
         vectors.argmax(F.col("z")).alias("top"),
-        F.round(vectors.softmax(F.col("z"))[0], DIGITS).alias("p0"),
+        *[F.round(vectors.softmax(F.col("z"))[i], DIGITS).alias(f"p{i}") for i in range(5)],
         F.round(vectors.max_probability(F.col("z")), DIGITS).alias("p_top"),
     )
 
 
 @query
 def logits_to_binary(spark: SparkSession, d: str) -> DataFrame:
-    five, two = si.logits(spark, d, 5), F.slice("z", 1, 2)
+    five, two = si.logits(spark, d, 5, 2), F.col("z2")
     names = scoring.CLASSIFIERS
     return five.select(
         "vec_id",
@@ -790,7 +820,7 @@ def logits_to_binary(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def logits_to_label(spark: SparkSession, d: str) -> DataFrame:
-    five, two = si.logits(spark, d, 5), F.slice("z", 1, 2)
+    five, two = si.logits(spark, d, 5, 2), F.col("z2")
     names = scoring.CLASSIFIERS
     return five.select(
         "vec_id",

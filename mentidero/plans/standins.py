@@ -112,7 +112,10 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logits(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
-    """The leading vector components as class logits."""
+def logits(spark: SparkSession, sf_dir: str, width: int, second: int = 2) -> DataFrame:
+    """Vector components as class logits: every width-th is summed into one of `width` (and of `second`) classes."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.slice(F.col("embedding"), 1, width).cast("array<double>").alias("z"), "label")
+    summed = lambda w: F.expr(
+        f"transform(sequence(0, {w - 1}), k -> aggregate(sequence(k, size(embedding) - 1, {w}), 0D, (s, i) -> s + CAST(embedding[i] AS DOUBLE)))"
+    )
+    return e.select("vec_id", summed(width).alias("z"), summed(second).alias("z2"), "label")

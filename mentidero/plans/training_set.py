@@ -12,7 +12,7 @@ from mentidero.operators.sampling import stratified_split
 from mentidero.sources.lake import materialize, write_splits
 
 
-def wrangle_training_set(comments: DataFrame, stage_root: str, null_text: str | None = None) -> DataFrame:
+def wrangle_training_set(comments: DataFrame, stage_root: str, null_text: str | None = wrangle.NULL_TEXT) -> DataFrame:
     """The labelled modelling set.
 
     The text is worked on once, in one narrow pass whose result is written without the raw body. The
@@ -27,7 +27,7 @@ def wrangle_training_set(comments: DataFrame, stage_root: str, null_text: str |
     return wrangle.model_columns(wrangle.label(clipped, wrangle.fit_median(clipped)))
 
 
-def build_training_set(comments: DataFrame, out_root: str, seed: int = 42, null_text: str | None = None) -> str:
+def build_training_set(comments: DataFrame, out_root: str, seed: int = 42, null_text: str | None = wrangle.NULL_TEXT) -> str:
     """Write the modelling set with its 70/15/15 split; returns the path of the split table."""
     modelling = wrangle_training_set(comments, f"{out_root}/stages", null_text)
     path = f"{out_root}/splits"

@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The first rows of a group are kept inside each task at any number wanted.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
+    # Narrow build sides are hashed instead of sorting the wide side.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Long texts: keep one Arrow batch to a few MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

@@ -64,10 +64,10 @@ def test_describe_categorical_counts_long_values_by_digest(spark):
 
 def test_tombstones_and_null_bodies(spark):
     df = comments(spark)
-    assert drop_tombstones(df).count() == 120
-    assert drop_tombstones(df, null_text="None").count() == 140
-    features = wrangle_features(df)
-    assert features.where("text_len <= 2").count() == 0 and features.count() == 100
+    assert drop_tombstones(df).count() == 140 and drop_tombstones(df).where("body = 'None'").count() == 20
+    assert drop_tombstones(df, null_text=None).count() == 120
+    assert wrangle_features(df).where("text_len <= 2").count() == 0 and wrangle_features(df).count() == 120
+    assert wrangle_features(df, null_text=None).count() == 100
 
 
 def test_winsorize_and_label_with_missing_scores(spark):
