@@ -13,6 +13,7 @@ from mentidero.operators.quantiles import exact_quantiles, exact_quantiles_by
 from mentidero.session import scratch_dir
 from mentidero.sources.lake import materialize
 
+Cuts = Mapping[str, Mapping[float, float | None]]
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
 START = 64  # characters of a value that order ties before whole values are looked at
@@ -52,10 +53,20 @@ def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def quantile_cuts(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> Cuts:
+    """Exact quantiles by column and share, for several of the tables below from one selection."""
+    return {c: dict(zip(wanted[c], values)) for c, values in exact_quantiles(df, wanted).items()}
+
+
+def _picked(df: DataFrame, wanted: Mapping[str, Sequence[float]], cuts: Cuts | None) -> dict[str, list[float | None]]:
+    known = quantile_cuts(df, wanted) if cuts is None else cuts
+    return {c: [known[c][p] for p in probs] for c, probs in wanted.items()}
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str], cuts: Cuts | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max per column."""
     df = without_nan(df, columns)
-    cuts = exact_quantiles(df, {c: QUARTILES for c in columns})
+    cuts = _picked(df, {c: QUARTILES for c in columns}, cuts)
     parts = []
     for c in columns:
         parts += [
@@ -133,8 +144,8 @@ def retention(df: DataFrame, keep: Column) -> DataFrame:
     )
 
 
-def quantile_table(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
-    cuts = exact_quantiles(df, wanted)
+def quantile_table(df: DataFrame, wanted: Mapping[str, Sequence[float]], cuts: Cuts | None = None) -> DataFrame:
+    cuts = _picked(df, wanted, cuts)
     rows = [(c, float(p), v) for c, ps in wanted.items() for p, v in zip(ps, cuts[c])]
     return df.sparkSession.createDataFrame(rows, "column STRING, prob DOUBLE, value DOUBLE")
 
@@ -200,10 +211,10 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, column: str) -> DataFrame:
+def box_stats(df: DataFrame, column: str, cuts: Cuts | None = None) -> DataFrame:
     """Quartiles, whisker ends (last values within 1.5 IQR of the box), min, max, outlier count."""
     df = without_nan(df, [column])
-    q1, q2, q3 = exact_quantiles(df, {column: QUARTILES})[column]
+    q1, q2, q3 = _picked(df, {column: QUARTILES}, cuts)[column]
     x = F.col(column).cast("double")
     box = {"q1": q1, "median": q2, "q3": q3}
     named = {k: F.lit(v).cast("double") for k, v in box.items()}
@@ -249,9 +260,9 @@ def box_stats_by(df: DataFrame, group: str, column: str) -> DataFrame:
     )
 
 
-def quartile_bucket(df: DataFrame, column: str, name: str = "bucket") -> DataFrame:
+def quartile_bucket(df: DataFrame, column: str, name: str = "bucket", cuts: Cuts | None = None) -> DataFrame:
     """Q1..Q4 by the quartiles of the column; right ends closed, the minimum falls into Q1."""
-    q1, q2, q3 = (F.lit(v) for v in exact_quantiles(df, {column: QUARTILES})[column])
+    q1, q2, q3 = (F.lit(v) for v in _picked(df, {column: QUARTILES}, cuts)[column])
     x = F.col(column)
     bucket = F.when(x <= q1, "Q1").when(x <= q2, "Q2").when(x <= q3, "Q3").when(x.isNotNull(), "Q4")
     return df.withColumn(name, bucket)

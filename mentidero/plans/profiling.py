@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mentidero.functions.text import TOMBSTONES, is_tombstone, text_features
 from mentidero.operators import profile
-from mentidero.operators.wrangle import fit_median, flag_comments, label
+from mentidero.operators.wrangle import flag_comments, label
 from mentidero.session import scratch_dir
 from mentidero.sources.lake import materialize
 
@@ -31,8 +31,10 @@ def profile_comments(comments: DataFrame, bins: int = 50) -> dict[str, DataFrame
     flagged = written.select(*comments.columns, "has_author", "created_dt")
     clean = written.where("is_kept")
     numeric = ["score", "text_len", "word_count"]
-    bucketed = profile.quartile_bucket(clean, "text_len", "len_bucket")
-    labelled = label(clean, fit_median(clean, "score"), "score")
+    # One selection for the quantiles of all columns.
+    cuts = profile.quantile_cuts(clean, {"score": SCORE_PROBS, "text_len": profile.QUARTILES, "word_count": profile.QUARTILES})
+    bucketed = profile.quartile_bucket(clean, "text_len", "len_bucket", cuts)
+    labelled = label(clean, cuts["score"][0.50], "score")
 
     def shown(row: DataFrame) -> DataFrame:
         return comments.join(row.select("comment_id").limit(1), "comment_id").select("score", "body")
@@ -46,19 +48,19 @@ def profile_comments(comments: DataFrame, bins: int = 50) -> dict[str, DataFrame
         ),
         "retention": profile.retention(written, F.col("is_kept")),
         "duplicates": profile.duplicate_keys(flagged, ["comment_id"]),
-        "score_quantiles": profile.quantile_table(clean, {"score": SCORE_PROBS}),
+        "score_quantiles": profile.quantile_table(clean, {"score": SCORE_PROBS}, cuts),
         "score_histogram": profile.histogram(clean, "score", bins),
-        "score_box": profile.box_stats(clean, "score"),
+        "score_box": profile.box_stats(clean, "score", cuts),
         "length_histogram": profile.value_counts(clean, "text_len"),
-        "length_box": profile.box_stats(clean, "text_len"),
-        "describe_numeric": profile.describe_numeric(clean, numeric),
+        "length_box": profile.box_stats(clean, "text_len", cuts),
+        "describe_numeric": profile.describe_numeric(clean, numeric, cuts),
         "mark_rates": profile.rates(
             clean, {"has_exclamation": F.col("has_exclamation"), "has_question": F.col("has_question")}
         ),
         "score_by_exclamation": profile.box_stats_by(clean, "has_exclamation", "score"),
         "score_by_length": profile.box_stats_by(bucketed, "len_bucket", "score"),
         "correlations": profile.corr_matrix(clean, numeric),
-        "length_quartiles": profile.quantile_table(clean, {"text_len": profile.QUARTILES}),
+        "length_quartiles": profile.quantile_table(clean, {"text_len": profile.QUARTILES}, cuts),
         "negative_example": shown(profile.kth_row(labelled.where("sentiment = 0"), [F.asc("score"), F.asc("comment_id")], NEGATIVE_EXAMPLE)),
         "positive_example": shown(profile.kth_row(labelled.where("sentiment = 1"), [F.desc("score"), F.asc("comment_id")], POSITIVE_EXAMPLE)),
     }
