@@ -38,7 +38,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BAND = 80, 4
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 KNOWN_WORDS = 1 << 20  # word hashes a task remembers
-SKETCH_BITS, SKETCH_SIGMAS = 1024, 5  # one bit per register; a pair of exactly 0.8 fails with probability 0.000001
+SKETCH_BITS, SKETCH_SIGMAS = 2048, 5  # one bit per register; a pair of exactly 0.8 fails with probability 0.000001
 SHORT = 20  # texts of fewer distinct shingles are always compared whole
 
 
@@ -264,7 +264,8 @@ def _may_be_similar(common: Column, n_a: Column, n_b: Column, repeated: Column,
 def _drop_settled(open_rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Open rows with their text's shingle numbers, without the texts that can have no partner in a bucket."""
     stats = shingle_stats(texts.join(open_rows.select("node").distinct(), "node", "left_semi"))
-    rows = open_rows.join(stats, "node")
+    own = open_rows.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # at most one per band
+    rows = open_rows.join(stats.join(own, "node"), "node")
     least = rows.groupBy("bucket").agg(F.min("n").alias("least"), F.max("repeated").alias("any_repeated"))
     rows = rows.join(least, "bucket")
     partner = _may_be_similar(F.col("common"), F.col("n"), F.col("least"), F.col("any_repeated"), F.col("alone"), threshold)
@@ -275,7 +276,9 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(node, label) of every text that is linked to another. `texts` has (node, text); nodes may repeat.
 
     Only texts that share a bucket with another are kept for verification, once each. After the first round
-    the shingles of the texts still open are counted, and exact bounds on the similarity settle most of them.
+    the shingles of the texts still open are counted, and exact bounds on the similarity settle most of them. From
+    then on a pair is looked at in the first bucket it shares: a text leaves a bucket only after it has met all others
+    there or when all are of one class, so the pair is met there or needs no meeting.
     """
     every = stage(text_buckets(texts).distinct(), "bands")
     shared = every.groupBy("bucket").count().where("count > 1")
@@ -288,7 +291,7 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     texts = stage(wanted.groupBy("node").agg(F.first("text").alias("text")), "texts")
     labels = compared = None
     pivots_each = 1
-    numbers = ["n", "common", "alone", "repeated", "sketch"]
+    numbers = ["n", "common", "alone", "repeated", "sketch", "buckets"]
     while n_open := open_rows.count():
         known = [c for c in numbers if c in open_rows.columns]
         part = F.pmod(F.xxhash64("node", "bucket", F.lit(1)), F.lit(pivots_each))
@@ -301,6 +304,8 @@ def link_texts(texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
                 F.least("common", "pivot_common"), F.col("n"), F.col("pivot_n"), F.col("repeated") | F.col("pivot_repeated"),
                 F.greatest("alone", "pivot_alone"), threshold,
             ) & ((F.least("n", "pivot_n") < SHORT) | _sketches_near(F.col("sketch"), F.col("pivot_sketch"), threshold)))
+            # Two texts that share several buckets meet in the first of them, not once in each.
+            met = met.where(F.col("bucket") == F.array_min(F.array_intersect("buckets", "pivot_buckets")))
         pairs = met.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
