@@ -22,19 +22,20 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from mentidero.llm.common import field, fresh, narrow
+from mentidero.llm.common import field, fresh, give_back, narrow
 
 SAMPLE = 2500
 CELLS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 16, 8, 8, (1, 2, 3), (3, 4, 5, 6)  # beginnings in bytes
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 PREDICT = 0.7
 BINS = 64  # of the thresholds' histograms, per unit of the logit
-KNOWN_WORDS, CHUNK_WORDS = 300_000, 100_000
+KNOWN_WORDS, CHUNK_WORDS = 100_000, 20_000  # of a worker's table (25 MB at most) and of one step
+SLICE = 64  # texts of a batch that are held as Python strings
 WORD = re.compile(r"\w+")
 # --- fixed values: frequent function words ---
 FUNCTION_WORDS = {
@@ -217,7 +218,7 @@ class Scorer:
     def reset(self) -> None:
         self.numbers: dict[str, int] = {"": 0}
         self.table = np.zeros((1024, sum(WIDTHS) * FILTERS), "f4")
-        self.languages = np.zeros((1024, len(FUNCTION_WORDS)), "i4")
+        self.languages = np.zeros((1024, len(FUNCTION_WORDS)), "i1")
 
     def number(self, docs: list[list[str]]) -> list[list[int]]:
         if len(self.numbers) > KNOWN_WORDS:
@@ -230,7 +231,7 @@ class Scorer:
                 grown = np.zeros((max(2 * len(self.table), len(numbers)), self.table.shape[1]), "f4")
                 grown[:old] = self.table[:old]
                 self.table = grown
-                flags = np.zeros((len(grown), len(FUNCTION_WORDS)), "i4")
+                flags = np.zeros((len(grown), len(FUNCTION_WORDS)), "i1")
                 flags[:old] = self.languages[:old]
                 self.languages = flags
             self.table[old : len(numbers)] = self.net.products(np.array([cells_of(w) for w in new], dtype=np.int64))
@@ -262,7 +263,7 @@ class Scorer:
     def _chunk(self, docs: list[list[str]], logits: list[np.ndarray], langs: list[str]) -> None:
         flat, starts = _flatten(self.number(docs))
         logits.append(self.net.logits(self.net.pooled(self.table[flat], starts)))
-        seen = np.add.reduceat(self.languages[flat], starts, axis=0)
+        seen = np.add.reduceat(self.languages[flat], starts, axis=0, dtype="i8")
         langs += np.where(seen.max(axis=1) > 0, np.array([*FUNCTION_WORDS])[seen.argmax(axis=1)], OTHER).tolist()
 
 
@@ -296,16 +297,19 @@ def _calibrate(net: Network, documents: DataFrame, known: DataFrame, used: list[
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(net)
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            logits, langs = scorer.logits(batch["text"].tolist())
-            bins = np.floor(np.clip(logits.astype("f8"), -30, 30) * BINS).astype("i4")
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "bin": bins, "lang": langs})
+        for whole in batches:
+            for begin in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(begin, SLICE)
+                logits, langs = scorer.logits(batch.column("text").to_pylist())
+                bins = np.floor(np.clip(logits.astype("f8"), -30, 30) * BINS).astype("i4")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bins), pa.array(langs, pa.string())], names=["doc_id", "bin", "lang"])
+            give_back()
 
     rows = narrow(documents, doc_id="bigint", text="string").where(is_training(F.col("doc_id")))
     unseen = known.join(F.broadcast(spark.createDataFrame([(i,) for i, _ in used], "doc_id long")), "doc_id", "left_anti")
-    judged = rows.mapInPandas(judge, "doc_id long, bin int, lang string").join(unseen, "doc_id")
+    judged = rows.mapInArrow(judge, "doc_id long, bin int, lang string").join(unseen, "doc_id")
     once = judged.groupBy("doc_id", "toxic").agg(F.min(F.struct("bin", "lang")).alias("j"))
     counted = once.groupBy("j.lang", "j.bin").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
     found = counted.collect()
@@ -321,11 +325,13 @@ def add_score(documents: DataFrame, net: Network | None, name: str) -> DataFrame
         return documents.withColumn(name, F.lit(0.0))
     shared = documents.sparkSession.sparkContext.broadcast(net)
 
-    @F.pandas_udf(DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.Series(scorer.score(texts.tolist()), dtype="f8")
+            parts = [scorer.score(texts.slice(i, SLICE).to_pylist()) for i in range(0, len(texts), SLICE)]
+            yield pa.array([s for part in parts for s in part], pa.float64())
+            give_back()
 
     return documents.withColumn(name, score(field(documents, "text", "string")))
 
