@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from mentidero.llm.classes import merge_labels
-from mentidero.llm.common import few_files, narrow, stage
+from mentidero.llm.common import few_files, give_back, narrow, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
 REGISTERS, BAND = 80, 4
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-KNOWN_WORDS = 1 << 20  # word hashes a task remembers
+KNOWN_WORDS = 1 << 18  # word hashes a task remembers
 SKETCH_BITS, SKETCH_SIGMAS = 2048, 5  # one bit per register; a pair of exactly 0.8 fails with probability 0.000001
 SHORT = 20  # texts of fewer distinct shingles are always compared whole
 
@@ -192,6 +192,7 @@ def text_buckets(texts: DataFrame) -> DataFrame:
                 rows = pa.array(np.repeat(np.concatenate([with_words, again]), found.shape[1]))
                 found = np.concatenate([found[with_words], bands(signatures(*plain))]) if len(again) else found[with_words]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(rows), pa.array(found.ravel())], names=["node", "bucket"])
+            give_back()
 
     return texts.mapInArrow(sketch, "node binary, bucket bigint")
 
@@ -241,6 +242,7 @@ def shingle_stats(texts: DataFrame) -> DataFrame:
                     [part.column(0).take(pa.array(owner)), pa.array(code.view(np.int64)), pa.array(weight.astype(np.int64)), held.take(where)],
                     names=["node", "shingle", "times", "sketch"],
                 )
+            give_back()
 
     kinds = "node binary, shingle bigint, times bigint, sketch array<bigint>"
     rows = stage(texts.select("node", "text").mapInArrow(explode, kinds), "shingles")
