@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentidero.llm.common import narrow
+from mentidero.llm.common import give_back, narrow, stage
 from mentidero.llm.toxicity import is_training
 
 WINDOW, WIDTHS, DIM, FILTERS = 128, (2, 3, 4, 5), 8, 16
@@ -179,7 +179,8 @@ def fit(documents: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     """Train on windows of at most `per_lang` labelled training documents per language."""
     rows = narrow(documents, doc_id="bigint", text="string", lang="string").where(is_training(F.col("doc_id")) & F.col("lang").isNotNull())
     rank = F.pmod(F.xxhash64("doc_id"), F.lit(RANKS))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # One row a language, written: Spark sees its size and, while it is small, broadcasts it, so no text moves for it.
+    sizes = stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     # About three times the rows wanted pass by their hash; the exact cut ranks only those.
     near = rows.join(sizes, "lang").where(rank.cast("double") * F.col("n") < 3.0 * per_lang * RANKS).where(F.col("text").rlike(r"\p{L}"))
     span = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
@@ -224,5 +225,6 @@ def add_language(documents: DataFrame, net: Network | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"]
                 )
+            give_back()
 
     return judged.mapInArrow(work, "doc_id long, lang_pred string, score double")
