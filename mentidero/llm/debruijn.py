@@ -20,8 +20,6 @@ give nothing; other columns are ignored. Nothing is cut from long texts: tasks h
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,17 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentidero.llm.common import few_files, narrow, stage
+from mentidero.llm.common import few_files, give_back, narrow, stage
 
 LONGEST = 5
 # --- fixed values: what ends a piece, what stands between words ---
 BREAKS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 # --- end of fixed values ---
-TOKEN = re.compile(f"[^{BREAKS}{BLANKS}]+|[{BREAKS}]")
-WORD = re.compile(f"[^{BREAKS}{BLANKS}]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-PLACES = 1_000_000  # words whose runs are counted together in a task
-KNOWN = 400_000  # words a task remembers
+PLACES = 250_000  # words whose runs are counted together in a task
+KNOWN = 100_000  # spellings a task remembers
 SLICE = 1 << 20  # characters read at a time
 MOST_BITS = 1 << 26  # of a bit map: 8 MB
 CELLS = 1 << 44  # of pair counts
@@ -88,38 +84,15 @@ def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
         for begin in range(0, whole.num_rows, 64):
             batch = whole.slice(begin, 64)
             yield from zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist())
+        give_back()
 
 
-def count_words(documents: DataFrame) -> DataFrame:
-    """(lang, word, n) of all words."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, own in counts.items():
-                lower: Counter = Counter()
-                for word, n in own.items():
-                    lower[word.translate(LOWER)] += n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(lower), pa.string()), pa.array(list(lower), pa.string()), pa.array(list(lower.values()), pa.int64())],
-                    names=["lang", "word", "n"],
-                )
-
-        for lang, text in texts_of(batches):
-            own = counts.setdefault(lang, Counter())
-            before = len(own)
-            for part in slices(text):
-                own.update(WORD.findall(part))
-            size += len(own) - before
-            if size > KNOWN:
-                yield from flush()
-                counts, size = {}, 0
-        yield from flush()
-
-    parts = documents.mapInArrow(work, "lang string, word string, n long")
-    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+def tokens_of(part: str) -> list[str]:
+    """Words, a line feed for what ends a piece, and empty strings between blanks."""
+    for c in BREAKS:
+        if c != "\n":
+            part = part.replace(c, "\n")
+    return part.replace("\t", " ").replace("\n", " \n ").split(" ")
 
 
 class Bits:
@@ -127,11 +100,16 @@ class Bits:
 
     def __init__(self, words: np.ndarray):
         self.words = words  # 64 bits each, a power of two of them
+        self.bytes = words.astype("<u8").tobytes()
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         slot = keys & np.uint64(64 * len(self.words) - 1)
         return (self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
 
+    def has_one(self, key: int) -> bool:
+        slot = key & (64 * len(self.words) - 1)
+        return bool(self.bytes[slot >> 3] >> (slot & 7) & 1)
+
 
 def bits_of(keys: DataFrame, name: str) -> Bits:
     """The lowest bits of the 64-bit column name its place; words of 64 bits are made in Spark, at most MOST_BITS / 64."""
@@ -147,44 +125,101 @@ def bits_of(keys: DataFrame, name: str) -> Bits:
     return Bits(words.view(np.uint64))
 
 
-class Numbers(dict):
-    """Tokens of one language to hashes: 0 for what ends a piece and for words that the bit map rules out."""
+class Spellings(dict):
+    """Tokens of one language to places in a table of word hashes; the table is shared by the languages."""
 
-    def __init__(self, salt: int, lang: str, frequent: Bits):
-        super().__init__()
-        self.salt, self.lang, self.frequent = salt, lang, frequent
+    def __init__(self, table: Table, lang: str):
+        super().__init__({"": BLANK, "\n": BREAK})
+        self.table, self.lang = table, lang
 
     def __missing__(self, token: str) -> int:
-        number = 0
-        if token not in BREAKS:
-            number = hashed(self.salt, self.lang, token.translate(LOWER))
-            if not self.frequent.has(np.array([number], np.uint64))[0]:
-                number = 0
-        self[token] = number
-        return number
-
-
-def runs(
-    documents: DataFrame, salt: int, frequent: Callable[[], Bits], reduce: Callable[[np.ndarray], pa.RecordBatch], schema: str
-) -> DataFrame:
+        place = self[token] = self.table.add(self.lang, token.lower() if token.isascii() else token.translate(LOWER))
+        return place
+
+
+BLANK, BREAK = 0, 1  # places that stand for no word
+
+
+class Table:
+    """Hashes of the words a task has met, 0 for those that `frequent` rules out."""
+
+    def __init__(self, salt: int, frequent: Bits | None):
+        self.salt, self.frequent = salt, frequent
+        self.of: dict[str, Spellings] = {}
+        self.names: list[tuple[str, str]] = [("", ""), ("", "")]
+        self.hashes = np.zeros(1024, np.uint64)
+
+    def add(self, lang: str, word: str) -> int:
+        place, number = len(self.names), hashed(self.salt, lang, word)
+        self.names.append((lang, word))
+        if place == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(place, np.uint64)])
+        if self.frequent is None or self.frequent.has_one(number):
+            self.hashes[place] = number
+        return place
+
+    def places(self, lang: str, part: str) -> np.ndarray:
+        own = self.of.get(lang)
+        if own is None:
+            own = self.of[lang] = Spellings(self, lang)
+        tokens = tokens_of(part)
+        found = np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens))
+        return found[found != BLANK]
+
+
+def count_words(documents: DataFrame) -> DataFrame:
+    """(lang, word, n) of all words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, met, size = Table(0, None), [np.zeros(0, np.int64)], 0
+        times = np.zeros(0, np.int64)
+
+        def tally() -> np.ndarray:
+            added = np.bincount(np.concatenate(met), minlength=len(table.names))
+            added[: len(times)] += times
+            return added
+
+        def counted() -> pa.RecordBatch:
+            all_times = tally()
+            seen = np.flatnonzero(all_times)
+            seen = seen[seen > BREAK]
+            names = [table.names[i] for i in seen.tolist()]
+            columns = [pa.array([lang for lang, _ in names], pa.string()), pa.array([word for _, word in names], pa.string()), pa.array(all_times[seen])]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+
+        for lang, text in texts_of(batches):
+            for part in slices(text):
+                met.append(table.places(lang, part))
+                size += len(met[-1])
+                if len(table.names) > KNOWN:
+                    yield counted()
+                    table, met, size, times = Table(0, None), [np.zeros(0, np.int64)], 0, np.zeros(0, np.int64)
+                elif size >= PLACES:
+                    times, met, size = tally(), [np.zeros(0, np.int64)], 0
+        yield counted()
+
+    parts = documents.mapInArrow(work, "lang string, word string, n long")
+    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def runs(documents: DataFrame, salt: int, frequent: Callable[[], Bits], reduce: Callable[[np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
     """`reduce` over arrays of word hashes with 0 between pieces. Arrays overlap by LONGEST - 1 places, which are
     to be looked at from the array in which they are the last no more; zeros stand behind the last."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, Numbers] = {}
+        table = Table(salt, frequent())
         held, size = [np.zeros(0, np.uint64)], 0
         for lang, text in texts_of(batches):
-            own = numbers.get(lang)
-            if own is None or len(own) > KNOWN:
-                own = numbers[lang] = Numbers(salt, lang, frequent())
             for part in slices(text):
-                tokens = TOKEN.findall(part)
-                held.append(np.fromiter(map(own.__getitem__, tokens), np.uint64, len(tokens)))
-                size += len(tokens)
+                places = table.places(lang, part)
+                held.append(table.hashes[places])
+                size += len(places)
                 if size >= PLACES:
                     words = np.concatenate(held)
                     yield reduce(words)
                     held, size = [words[len(words) - LONGEST + 1 :]], 0
+                if len(table.names) > KNOWN:
+                    table = Table(salt, frequent())
             held.append(np.zeros(1, np.uint64))
         yield reduce(np.concatenate([*held, np.zeros(LONGEST - 1, np.uint64)]))
 
