@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentidero.llm.common import field, fresh, narrow, stage
+from mentidero.llm.common import field, fresh, give_back, narrow, stage
 from mentidero.operators.once import compute_once
 
 WINDOW = 13
@@ -167,6 +167,7 @@ def _searcher(shared: Broadcast):
                 counts += n
                 rows += [[dict(zip(FIELDS, (needles.items[run[0]], *run[1:]))) for run in found] for found in runs]
             yield pd.DataFrame({"n_words": counts, "matches": rows})
+            give_back()
 
     return search
 
