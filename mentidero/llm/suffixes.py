@@ -2,8 +2,10 @@
 
 Each task turns its documents, batch by batch, into one word sequence (a shard) and sorts the suffixes that
 can match: those that start with the first words of some benchmark suffix. Every benchmark suffix is binary
-searched in the shard's array; the equal range gives all places that share a whole window with it, and
-windows that follow each other on both sides join to the longest verbatim matches. No text is shuffled.
+searched in the shard's array; the equal range gives all places that share a whole window with it. Hit words
+and items follow from these ranges alone. Where a match can't be extended to the left it is extended to the
+right, and per place and item the longest verbatim match is kept, with its place in the item; places and
+sources of one window are never multiplied, so repetitive texts stay linear. No text is shuffled.
 
 The benchmark is read in blocks of bounded size, one pass of the documents' rows through the same task per
 block, so what a task holds has a bound however large the benchmark is.
@@ -33,7 +35,8 @@ WINDOW = 13
 HIT_SHARE = 20  # contaminated from one word in so many
 PREFIX = 3  # words that a suffix must share with the benchmark to enter the array
 BLOCK_CHARS = 16_000_000
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 100_000
+PAIRS, REACH = 200_000, 64  # pairs extended at once, words compared at once
 
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -62,7 +65,7 @@ class Needles:
                 found.setdefault(tuple(ids[place : place + length]), []).append((number, place))
         self.window = window
         self.lengths = np.array([len(key) for key in found], dtype=np.int64)
-        self.sources = list(found.values())
+        self._index_sources([words for _, words in texts if words], list(found.values()))
         self.low, self.high = self._keys(found, b"\x00"), self._keys(found, b"\xff")
         self.prefix = min([PREFIX, *self.lengths.tolist()])
         starts = {key[: self.prefix] for key in found}
@@ -71,6 +74,71 @@ class Needles:
             codes = codes * np.uint64(len(self.vocabulary) + 1) + np.array([s[column] for s in starts], dtype=np.uint64)
         self.starts = np.sort(codes)
 
+    def _index_sources(self, texts: list[list[bytes]], sources: list[list[tuple[int, int]]]) -> None:
+        """Every needle's places in the items, by the word to their left; and the set of items it stands in."""
+        self.tokens = np.full(sum(map(len, texts)) + len(texts) + 1, -1, dtype=np.int64)  # -1 ends an item
+        starts = np.cumsum([0] + [len(words) + 1 for words in texts])
+        for words, at in zip(texts, starts.tolist()):
+            self.tokens[at : at + len(words)] = [self.vocabulary[w] for w in words]
+        self.item = np.array([number for places in sources for number, _ in places], dtype=np.int64)
+        self.place = np.array([place for places in sources for _, place in places], dtype=np.int64)
+        self.spot = starts[self.item] + self.place
+        needle = np.repeat(np.arange(len(sources)), [len(places) for places in sources])
+        left = np.where(self.place > 0, self.tokens[self.spot - 1] + 1, 0)
+        self.codes = needle * self.radix + left
+        order = np.argsort(self.codes, kind="stable")
+        self.codes, self.item, self.place, self.spot = self.codes[order], self.item[order], self.place[order], self.spot[order]
+        self.begin = np.searchsorted(self.codes, np.arange(len(sources) + 1) * self.radix)
+        numbers: dict[tuple[int, ...], int] = {}
+        self.set_of = np.array(
+            [numbers.setdefault(tuple(sorted({number for number, _ in places})), len(numbers)) for places in sources], dtype=np.int64
+        )
+        self.sets = [frozenset(self.items[n] for n in key) - {None} for key in numbers]
+
+    @property
+    def radix(self) -> int:
+        """One more than the code of any word to the left: 0 an item's start, ids + 1, and a document's start."""
+        return len(self.vocabulary) + 3
+
+    def longest(self, ids: np.ndarray, ends: np.ndarray, first: np.ndarray, places: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Rows (place, item number, place in the item, length): per place and item the longest match that
+        begins there and can't be extended to the left. `first`: whether a word is its document's first."""
+        left = np.where(first[places], self.radix - 1, ids[places - 1] + 1)
+        a = np.searchsorted(self.codes, found * self.radix + left, "left")
+        b = np.searchsorted(self.codes, found * self.radix + left, "right")
+        low, counts = self.begin[found], self.begin[found + 1] - self.begin[found] - (b - a)
+        parts = [np.empty((0, 4), dtype=np.int64)]
+        todo = np.flatnonzero(counts)
+        group = np.cumsum(counts[todo]) // PAIRS
+        for rows in np.split(todo, np.flatnonzero(np.diff(group)) + 1):
+            n = counts[rows]
+            row = np.repeat(rows, n)
+            source = low[row] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            source += np.where(source >= a[row], (b - a)[row], 0)
+            length = self._extend(ids, ends, places[row], self.spot[source], self.lengths[found[row]])
+            item, place = self.item[source], self.place[source]
+            order = np.lexsort((place, -length, item, places[row]))
+            best = np.stack([places[row], item, place, length], axis=1)[order]
+            parts.append(best[np.flatnonzero(np.diff(best[:, :2], axis=0, prepend=-1).any(axis=1))])
+        return np.concatenate(parts)
+
+    def _extend(self, ids: np.ndarray, ends: np.ndarray, places: np.ndarray, spots: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Words that agree from each place and spot on, of which `known` are known to."""
+        length, open_, reach = known.copy(), np.arange(len(places)), np.arange(REACH)
+        while len(open_):
+            step = 8_192  # pairs a time, so that few words are held
+            going = []
+            for some in np.split(open_, range(step, len(open_), step)):
+                here, there = (at[some] + length[some] for at in (places, spots))
+                mine, theirs = here[:, None] + reach, there[:, None] + reach
+                same = ids[np.minimum(mine, len(ids) - 1)] == self.tokens[np.minimum(theirs, len(self.tokens) - 1)]
+                same &= mine < ends[places[some]][:, None]
+                all_same = same.all(axis=1)
+                length[some] += np.where(all_same, REACH, same.argmin(axis=1))
+                going.append(some[all_same])
+            open_ = np.concatenate(going)
+        return length
+
     def _keys(self, found, filler: bytes) -> np.ndarray:
         width = 4 * self.window
         raw = [np.array(key, dtype=">u4").tobytes().ljust(width, filler) for key in found]
@@ -110,34 +178,44 @@ class Needles:
         return places[order[first[needle] + inside]], needle
 
 
-def _matches(needles: Needles, texts: list[str | None]) -> tuple[list[int], list[list[tuple[int, int, int, int]]]]:
-    """Word counts, and per text its longest matches: (item number, place in the item, place, length)."""
+def _judge(needles: Needles, texts: list[str | None], with_matches: bool) -> list[tuple]:
+    """Per text: its words, the stretches of hit words (start, length), the items, the longest matches
+    (item number, place in the item, start, length)."""
     words = [split_words(text) for text in texts]
     counts = [len(w) for w in words]
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
     ids = needles.sequence(words)
+    del words
     ends = np.repeat(offsets[1:], counts)
     places, found = needles.search(ids, ends)
-    runs: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-    owner = np.searchsorted(offsets, places, "right") - 1
-    hits = sorted(
-        (int(doc), number, int(place - offsets[doc]) - start, int(place - offsets[doc]), int(needles.lengths[needle]))
-        for doc, place, needle in zip(owner.tolist(), places.tolist(), found.tolist())
-        for number, start in needles.sources[needle]
-    )
-    last: tuple | None = None
-    for doc, number, diagonal, place, length in hits:
-        if last and last[:3] == (doc, number, diagonal) and place == last[3] + 1:
-            item, start, begin, _ = runs[doc][-1]
-            runs[doc][-1] = (item, start, begin, place + length - begin)
-        else:
-            runs[doc].append((number, place - diagonal, place, length))
-        last = (doc, number, diagonal, place)
-    return counts, runs
-
-
-FIELDS = ("item_id", "item_start", "start", "length")
-FOUND = "struct<n_words: bigint, matches: array<struct<item_id: bigint, item_start: bigint, start: bigint, length: bigint>>>"
+    out: list[tuple] = [(n, [], set(), []) for n in counts]
+    if not len(places):
+        return out
+
+    def owner(at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(offsets, at, "right") - 1
+
+    size = len(ids) + 1
+    hit = np.cumsum(np.bincount(places, minlength=size) - np.bincount(places + needles.lengths[found], minlength=size)) > 0
+    first = np.zeros(size, dtype=bool)
+    first[offsets] = True
+    starts = np.flatnonzero(hit & (first | ~np.roll(hit, 1)))
+    stops = np.flatnonzero(hit[:-1] & (first[1:] | ~hit[1:])) + 1
+    for doc, start, length in zip(owner(starts).tolist(), (starts - offsets[owner(starts)]).tolist(), (stops - starts).tolist()):
+        out[doc][1].append((start, length))
+    for pair in np.unique(owner(places) * len(needles.sets) + needles.set_of[found]).tolist():
+        doc, which = divmod(pair, len(needles.sets))
+        out[doc][2].update(needles.sets[which])
+    if with_matches:
+        best = needles.longest(ids, ends, first, places, found)
+        for doc, (place, item, start, length) in zip(owner(best[:, 0]).tolist(), best.tolist()):
+            out[doc][3].append((item, start, place - int(offsets[doc]), length))
+    return out
+
+
+HITS = "array<struct<start: bigint, length: bigint>>"
+MATCHES = "array<struct<item_id: bigint, item_start: bigint, start: bigint, length: bigint>>"
+FOUND = f"struct<n_words: bigint, hits: {HITS}, items: array<bigint>, matches: {MATCHES}>"
 
 
 def _blocks(benchmark: DataFrame, block_chars: int) -> list[DataFrame]:
@@ -156,42 +234,51 @@ def _shards(texts: pd.Series) -> Iterator[list[str | None]]:
         yield texts.iloc[a:b].tolist()
 
 
-def _searcher(shared: Broadcast):
+def _searcher(shared: Broadcast, with_matches: bool):
     @F.pandas_udf(FOUND)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         needles = shared.value
         for texts in batches:
-            counts, rows = [], []
-            for shard in _shards(texts):
-                n, runs = _matches(needles, shard)
-                counts += n
-                rows += [[dict(zip(FIELDS, (needles.items[run[0]], *run[1:]))) for run in found] for found in runs]
-            yield pd.DataFrame({"n_words": counts, "matches": rows})
+            rows = [row for shard in _shards(texts) for row in _judge(needles, shard, with_matches)]
+            yield pd.DataFrame({
+                "n_words": [n for n, _, _, _ in rows],
+                "hits": [[{"start": a, "length": n} for a, n in hits] for _, hits, _, _ in rows],
+                "items": [sorted(items) for _, _, items, _ in rows],
+                "matches": [
+                    [{"item_id": needles.items[i], "item_start": s, "start": a, "length": n} for i, s, a, n in matches]
+                    for _, _, _, matches in rows
+                ],
+            })
+            del rows
             give_back()
 
     return search
 
 
-def add_matches(documents: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """All columns, and `name`: word count and every longest run of windows shared with an item, with places.
+def add_matches(
+    documents: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_matches: bool = True
+) -> DataFrame:
+    """All columns, and `name`: word count, the stretches of hit words, the items that hit (null ids left out), and
+    (empty unless `with_matches`) the longest matches: one per item and place at which a match begins that can't
+    be extended to the left.
 
     One block is the rule. With more, the rows are written after each, so a task never holds two.
     """
     context = documents.sparkSession.sparkContext
     rows, part = documents, fresh(documents, "_part")
     for number, block in enumerate(_blocks(benchmark, block_chars)):
-        search = _searcher(context.broadcast(Needles([(r.item_id, r.text) for r in block.collect()], window)))
+        search = _searcher(context.broadcast(Needles([(r.item_id, r.text) for r in block.collect()], window)), with_matches)
         if number == 0:
             rows = rows.withColumn(name, search(field(documents, "text", "string")))
         else:
             both = stage(rows, "matches").withColumn(part, search(field(documents, "text", "string")))
-            joined = F.struct(f"{name}.n_words", F.concat(f"{name}.matches", f"{part}.matches").alias("matches"))
-            rows = both.withColumn(name, joined).drop(part)
+            lists = [F.concat(f"{name}.{f}", f"{part}.{f}").alias(f) for f in ("hits", "items", "matches")]
+            rows = both.withColumn(name, F.struct(f"{name}.n_words", *lists)).drop(part)
     return rows
 
 
 def hit_words(matches: Column) -> Column:
-    """Words inside at least one match: the matches in order of their start, overlaps counted once."""
+    """Words inside at least one stretch or match: in order of their start, overlaps counted once."""
     spans = F.sort_array(F.transform(matches, lambda m: F.struct(m["start"].alias("a"), (m["start"] + m["length"]).alias("b"))))
     zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("reach"))
 
@@ -210,9 +297,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """Per document: n_words, n_hit, the sorted `items`, `matches`, and whether it is contaminated."""
     docs = narrow(documents, doc_id="bigint", text="string")
     found = compute_once(add_matches(docs, benchmark, "found", window), "found", F.col("found"))
-    ids = F.filter(F.transform("found.matches", lambda m: m["item_id"].cast("string")), lambda i: i.isNotNull())
+    ids = F.transform("found.items", lambda i: i.cast("string"))
     judged = found.select(
-        "doc_id", "found.n_words", hit_words(F.col("found.matches")).alias("n_hit"),
+        "doc_id", "found.n_words", hit_words(F.col("found.hits")).alias("n_hit"),
         F.array_sort(F.array_distinct(ids)).alias("items"), "found.matches",
     )
     return judged.withColumn("contaminated", is_contaminated(F.col("n_hit"), F.col("n_words")))
@@ -221,6 +308,6 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = fresh(documents, "_found")
-    rows = add_matches(documents, benchmark, found, window)
-    rows = compute_once(rows, found, F.struct(hit_words(F.col(f"{found}.matches")).alias("n"), F.col(f"{found}.n_words").alias("of")))
+    rows = add_matches(documents, benchmark, found, window, with_matches=False)
+    rows = compute_once(rows, found, F.struct(hit_words(F.col(f"{found}.hits")).alias("n"), F.col(f"{found}.n_words").alias("of")))
     return rows.where(~is_contaminated(F.col(f"{found}.n"), F.col(f"{found}.of"))).drop(found)

@@ -1,8 +1,10 @@
 """The operators against brute force on small rows: nulls, empty and long texts, ties, repeats, empty tables, clashing columns."""
 
+import itertools
 import base64
 import collections
 import hashlib
+import random
 import re
 import uuid
 
@@ -398,3 +400,31 @@ def test_masked_text_follows_the_mask(spark):
     assert {r.conv_id: r.m for r in chats.select("conv_id", masked.alias("m")).collect()} == {1: "<|end|>𝄞a<\\|b", 2: ""}
     wrong = F.transform("loss_runs", lambda n, i: F.when(i % 2 == 1, 0).otherwise(n))
     assert {r.m for r in chats.select(chat.masked_text(F.col("formatted"), wrong).alias("m")).collect()} == {""}
+
+
+def test_matches_of_repetitive_texts():
+    """Hits, items and longest matches against plain loops, and equal words without a product."""
+    draw = random.Random(3)
+    for _ in range(60):
+        window, letters = draw.choice([2, 3, 4]), "abc"[: draw.choice([2, 3])]
+        items = [(draw.choice([None, 1, 2]), " ".join(draw.choices(letters, k=draw.randint(0, 12)))) for _ in range(3)]
+        texts = [" ".join(draw.choices(letters + "z", k=draw.randint(0, 20))) for _ in range(4)]
+        sources = [(item, text.split()) for item, text in items if text]
+        for text, (n, hits, found, matches) in zip(texts, suffixes._judge(suffixes.Needles(items, window), texts, True)):
+            words, hit, named, best = text.split(), set(), set(), {}
+            for number, (item, source) in enumerate(sources):
+                size = min(window, len(source))
+                for p, s in itertools.product(range(len(words) - size + 1), range(len(source) - size + 1)):
+                    if words[p : p + size] != source[s : s + size]:
+                        continue
+                    hit.update(range(p, p + size))
+                    named.add(item)
+                    if not p or not s or words[p - 1] != source[s - 1]:
+                        same = itertools.takewhile(lambda pair: pair[0] == pair[1], zip(words[p:], source[s:]))
+                        best[number, p] = max(best.get((number, p), (0, 0)), (sum(1 for _ in same), -s))
+            assert n == len(words) and {q for a, k in hits for q in range(a, a + k)} == hit
+            assert found == named - {None}
+            assert {(i, p): (k, -s) for i, s, p, k in matches} == best
+    same = "a " * 4000
+    (n, hits, found, matches), = suffixes._judge(suffixes.Needles([(1, same)]), [same], True)
+    assert (n, hits, found, matches[0], len(matches)) == (4000, [(0, 4000)], {1}, (0, 0, 0, 4000), 3988)
