@@ -1078,7 +1078,7 @@ def stream_bronze(spark: SparkSession, d: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, d: str, times: int = 1) -> DataFrame:
     schema = si.table(spark, d, "events").schema
-    stream = incremental.table_stream(spark, d, schema, "events.parquet")
+    stream = incremental.table_stream(spark, f"{d}/events.parquet", schema)
     rows = stream.select(
         F.col("event_id").cast("string").alias("post_id"), "event_type", "user_id", "value",
         clock.ts_to_epoch(F.col("ts")).alias("created_utc"),
@@ -1113,7 +1113,7 @@ def stream_score(spark: SparkSession, d: str) -> DataFrame:
     """The scoring transform on a stream of vectors."""
     path = scratch_dir(spark, "stream-score")
     schema = si.table(spark, d, "embeddings").schema
-    stream = incremental.table_stream(spark, d, schema, "embeddings.parquet").withColumn("wanted", F.lit("mlp_transformer"))
+    stream = incremental.table_stream(spark, f"{d}/embeddings.parquet", schema).withColumn("wanted", F.lit("mlp_transformer"))
     run = incremental.stream_score(stream, _score, f"{path}/out", f"{path}/checkpoint")
     run.awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("vec_id", "label", "score")
+    return incremental.read_scored(spark, f"{path}/out", _score(stream).schema).select("vec_id", "label", "score")

@@ -79,3 +79,25 @@ def test_score_stream_equals_batch(spark, tmp_path):
     inc.stream_score(rows, score, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
     batch = score(to_bronze(read_raw(spark, raw, "comments"), "comments").select("comment_id", "body"))
     assert values(spark.read.parquet(f"{tmp_path}/out")) == values(batch)
+
+
+def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id").alias("vec_id"), (F.col("id") % 2).alias("label"))
+    rows.repartition(4).write.parquet(f"{tmp_path}/in/many.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    next((tmp_path / "one").glob("part-*")).rename(tmp_path / "in" / "one.parquet")
+    for name in ("one", "many"):
+        stream = inc.table_stream(spark, f"{tmp_path}/in/{name}.parquet", rows.schema)
+        inc.stream_score(stream, lambda df: df, f"{tmp_path}/{name}-out", f"{tmp_path}/{name}-ck").awaitTermination()
+        assert values(inc.read_scored(spark, f"{tmp_path}/{name}-out", rows.schema)) == values(rows)
+
+
+def test_streams_over_tables_of_several_files(spark, tmp_path):
+    """A grown table is a folder of files; its stream has the rows of its batch read."""
+    from mentidero.plans import queries
+
+    vectors = spark.createDataFrame([(i, [i / 10, -0.5], i % 3) for i in range(12)], "vec_id long, embedding array<float>, label int")
+    vectors.repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries.stream_score(spark, str(tmp_path))
+    assert values(got) == values(queries.score_mlp(spark, str(tmp_path)).select("vec_id", "label", "score")) and got.count() == 12
+    assert inc.read_scored(spark, f"{tmp_path}/never", vectors.schema).count() == 0
