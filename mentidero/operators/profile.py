@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentidero.operators.joins import parent_join
-from mentidero.operators.quantiles import exact_quantiles, exact_quantiles_by
+from mentidero.operators.quantiles import copied, exact_quantiles, exact_quantiles_by
 from mentidero.session import scratch_dir
 from mentidero.sources.lake import materialize
 
@@ -236,12 +236,15 @@ def _in_fences(x: Column, q1: Column, q3: Column) -> Column:
 
 
 def box_stats_by(df: DataFrame, group: str, column: str) -> DataFrame:
-    """Box statistics per group; rows meet their group's quartiles and combine inside each task."""
+    """Box statistics per group; rows meet their group's quartiles, copied to them unless the groups are many, and
+    combine inside each task."""
     x = F.col(column).cast("double")
     usable = df.where(F.col(group).isNotNull() & x.isNotNull() & ~F.isnan(x)).select(group, x.alias("x"))
     quart = exact_quantiles_by(usable, group, "x", QUARTILES).select(
         group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
+    quart = materialize(quart, scratch_dir(df.sparkSession, "quartiles"))
+    quart = copied(quart, quart.count())
     inside = _in_fences(F.col("x"), F.col("q1"), F.col("q3"))
     return (
         parent_join(usable, quart, group, "inner")

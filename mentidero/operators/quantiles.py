@@ -23,6 +23,7 @@ from mentidero.session import scratch_dir
 from mentidero.sources.lake import materialize
 
 CELLS = 1024  # per interval and round
+FEW = 100_000  # rows of intervals or groups, some 8 MB, that are copied to the values instead of moving these
 STATE = ("key", "lo", "hi", "below", "ranks")
 
 
@@ -37,6 +38,12 @@ def _stage(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, scratch_dir(df.sparkSession, purpose))
 
 
+def copied(df: DataFrame, rows: int) -> DataFrame:
+    """A narrow table of known length for the small side of a join. Unless it is copied, the large side is dealt by a
+    key that may have three values, and a task holds and sorts a third of it."""
+    return F.broadcast(df) if rows <= FEW else df
+
+
 def _log_scale(x: Column) -> Column:
     """A monotone scale on which powers of two are equally far apart, zero and infinities included."""
     return F.signum(x) * (F.greatest(F.least(F.log2(F.abs(x)), F.lit(1100.0)), F.lit(-1100.0)) + 1101)
@@ -54,9 +61,9 @@ def _cell(x: Column, lo: Column, hi: Column, by_log: bool) -> Column:
     return F.greatest(F.lit(0), F.least(F.floor(share * CELLS), F.lit(CELLS - 1))).cast("int")
 
 
-def _narrow(values: DataFrame, state: DataFrame, by_log: bool) -> DataFrame:
-    """The next intervals of every key, from one scan of the values."""
-    ends = state.select(F.col("key").alias("of"), "lo", "hi")
+def _narrow(values: DataFrame, state: DataFrame, by_log: bool, rows: int) -> DataFrame:
+    """The next intervals of every key, from one scan of the values; `state` has `rows` rows."""
+    ends = copied(state.select(F.col("key").alias("of"), "lo", "hi"), rows)
     met = values.join(ends, F.col("key").eqNullSafe(F.col("of")) & F.col("x").between(F.col("lo"), F.col("hi")))
     placed = met.select("key", "lo", F.col("x"), _cell(F.col("x"), F.col("lo"), F.col("hi"), by_log).alias("cell"))
     counted = placed.groupBy("key", "lo", "cell").agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
@@ -80,10 +87,11 @@ def order_statistics(values: DataFrame, state: DataFrame, keep: Callable[[DataFr
         hit = state.where("lo = hi").select("key", F.explode("ranks").alias("rank"), F.col("lo").alias("value"))
         found = hit if found is None else found.unionByName(hit)
         state = state.where("lo < hi")
-        if not state.limit(1).count():
+        rows = state.count()
+        if not rows:
             return found
         turn += 1
-        state = _narrow(values, state, by_log=turn % 2 == 0)
+        state = _narrow(values, state, turn % 2 == 0, rows)
 
 
 def _first_state(values: DataFrame, ranks: Column) -> DataFrame:

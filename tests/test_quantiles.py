@@ -113,3 +113,23 @@ def test_quartile_bucket_keeps_ties_together(spark):
     df = spark.createDataFrame([(v,) for v in [1, 1, 1, 2, 3, 4, 5, 6, None]], "x BIGINT")
     rows = quartile_bucket(df, "x").collect()
     assert {r["x"]: r["bucket"] for r in rows} == {1: "Q1", 2: "Q2", 3: "Q3", 4: "Q3", 5: "Q4", 6: "Q4", None: None}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_stay_where_they_are(spark):
+    """Intervals and quartiles of few keys are copied to the values, whatever Spark takes their size for."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        values = spark.range(1000).select((F.col("id") % 3).cast("int").alias("key"), F.col("id").cast("double").alias("x"))
+        rows = [(k, 0.0, 999.0, 0, [100]) for k in range(3)]
+        state = spark.createDataFrame(rows, "key int, lo double, hi double, below bigint, ranks array<bigint>")
+        assert "BroadcastHashJoin" in plan_of(quantiles._narrow(values, state, False, 3))
+        boxes = box_stats_by(values, "key", "x")
+        assert "BroadcastHashJoin" in plan_of(boxes) and "SortMergeJoin" not in plan_of(boxes)
+        assert sorted((r["key"], r["n"], r["median"]) for r in boxes.collect()) == [(0, 334, 499.5), (1, 333, 499.0), (2, 333, 500.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
