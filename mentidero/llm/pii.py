@@ -5,11 +5,11 @@ overlapping candidates (mail-like words, runs of digits with separators, dotted
 Boosted trees judge each candidate by its format and by the words around it; a candidate at or above its
 kind's calibrated threshold that no base span overlaps is added, the most probable first.
 
-The trees are fitted on the candidates of at most SAMPLE documents, those with the smallest hash of their
-text. Their labels are weak: a candidate is positive if a base span is exactly it, or if it is an opaque
-token next to a word that names a secret; all other candidates are negative. A part of the sample that the
-trees don't see sets the thresholds: the lowest score with a precision of PRECISION. Every document is judged
-whole.
+The trees are fitted on the candidates of all texts, equal texts once. Their labels are weak: a candidate is
+positive if a base span is exactly it, or if it is an opaque token next to a word that names a secret; all other
+candidates are negative. Tasks turn candidates into a byte per feature, its bin, and count equal ones; the trees
+grow from sums over that table. A fourth of the texts, which the trees don't see, sets the thresholds: the lowest
+score with a precision of PRECISION. Every document is judged whole.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts have no spans; repeated rows
 are judged each; an empty table gives no rows; other columns are ignored or passed on.
@@ -18,14 +18,15 @@ are judged each; an empty table gives no rows; other columns are ignored or pass
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentidero.llm.common import field, fresh, narrow
+from mentidero.llm.common import few_files, field, fresh, give_back, narrow, stage
 
 # --- fixed values: kinds in order, and the base patterns ---
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -37,7 +38,10 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # --- end of fixed values ---
 DIGIT = re.compile("[0-9]")
-SAMPLE, MAX_CANDIDATES, PRECISION = 3000, 30_000, 0.99
+PRECISION, STEPS = 0.99, 10_000
+ROUNDS, RATE = 20, 0.5
+ONE = 1 << 20  # gradients are whole numbers of its parts
+TEXTS, SLICE = 64, 50_000  # texts and vectors worked on at a time
 GENERATORS = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}[ ]?(?:@|\(at\)|\[at\])[ ]?[A-Za-z0-9-]{1,63}(?:(?:\.|[ ]?(?:\(dot\)|\[dot\])[ ]?)[A-Za-z0-9-]{1,63}){1,8}")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])")),
@@ -121,6 +125,15 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
+# A feature's bin is its value times its scale, rounded down: shares in 64ths, numbers of an address in twos.
+SCALE = np.array([1, 1, 1] + [64] * 6 + [1] * 5 + [0.5] + [1] * 6)
+WIDTH, BINS = len(SCALE), 256
+
+
+def bins_of(rows: list[list[float]]) -> np.ndarray:
+    return np.clip(np.floor(np.array(rows, dtype=float) * SCALE), 0, BINS - 1).astype(np.uint8)
+
+
 def weak_labels(text: str, found: list[Span]) -> list[int]:
     base = set(base_spans(text))
     return [
@@ -133,7 +146,9 @@ def weak_labels(text: str, found: list[Span]) -> list[int]:
 
 
 class BoostedTrees:
-    """Second-order boosting for the logistic loss: trees of a fixed depth over quantile bins."""
+    """Second-order boosting for the logistic loss: trees of a fixed depth, grown level by level from the sums of
+    gradient and curvature in each node, feature and bin. Who sums doesn't matter: numpy over rows in memory (`fit`)
+    or Spark over a table (`fit_table`)."""
 
     def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.3, bins: int = 32, ridge: float = 1.0):
         self.rounds, self.depth, self.rate, self.bins, self.ridge = rounds, depth, rate, bins, ridge
@@ -141,57 +156,95 @@ class BoostedTrees:
         self.start = 0.0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
+        """Rows in memory, over quantile bins."""
         cuts = [np.unique(np.quantile(column, np.linspace(0, 1, self.bins + 1)[1:-1])) for column in x.T]
         binned = np.stack([np.searchsorted(c, column, "left") for c, column in zip(cuts, x.T)], axis=1)
-        rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.start = float(np.log(rate / (1 - rate)))
-        margin = np.full(len(y), self.start)
-        for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-margin))
-            feature, cut, leaf = self._grow(binned, cuts, p - y, np.maximum(p * (1 - p), 1e-6))
-            self.trees.append((feature, cut, leaf))
-            margin += leaf[self._leaves(x, feature, cut)]
+        once = np.ones(len(y), dtype=np.int64)
+        self.boost(lambda feature, cut, level: self.sums(binned, y, once, feature, cut, level, self.bins), y.sum(), len(y))
+        value = lambda f, c: float(cuts[f][int(c)]) if np.isfinite(c) else np.inf
+        self.trees = [(f, np.array([value(*split) for split in zip(f, c)]), leaf) for f, c, leaf in self.trees]
+        return self
+
+    def fit_table(self, vectors: DataFrame) -> BoostedTrees:
+        """`vectors` (v: a byte per feature, its bin; y; n: how many). Every level is one job over the whole table;
+        what returns has a row per node, feature and bin."""
+        positive, total = vectors.agg(F.sum(F.col("n") * F.col("y")), F.sum("n")).first()
+
+        def sums(feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+            shape = (2**level, WIDTH, BINS, 2)
+
+            def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                found = np.zeros(shape)
+                for x, y, n in _rows_of(batches):
+                    found += self.sums(x, y, n, feature, cut, level, BINS)
+                flat = found.reshape(-1, 2).astype(np.int64)
+                at = np.flatnonzero(flat.any(axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at, 0]), pa.array(flat[at, 1])], names=["at", "g", "h"])
+
+            rows = vectors.select("v", "y", "n").mapInArrow(work, "at long, g long, h long")
+            got = rows.groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+            out = np.zeros((int(np.prod(shape[:-1])), 2))
+            out[got["at"].to_numpy(np.int64)] = got[["g", "h"]].to_numpy(float)
+            return out.reshape(shape)
+
+        self.boost(sums, positive, total)
         return self
 
-    def _grow(self, binned, cuts, grad, curve):
-        inner = 2**self.depth - 1
-        feature, cut = np.zeros(inner, dtype=int), np.full(inner, np.inf)
-        node = np.zeros(len(grad), dtype=int)
-        for level in range(self.depth):
-            for now in range(2**level - 1, 2 ** (level + 1) - 1):
-                rows = np.flatnonzero(node == now)
-                best = 1e-6
-                g_all, h_all = grad[rows].sum(), curve[rows].sum()
-                for f in range(binned.shape[1]):
-                    n = len(cuts[f]) + 1
-                    g = np.cumsum(np.bincount(binned[rows, f], grad[rows], n))[:-1]
-                    h = np.cumsum(np.bincount(binned[rows, f], curve[rows], n))[:-1]
+    def boost(self, sums: Callable[[np.ndarray, np.ndarray, int], np.ndarray], positive: float, total: float) -> None:
+        share = np.clip(positive / total, 1e-3, 1 - 1e-3)
+        self.start = float(np.log(share / (1 - share)))
+        for _ in range(self.rounds):
+            inner = 2**self.depth - 1
+            feature, cut, leaf = np.zeros(inner, dtype=int), np.full(inner, np.inf), np.zeros(2**self.depth)
+            for level in range(self.depth):
+                for at, node in enumerate(sums(feature, cut, level) / ONE):
+                    g, h = np.cumsum(node[:, :, 0], axis=1), np.cumsum(node[:, :, 1], axis=1)
+                    g_all, h_all = g[0, -1], h[0, -1]
                     gain = g**2 / (h + self.ridge) + (g_all - g) ** 2 / (h_all - h + self.ridge) - g_all**2 / (h_all + self.ridge)
-                    if len(gain) and gain.max() > best:
-                        best, feature[now], cut[now] = gain.max(), f, cuts[f][int(gain.argmax())]
-                values = binned[rows, feature[now]]
-                limit = np.searchsorted(cuts[feature[now]], cut[now], "left") if np.isfinite(cut[now]) else self.bins + 1
-                node[rows] = 2 * now + 1 + (values > limit)
-        leaf = np.zeros(2**self.depth)
-        for i in range(len(leaf)):
-            rows = node == i + inner
-            leaf[i] = -self.rate * grad[rows].sum() / (curve[rows].sum() + self.ridge)
-        return feature, cut, leaf
-
-    def _leaves(self, x: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=int)
-        rows = np.arange(len(x))
-        for _ in range(self.depth):
+                    f, c = np.unravel_index(int(gain.argmax()), gain.shape)
+                    left = (g_all, h_all)
+                    if gain[f, c] > 1e-6:
+                        feature[2**level - 1 + at], cut[2**level - 1 + at], left = f, c, (g[f, c], h[f, c])
+                    if level == self.depth - 1:
+                        leaf[2 * at] = -self.rate * left[0] / (left[1] + self.ridge)
+                        leaf[2 * at + 1] = -self.rate * (g_all - left[0]) / (h_all - left[1] + self.ridge)
+            self.trees.append((feature, cut, leaf))
+
+    def sums(self, x, y, n, feature, cut, level: int, bins: int) -> np.ndarray:
+        """Sums over the rows for each node of a level, feature and bin; gradients are whole numbers of 1 / ONE, so
+        the order of adding doesn't matter."""
+        p = self.predict(x)
+        grad, curve = np.rint((p - y) * ONE) * n, np.rint(np.maximum(p * (1 - p), 1e-6) * ONE) * n
+        node = self._down(x, feature, cut, level) - (2**level - 1)
+        out = np.empty((2**level, x.shape[1], bins, 2))
+        for f in range(x.shape[1]):
+            cell = node * bins + x[:, f]
+            for i, value in enumerate((grad, curve)):
+                out[:, f, :, i] = np.bincount(cell, value, 2**level * bins).reshape(-1, bins)
+        return out
+
+    def _down(self, x: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+        for _ in range(levels):
             node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
-        return node - (2**self.depth - 1)
+        return node
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         margin = np.full(len(x), self.start)
         for feature, cut, leaf in self.trees:
-            margin += leaf[self._leaves(x, feature, cut)]
+            margin += leaf[self._down(x, feature, cut, self.depth) - (2**self.depth - 1)]
         return 1 / (1 + np.exp(-margin))
 
 
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bins, labels and numbers of rows (v, y, n), some thousands at a time."""
+    for whole in batches:
+        for begin in range(0, whole.num_rows, SLICE):
+            part = whole.slice(begin, SLICE)
+            x = np.frombuffer(b"".join(part.column("v").to_pylist()), np.uint8).reshape(-1, WIDTH)
+            yield x.astype(np.int64), part.column("y").to_numpy(), part.column("n").to_numpy()
+
+
 class Detector:
     """Fitted trees and the threshold of each kind (above 1: the kind adds nothing)."""
 
@@ -211,7 +264,7 @@ class Detector:
                     if all(s[2] <= b[1] or s[1] >= b[2] for b in taken)
                 ]
             if open_spans:
-                p = self.trees.predict(np.array([features(texts[i], s) for i, s in open_spans], dtype=float))
+                p = self.trees.predict(bins_of([features(texts[i], s) for i, s in open_spans]).astype(np.int64))
                 for (i, s), value in zip(open_spans, p.tolist()):
                     if value >= self.thresholds.get(s[0], 2.0):
                         added[i].append((value, s))
@@ -225,56 +278,84 @@ class Detector:
         return out
 
 
-def fit_detector(texts: list[str]) -> Detector:
-    rows, labels, kinds = [], [], []
-    for text in texts:
-        found = candidates(text)
-        if len(rows) + len(found) > MAX_CANDIDATES:
-            break
-        rows += [features(text, s) for s in found]
-        labels += weak_labels(text, found)
-        kinds += [s[0] for s in found]
-    x, y, kind = np.array(rows, dtype=float), np.array(labels, dtype=float), np.array(kinds)
-    if len(y) < 50 or y.min() == y.max():
+def training_vectors(documents: DataFrame) -> DataFrame:
+    """(v, y, held, n): the candidates of all texts by their bins and weak label; equal texts count once. A fourth of
+    the texts, by their hash, is held back from the trees."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, TEXTS):
+                part = whole.slice(begin, TEXTS)
+                rows: Counter[tuple[int, bytes, int]] = Counter()
+                for key, text in zip(part.column("h").to_pylist(), part.column("text").to_pylist()):
+                    found = candidates(text)
+                    if found:
+                        x = bins_of([features(text, s) for s in found])
+                        # one text's own counts: a copy in the same slice must not add to them
+                        rows.update({(key, v, y): n for (v, y), n in Counter(zip(map(bytes, x), weak_labels(text, found))).items() if (key, v, y) not in rows})
+                keys = list(rows)
+                columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), pa.array([k[2] for k in keys], pa.int64()), pa.array(list(rows.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "v", "y", "n"])
+            give_back()
+
+    texts = narrow(documents, text="string").where("text <> ''").select(F.xxhash64("text").alias("h"), "text")
+    once = texts.mapInArrow(work, "h long, v binary, y long, n long").groupBy("h", "v", "y").agg(F.max("n").alias("n"))
+    held = (F.pmod("h", F.lit(4)) == 3).alias("held")
+    return once.groupBy("v", "y", held).agg(F.sum("n").alias("n"))
+
+
+def calibrate(trees: BoostedTrees, vectors: DataFrame) -> dict[str, float]:
+    """Per kind the lowest score, in steps of 1 / STEPS, with a precision of PRECISION; above 1 where there is none."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y, n in _rows_of(batches):
+            step = np.floor(trees.predict(x) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(step), pa.array(y * n), pa.array(n)], names=["kind", "step", "hits", "n"])
+
+    scored = vectors.select("v", "y", "n").mapInArrow(work, "kind long, step long, hits long, n long")
+    steps = scored.groupBy("kind", "step").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).toPandas()  # STEPS rows a kind
+    thresholds = {}
+    for place, name in enumerate(KINDS):
+        mine = steps[steps["kind"] == place].sort_values("step", ascending=False)
+        fine = np.flatnonzero(mine["hits"].cumsum() / mine["n"].cumsum() >= PRECISION)
+        thresholds[name] = max(mine["step"].iloc[fine[-1]] / STEPS, 0.5) if len(fine) else 2.0
+    return thresholds
+
+
+def fit(documents: DataFrame) -> Detector:
+    """Fit on the candidates of all texts. Only sums by bin and step come to the driver."""
+    vectors = stage(training_vectors(documents), "candidates")
+    seen = vectors.where("NOT held").agg(F.count("*"), F.sum("n"), F.min("y"), F.max("y")).first()
+    if (seen[1] or 0) < 50 or seen[2] == seen[3]:
         return Detector(None, {})
-    held = np.arange(len(y)) % 4 == 3
-    trees = BoostedTrees().fit(x[~held], y[~held])
-    p, thresholds = trees.predict(x[held]), {}
-    for name in KINDS:
-        mine = kind[held] == name
-        order = np.argsort(-p[mine], kind="stable")
-        hits, scores = np.cumsum(y[held][mine][order]), p[mine][order]
-        fine = np.flatnonzero(hits / np.arange(1, len(order) + 1) >= PRECISION)
-        thresholds[name] = max(float(scores[fine[-1]]), 0.5) if len(fine) else 2.0
-    return Detector(trees, thresholds)
-
-
-def fit(documents: DataFrame, sample: int = SAMPLE) -> Detector:
-    """Fit on the texts with the smallest hashes; `sample` bounds what comes to the driver."""
-    texts = narrow(documents, text="string").where("text <> ''")
-    keyed = texts.withColumn("h", F.xxhash64("text"))
-    limits = keyed.select("h").distinct().orderBy("h").limit(sample)
-    rows = keyed.join(F.broadcast(limits), "h").groupBy("h").agg(F.min("text").alias("text")).orderBy("h")
-    return fit_detector([r.text for r in rows.collect()])
+    own = stage(few_files(vectors.where("NOT held"), seen[0]), "candidates")
+    trees = BoostedTrees(ROUNDS, rate=RATE).fit_table(own)
+    return Detector(trees, calibrate(trees, vectors.where("held")))
 
 
 SPANS = "array<struct<kind: string, start: bigint, stop: bigint>>"
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
+FOUND = pa.struct([("base", _SPANS), ("spans", _SPANS), ("redacted", pa.string())])
 
 
 def add_spans(documents: DataFrame, detector: Detector, name: str) -> DataFrame:
     """All columns, and `name`: struct of the base spans, all spans, and the redacted text."""
     shared = documents.sparkSession.sparkContext.broadcast(detector)
 
-    @F.pandas_udf(f"struct<base: {SPANS}, spans: {SPANS}, redacted: string>")
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = shared.value.spans(texts.tolist())
-            as_rows = lambda spans: [{"kind": k, "start": a, "stop": b} for k, a, b in spans]
-            yield pd.DataFrame({
-                "base": [as_rows(base) for base, _ in found],
-                "spans": [as_rows(every) for _, every in found],
-                "redacted": [redact(text, every) for text, (_, every) in zip(texts, found)],
-            })
+    @F.arrow_udf(f"struct<base: {SPANS}, spans: {SPANS}, redacted: string>")
+    def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        as_rows = lambda spans: [{"kind": k, "start": a, "stop": b} for k, a, b in spans]
+        for whole in batches:
+            parts = [pa.array([], FOUND)]
+            for begin in range(0, len(whole), TEXTS):
+                texts = whole.slice(begin, TEXTS).to_pylist()
+                found = shared.value.spans(texts)
+                parts.append(pa.array([
+                    {"base": as_rows(base), "spans": as_rows(every), "redacted": redact(text, every)}
+                    for text, (base, every) in zip(texts, found)
+                ], FOUND))
+            yield pa.concat_arrays(parts)
+            give_back()
 
     return documents.withColumn(name, detect(field(documents, "text", "string")))
 

@@ -428,3 +428,14 @@ def test_matches_of_repetitive_texts():
     same = "a " * 4000
     (n, hits, found, matches), = suffixes._judge(suffixes.Needles([(1, same)]), [same], True)
     assert (n, hits, found, matches[0], len(matches)) == (4000, [(0, 4000)], {1}, (0, 0, 0, 4000), 3988)
+
+
+def test_detector_learns_from_every_text(spark):
+    """All texts count, equal ones once, however they are dealt."""
+    ids = spark.range(6000).withColumn("text", F.concat(F.lit("call +49 30 "), (F.col("id") + 100_000).cast("string"), F.lit(" or "), F.col("id").cast("string"), F.lit("@x.org")))
+    texts = ids.select("text").unionByName(ids.select("text").where("id < 50")).unionByName(spark.createDataFrame([(None,), ("",)], "text string"))
+    per_text = len(pii.candidates("call +49 30 100000 or 0@x.org"))
+    assert per_text >= 2
+    vectors = pii.training_vectors(texts.repartition(5))
+    assert vectors.agg(F.sum("n")).first()[0] == 6000 * per_text
+    assert sorted(map(tuple, vectors.collect())) == sorted(map(tuple, pii.training_vectors(texts.repartition(2)).collect()))
