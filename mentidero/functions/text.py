@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from mentidero.functions.arrow import give_back
+
+TEXTS = 64  # normalized at a time
+
 # --- fixed values ------------------------------------------------------------------------------
 # What a Python `str` method counts as white space: as characters, and as a regex class body under
 # the (?U) flag, where \s is Unicode white space.
@@ -26,9 +33,20 @@ MIN_CLEAN_LENGTH = 3
 # --- end of fixed values -----------------------------------------------------------------------
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKC")
+def normalized(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """NFKC of each text. Few texts at a time are Python strings, whose code points may take four bytes each; what a
+    batch leaves behind is returned to the system."""
+    for whole in batches:
+        parts = [pa.array([], pa.string())]
+        for begin in range(0, len(whole), TEXTS):
+            texts = whole.slice(begin, TEXTS).to_pylist()
+            parts.append(pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts], pa.string()))
+        yield pa.concat_arrays(parts)
+        del whole, parts
+        give_back()
+
+
+_nfkc = F.arrow_udf(normalized, StringType())
 
 
 def nfkc(text: Column) -> Column:

@@ -144,3 +144,16 @@ def test_overfit_signal_and_polarity(spark):
     df = spark.createDataFrame([(0.01, "NEG"), (0.06, "LABEL_pos"), (-0.06, "Neutral"), (0.03, "x")], "g DOUBLE, l STRING")
     rows = [tuple(r) for r in df.select(labels.overfit_signal(F.col("g")), labels.polarity(F.col("l"))).collect()]
     assert rows == [("stable", "negative"), ("overfit", "positive"), ("moderate", "neutral"), ("moderate", "unknown")]
+
+
+def test_nfkc_of_a_batch_in_parts():
+    """A batch longer than a part: every text at its place, nulls kept, no whole batch as Python strings."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    from mentidero.functions import text
+
+    rows = [None if i % 7 == 0 else f"ﬁne Ａ１ … {i}" for i in range(3 * text.TEXTS + 5)]
+    got = list(text.normalized(iter([pa.array(rows), pa.array([], pa.string())])))
+    assert got[0].to_pylist() == [None if r is None else unicodedata.normalize("NFKC", r) for r in rows] and len(got[1]) == 0
