@@ -65,10 +65,11 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, versio
 
     if database:
         ensure_tables(spark, database, store)
-    keyed("subreddits").upsert(dim)
+    # The silver tables have one row per key.
+    keyed("subreddits").upsert(dim, unique=True)
     keyed("authors").insert_ignore(authors)
-    keyed("posts").upsert(posts)
-    keyed("comments").upsert(comments)
+    keyed("posts").upsert(posts, unique=True)
+    keyed("comments").upsert(comments, unique=True)
     return paths
 
 

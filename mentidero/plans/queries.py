@@ -668,9 +668,9 @@ def store_comments(spark: SparkSession, d: str) -> DataFrame:
     """Comments into their store table: the newer of two versions of a row stays, whichever came first."""
     comments = silver.normalize_comments(si.comments(spark, d))
     table = store.store_table(spark, scratch_dir(spark, "comments"), "comments", 8)
-    table.upsert(comments, order=["created_utc"])
+    table.upsert(comments, order=["created_utc"], unique=True)
     older = comments.withColumns({"created_utc": F.col("created_utc") - 1, "author": F.lit("old")})
-    table.upsert(older, order=["created_utc"])
+    table.upsert(older, order=["created_utc"], unique=True)
     return table.read().select("comment_id", "post_id", "author", "score", "is_submitter")
 
 

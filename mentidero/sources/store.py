@@ -55,14 +55,15 @@ class KeyedTable:
         parts = self.parts()
         return self.spark.sql(self._sql(parts)) if parts else empty(self.spark, self.schema)
 
-    def upsert(self, incoming: DataFrame, order: list[str] | None = None) -> None:
-        """Replace whole rows by key (nulls too), insert the others. No rows: nothing happens.
+    def upsert(self, incoming: DataFrame, order: list[str] | None = None, unique: bool = False) -> None:
+        """Replace whole rows by key (nulls too), insert the others. No rows: nothing happens. `unique` promises that
+        `incoming` has one row per key already (rows without a key aside), so its rows move once, to their buckets.
 
         With `order`, stored columns, the row with the largest values wins, be it stored or incoming;
         an incoming row wins a tie.
         """
         stored = bool(order) and set(order) <= set(self.schema.fieldNames())
-        self._add(incoming, order or [], NEWEST if stored else REPLACE, tuple(order) if stored else ())
+        self._add(incoming, order or [], NEWEST if stored else REPLACE, tuple(order) if stored else (), unique)
 
     def insert_ignore(self, incoming: DataFrame) -> None:
         """Append rows whose key is not there yet; present rows stay."""
@@ -105,18 +106,18 @@ class KeyedTable:
         lists = or_empty(lambda: self.spark.read.schema(StructType.fromDDL(f"{LIST_SCHEMA}, version INT")).json(f"{self.root}/versions"), self.spark, names)
         return lists.agg(F.max("version")).first()[0] or 0
 
-    def _add(self, incoming: DataFrame, order: list[str], mode: str, stored_order: tuple[str, ...]) -> None:
+    def _add(self, incoming: DataFrame, order: list[str], mode: str, stored_order: tuple[str, ...], unique: bool = False) -> None:
         parts = self.parts()
         if any((p.mode, p.order) != (mode, stored_order) for p in parts[1:]):
             self.compact()  # parts of one kind only: which row of a key stays must not hang on rows that don't
             parts = self.parts()
-        fresh = self._prepare(incoming, order)
+        fresh = self._prepare(incoming, order, unique)
         name = self._write(fresh.repartition(self.buckets, self.key), mode)
         if not self._table(name).limit(1).count():
             return
         self._publish([*parts, Part(name, mode, stored_order)])
 
-    def _prepare(self, incoming: DataFrame, order: list[str]) -> DataFrame:
+    def _prepare(self, incoming: DataFrame, order: list[str], unique: bool) -> DataFrame:
         keyed, _ = split_rejects(incoming, self.key)
         fields = set(self.schema.fieldNames())
         extra = [c for c in order if c not in fields]
@@ -125,7 +126,8 @@ class KeyedTable:
               for f in self.schema.fields],
             *extra,
         ).where(F.col(self.key).isNotNull())
-        return one_per_key(canonical, [self.key], order).select(*self.schema.fieldNames())
+        kept = canonical if unique else one_per_key(canonical, [self.key], order)
+        return kept.select(*self.schema.fieldNames())
 
     def _beats(self, parts: list[Part], i: int, j: int, a: str, b: str) -> str:
         """The SQL condition under which row `a` of part i stays before row `b` of part j, their keys being equal."""

@@ -213,3 +213,15 @@ def test_an_empty_run_of_a_batch_leaves_no_rows(spark, tmp_path):
         write(df, path)
         write(df.limit(0), path, ["b1"])
         assert [r.k for r in spark.read.schema("k STRING, batch_ts STRING").parquet(path).collect()] == ["z"]
+
+
+def test_rows_that_are_unique_already_move_once(spark, tmp_path):
+    from mentidero.sources.store import KeyedTable
+
+    rows = spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"))
+    plain, unique = (KeyedTable(spark, f"{tmp_path}/{n}", rows.schema, "k", buckets=2) for n in ("plain", "unique"))
+    assert "Exchange" not in unique._prepare(rows, ["v"], True)._jdf.queryExecution().executedPlan().toString()
+    for part in (rows, rows.where("v < 40").withColumn("v", F.col("v") + 1)):
+        plain.upsert(part, order=["v"])
+        unique.upsert(part, order=["v"], unique=True)
+    assert sorted(map(tuple, unique.read().collect())) == sorted(map(tuple, plain.read().collect()))
