@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentidero.llm.common import few_files, field, fresh, give_back, narrow, stage
+from mentidero.llm.common import ROWS_PER_FILE, few_files, field, fresh, give_back, narrow, stage
 
 # --- fixed values: kinds in order, and the base patterns ---
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -165,9 +165,9 @@ class BoostedTrees:
         self.trees = [(f, np.array([value(*split) for split in zip(f, c)]), leaf) for f, c, leaf in self.trees]
         return self
 
-    def fit_table(self, vectors: DataFrame) -> BoostedTrees:
+    def fit_table(self, vectors: DataFrame, parts: int = 1) -> BoostedTrees:
         """`vectors` (v: a byte per feature, its bin; y; n: how many). Every level is one job over the whole table;
-        what returns has a row per node, feature and bin."""
+        what returns has a row per node, feature and bin, added up in `parts` tasks."""
         positive, total = vectors.agg(F.sum(F.col("n") * F.col("y")), F.sum("n")).first()
 
         def sums(feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
@@ -182,7 +182,7 @@ class BoostedTrees:
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at, 0]), pa.array(flat[at, 1])], names=["at", "g", "h"])
 
             rows = vectors.select("v", "y", "n").mapInArrow(work, "at long, g long, h long")
-            got = rows.groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+            got = rows.repartition(parts, "at").groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
             out = np.zeros((int(np.prod(shape[:-1])), 2))
             out[got["at"].to_numpy(np.int64)] = got[["g", "h"]].to_numpy(float)
             return out.reshape(shape)
@@ -329,7 +329,7 @@ def fit(documents: DataFrame) -> Detector:
     if (seen[1] or 0) < 50 or seen[2] == seen[3]:
         return Detector(None, {})
     own = stage(few_files(vectors.where("NOT held"), seen[0]), "candidates")
-    trees = BoostedTrees(ROUNDS, rate=RATE).fit_table(own)
+    trees = BoostedTrees(ROUNDS, rate=RATE).fit_table(own, -(-seen[0] // ROWS_PER_FILE))
     return Detector(trees, calibrate(trees, vectors.where("held")))
 
 
