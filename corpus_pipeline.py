@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from mentidero.llm import pii, toxicity
-from mentidero.llm.bpe import decode_documents, encode_documents
+from mentidero.llm.bpe import encode_and_decode
 from mentidero.llm.common import stage, table
 from mentidero.llm.probminhash import one_of_each_class
 from mentidero.llm.suffixes import remove_contaminated
@@ -37,8 +37,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = encode_documents(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"])
-    return decode_documents(encoded, RANKS, public_tokenizers.PATTERN, ["doc_id", "n_tokens", "ids"])
+    return encode_and_decode(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"])
 
 
 STAGES = [

@@ -10,9 +10,11 @@ import uuid
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mentidero.llm import bpe, chat, edits, llr, pii, probminhash, suffixes, tagpaths, toxicity, warc
 from mentidero.session import scratch_dir
 
@@ -439,3 +441,19 @@ def test_detector_learns_from_every_text(spark):
     vectors = pii.training_vectors(texts.repartition(5))
     assert vectors.agg(F.sum("n")).first()[0] == 6000 * per_text
     assert sorted(map(tuple, vectors.collect())) == sorted(map(tuple, pii.training_vectors(texts.repartition(2)).collect()))
+
+
+def test_texts_are_encoded_and_decoded_in_one_worker(spark, docs):
+    rows = docs.select("doc_id", "text")
+    both = bpe.encode_and_decode(rows, RANKS, PATTERN, ["doc_id"])
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode_documents(bpe.encode_documents(rows, RANKS, PATTERN, ["doc_id"]), RANKS, PATTERN, ["doc_id", "n_tokens", "ids"])
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert both.columns == apart.columns and order(both) == order(apart)
+    stages = dict(corpus_pipeline.STAGES)["encoding"](spark, rows, "")
+    assert stages._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_encoded_rows_are_handed_on_by_the_slice():
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(1000))})
+    assert [b.num_rows for b in bpe._slices([rows])] == [bpe.SLICE] * 15 + [1000 - 15 * bpe.SLICE]
