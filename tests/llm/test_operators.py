@@ -457,3 +457,17 @@ def test_texts_are_encoded_and_decoded_in_one_worker(spark, docs):
 def test_encoded_rows_are_handed_on_by_the_slice():
     rows = pa.RecordBatch.from_pydict({"doc_id": list(range(1000))})
     assert [b.num_rows for b in bpe._slices([rows])] == [bpe.SLICE] * 15 + [1000 - 15 * bpe.SLICE]
+
+
+def test_many_words_have_the_cells_of_each():
+    words = ["a", "_", "ab", "abc", "abcd", "abcdef", "abcdefg", "\u00e9", "\u00e9\u00e9\u00e9x", "\u65e5\u672c\u8a9e", "x" * 5000]
+    assert toxicity.cells_of_all(words).tolist() == [toxicity.cells_of(w) for w in words]
+    for text in ("", "A-b_c9 \x00d\x1ce\x7ff", "It's\u2028\u0130\u00df a.b"):
+        assert toxicity.words_of(text) == re.findall(r"\w+", text.lower())
+
+
+def test_words_are_numbered_as_they_are_laid_out():
+    scorer = toxicity.Scorer(toxicity.Network())
+    flat, starts = scorer.number([["a", "b", "a"], [], ["b"]])
+    wanted = toxicity._flatten([[1, 2, 1], [], [2]])
+    assert flat.tolist() == wanted[0].tolist() and starts.tolist() == wanted[1].tolist()
