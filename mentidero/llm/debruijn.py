@@ -14,6 +14,9 @@ be cut there; runs that stay in one part are the same. Bit maps of bounded size
 what is frequent; what they mark by chance costs time only. Words are 64-bit hashes of language and word until the
 end; if a frequent word shares its hash with another word, another salt is taken, so no count is mixed.
 
+Tasks cut blocks of many texts into words by array operations on their bytes and look up each distinct word of a
+block once.
+
 Defined results: a null text is empty, a null language is `und`; repeated rows count each; empty tables and pieces
 give nothing; other columns are ignored. Nothing is cut from long texts: tasks hand on counts per PLACES words.
 """
@@ -34,7 +37,9 @@ LONGEST = 5
 # --- fixed values: what ends a piece, what stands between words ---
 BREAKS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 # --- end of fixed values ---
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)  # of a byte: A-Z only
+KINDS = np.zeros(256, np.uint8)  # of a byte: 1 between words, 2 ends a piece
+KINDS[list(BLANKS.encode())], KINDS[list(BREAKS.encode())] = 1, 2
 PLACES = 250_000  # words whose runs are counted together in a task
 KNOWN = 100_000  # spellings a task remembers
 SLICE = 1 << 20  # characters read at a time
@@ -46,9 +51,17 @@ SCORE = """CAST((CAST(a AS DECIMAL(17,0)) * CAST(total AS DECIMAL(17,0)) * CAST(
     div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0))) AS BIGINT)"""
 
 
+def lead(salt: int, lang: str) -> bytes:
+    return f"{salt}\0{lang}\0".encode("utf-8", "replace")
+
+
+def digest(before: bytes, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(before + word, 42) or 1
+
+
 def hashed(salt: int, lang: str, word: str) -> int:
     """As `hash_of` in Spark; 0 stands for no word."""
-    return xxhash.xxh64_intdigest(f"{salt}\0{lang}\0{word}".encode("utf-8", "replace"), 42) or 1
+    return digest(lead(salt, lang), word.encode("utf-8", "replace"))
 
 
 def hash_of(salt: int) -> Column:
@@ -87,12 +100,21 @@ def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
         give_back()
 
 
-def tokens_of(part: str) -> list[str]:
-    """Words, a line feed for what ends a piece, and empty strings between blanks."""
-    for c in BREAKS:
-        if c != "\n":
-            part = part.replace(c, "\n")
-    return part.replace("\t", " ").replace("\n", " \n ").split(" ")
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    """(lang, block): texts of a language, each with a line feed behind it, or in turn the slices of a long one."""
+    held: dict[str, list[str]] = {}
+    size = 0
+    for lang, text in texts_of(batches):
+        if len(text) > SLICE:
+            yield from ((lang, part) for part in slices(text))
+            yield lang, "\n"
+            continue
+        held.setdefault(lang, []).append(text)
+        size += len(text) + 1
+        if size >= 2 * SLICE:
+            yield from ((own, "\n".join([*texts, ""])) for own, texts in held.items())
+            held, size = {}, 0
+    yield from ((own, "\n".join([*texts, ""])) for own, texts in held.items())
 
 
 class Bits:
@@ -100,16 +122,11 @@ class Bits:
 
     def __init__(self, words: np.ndarray):
         self.words = words  # 64 bits each, a power of two of them
-        self.bytes = words.astype("<u8").tobytes()
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         slot = keys & np.uint64(64 * len(self.words) - 1)
         return (self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
 
-    def has_one(self, key: int) -> bool:
-        slot = key & (64 * len(self.words) - 1)
-        return bool(self.bytes[slot >> 3] >> (slot & 7) & 1)
-
 
 def bits_of(keys: DataFrame, name: str) -> Bits:
     """The lowest bits of the 64-bit column name its place; words of 64 bits are made in Spark, at most MOST_BITS / 64."""
@@ -125,19 +142,23 @@ def bits_of(keys: DataFrame, name: str) -> Bits:
     return Bits(words.view(np.uint64))
 
 
-class Spellings(dict):
-    """Tokens of one language to places in a table of word hashes; the table is shared by the languages."""
-
-    def __init__(self, table: Table, lang: str):
-        super().__init__({"": BLANK, "\n": BREAK})
-        self.table, self.lang = table, lang
+def words_in(block: str) -> tuple[np.ndarray, list[bytes]]:
+    """The block's words as places among its distinct ones, -1 where pieces end; the distinct words, lower-cased."""
+    raw = np.frombuffer(block.encode("utf-8", "replace"), np.uint8)
+    kinds = KINDS[raw]
+    inside = kinds == 0
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, stops = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(stops - starts, out=offsets[1:])
+    letters = LOWER[raw[inside]]
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    ends = np.searchsorted(starts, np.flatnonzero(kinds == 2))
+    ends = ends[np.diff(ends, prepend=-1) != 0]
+    return np.insert(words.indices.to_numpy().astype(np.int64), ends, -1), words.dictionary.to_numpy(zero_copy_only=False).tolist()
 
-    def __missing__(self, token: str) -> int:
-        place = self[token] = self.table.add(self.lang, token.lower() if token.isascii() else token.translate(LOWER))
-        return place
 
-
-BLANK, BREAK = 0, 1  # places that stand for no word
+BREAK = 0  # the place that stands for no word
 
 
 class Table:
@@ -145,26 +166,28 @@ class Table:
 
     def __init__(self, salt: int, frequent: Bits | None):
         self.salt, self.frequent = salt, frequent
-        self.of: dict[str, Spellings] = {}
-        self.names: list[tuple[str, str]] = [("", ""), ("", "")]
+        self.of: dict[str, dict[bytes, int]] = {}  # by language, the places of its words
+        self.names: list[tuple[str, bytes]] = [("", b"")]
         self.hashes = np.zeros(1024, np.uint64)
 
-    def add(self, lang: str, word: str) -> int:
-        place, number = len(self.names), hashed(self.salt, lang, word)
-        self.names.append((lang, word))
-        if place == len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros(place, np.uint64)])
-        if self.frequent is None or self.frequent.has_one(number):
-            self.hashes[place] = number
-        return place
-
-    def places(self, lang: str, part: str) -> np.ndarray:
-        own = self.of.get(lang)
-        if own is None:
-            own = self.of[lang] = Spellings(self, lang)
-        tokens = tokens_of(part)
-        found = np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens))
-        return found[found != BLANK]
+    def add(self, lang: str, words: list[bytes]) -> None:
+        first, end = len(self.names), len(self.names) + len(words)
+        self.of[lang].update(zip(words, range(first, end)))
+        self.names += [(lang, word) for word in words]
+        before = lead(self.salt, lang)
+        numbers = np.array([digest(before, word) for word in words], np.uint64)
+        if self.frequent is not None:
+            numbers[~self.frequent.has(numbers)] = 0
+        if end > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(end, np.uint64)])
+        self.hashes[first:end] = numbers
+
+    def places(self, lang: str, block: str) -> np.ndarray:
+        own = self.of.setdefault(lang, {})
+        at, distinct = words_in(block)
+        self.add(lang, [word for word in distinct if word not in own])
+        found = np.fromiter(map(own.__getitem__, distinct), np.int64, len(distinct))
+        return np.append(found, BREAK)[at]
 
 
 def count_words(documents: DataFrame) -> DataFrame:
@@ -184,18 +207,18 @@ def count_words(documents: DataFrame) -> DataFrame:
             seen = np.flatnonzero(all_times)
             seen = seen[seen > BREAK]
             names = [table.names[i] for i in seen.tolist()]
-            columns = [pa.array([lang for lang, _ in names], pa.string()), pa.array([word for _, word in names], pa.string()), pa.array(all_times[seen])]
+            spelled = pa.array([word for _, word in names], pa.binary()).cast(pa.string())
+            columns = [pa.array([lang for lang, _ in names], pa.string()), spelled, pa.array(all_times[seen])]
             return pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
 
-        for lang, text in texts_of(batches):
-            for part in slices(text):
-                met.append(table.places(lang, part))
-                size += len(met[-1])
-                if len(table.names) > KNOWN:
-                    yield counted()
-                    table, met, size, times = Table(0, None), [np.zeros(0, np.int64)], 0, np.zeros(0, np.int64)
-                elif size >= PLACES:
-                    times, met, size = tally(), [np.zeros(0, np.int64)], 0
+        for lang, block in blocks_of(batches):
+            met.append(table.places(lang, block))
+            size += len(met[-1])
+            if len(table.names) > KNOWN:
+                yield counted()
+                table, met, size, times = Table(0, None), [np.zeros(0, np.int64)], 0, np.zeros(0, np.int64)
+            elif size >= PLACES:
+                times, met, size = tally(), [np.zeros(0, np.int64)], 0
         yield counted()
 
     parts = documents.mapInArrow(work, "lang string, word string, n long")
@@ -209,18 +232,16 @@ def runs(documents: DataFrame, salt: int, frequent: Callable[[], Bits], reduce:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(salt, frequent())
         held, size = [np.zeros(0, np.uint64)], 0
-        for lang, text in texts_of(batches):
-            for part in slices(text):
-                places = table.places(lang, part)
-                held.append(table.hashes[places])
-                size += len(places)
-                if size >= PLACES:
-                    words = np.concatenate(held)
-                    yield reduce(words)
-                    held, size = [words[len(words) - LONGEST + 1 :]], 0
-                if len(table.names) > KNOWN:
-                    table = Table(salt, frequent())
-            held.append(np.zeros(1, np.uint64))
+        for lang, block in blocks_of(batches):
+            places = table.places(lang, block)
+            held.append(table.hashes[places])
+            size += len(places)
+            if size >= PLACES:
+                words = np.concatenate(held)
+                yield reduce(words)
+                held, size = [words[len(words) - LONGEST + 1 :]], 0
+            if len(table.names) > KNOWN:
+                table = Table(salt, frequent())
         yield reduce(np.concatenate([*held, np.zeros(LONGEST - 1, np.uint64)]))
 
     return documents.mapInArrow(work, schema)

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from mentidero.llm import debruijn
@@ -91,6 +92,30 @@ def test_small_blocks_and_slices_change_nothing(spark, monkeypatch):
     assert total(cut) == total([whole])
 
 
+def test_words_of_a_block():
+    text = " A.b  C\u00c9\t.\r..e\x85f\u00a0g a,A\n"
+    at, distinct = debruijn.words_in(text)
+    pieces = [re.findall(r"[^ \t]+", p) for p in re.split(r"[.,;:!?\n\x0b\x0c\r]", text.translate(LOWER))]
+    got = " ".join("|" if i < 0 else distinct[i].decode() for i in at)
+    assert re.split(r"[| ]*\|[| ]*", got) == [" ".join(p) for p in pieces if p] + [""]
+    assert len(set(distinct)) == len(distinct) == len({w for p in pieces for w in p})
+    for blank in ("", " ", ".", "\n"):
+        assert debruijn.words_in(blank)[1] == []
+
+
+def test_blocks_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(debruijn, "SLICE", 30)
+    rows = [(("en", "de")[i % 2], "y z. " * (i % 9)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
+    got = defaultdict(str)
+    for lang, block in debruijn.blocks_of([batch]):
+        got[lang] += block
+    for lang in ("en", "de"):
+        texts = [t for own, t in rows if own == lang]
+        assert sorted(got[lang].split("\n")[:-1]) == sorted(texts)
+    assert list(debruijn.blocks_of([])) == []
+
+
 def test_paths_are_maximal(spark):
     words = [f"t{i}" for i in range(40)]
     rows = [(i, " ".join(words), "en") for i in range(9)] + [(20 + i, " ".join(words[10:20]), "en") for i in range(4)]
